@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import ROLLING_STEMS, TEAM_FEATURE_STEMS
-from ..operators import features
+from ..functions.constants import ROLLING_STEMS, TEAM_FEATURE_STEMS, WEATHER_CONDITIONS
+from ..functions.draw import arithmetic_uniform
+from ..operators import features, joins, results, windows
 from ..sources import standins
 from . import common
-from .sqlparts import STAT_COLS, ratio_sql, with_ctes
+from .sqlparts import off_def_sql, rating_select, rnd, with_ctes
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -82,8 +83,8 @@ def _rolling_sql() -> str:
     for role in ("team1", "team2"):
         for s in ROLLING_STEMS:
             cols.append(
-                f'round_even(avg("{role}_{s}") OVER (PARTITION BY {role} ORDER BY season, "week", game_id '
-                f'ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS "{role}_{s}_rolling_3games"')
+                rnd(f'avg("{role}_{s}") OVER (PARTITION BY {role} ORDER BY season, "week", game_id '
+                    f'ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 6) + f' AS "{role}_{s}_rolling_3games"')
     return (with_ctes("game_feats") + "SELECT game_id, season, \"week\", team1, team2, "
             + ", ".join(cols) + " FROM game_feats")
 
@@ -97,6 +98,195 @@ def q_rolling(spark, sf):
     return common.round_cols(df.select(*common.KEYS, *_ROLL_OUT), _ROLL_OUT)
 
 
+
+@register("head_to_head", with_ctes("h2h") + "SELECT * FROM h2h")
+def q_head_to_head(spark, sf):
+    g = standins.games(spark, sf)
+    return windows.head_to_head(g).select(*common.KEYS, "head_to_head_win_pct",
+                                          "head_to_head_avg_point_diff")
+
+
+@register("win_streak", with_ctes("streaks") + "SELECT * FROM streaks")
+def q_win_streak(spark, sf):
+    res = results.results_long(standins.games(spark, sf))
+    return results.win_streaks(res)
+
+
+# ---------------------------------------------------------------- standings
+_STANDINGS_SQL = """
+  SELECT team, count_if(result = 'win') AS wins, count_if(result = 'loss') AS losses,
+         count_if(result = 'tie') AS ties
+  FROM results GROUP BY team"""
+
+
+@register("standings", with_ctes("results") + _STANDINGS_SQL)
+def q_standings(spark, sf):
+    return results.standings(results.results_long(standins.games(spark, sf)))
+
+
+@register("conference_standings", with_ctes("results") + f"""
+  , st AS ({_STANDINGS_SQL})
+  , conf AS (SELECT n.n_name AS team, r.r_name AS conference
+             FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey)
+  SELECT st.team, st.wins, st.losses, st.ties, conf.conference,
+         CAST(row_number() OVER (PARTITION BY conf.conference ORDER BY st.wins DESC, st.team) AS INTEGER)
+           AS conference_rank
+  FROM st JOIN conf ON conf.team = st.team""")
+def q_conference_standings(spark, sf):
+    st = results.standings(results.results_long(standins.games(spark, sf)))
+    return results.conference_standings(st, standins.conferences(spark, sf))
+
+
+# ---------------------------------------------------------------- ratings
+_DROPPED_NATION = "CHINA"   # stand-in: defense statistics missing for one team
+
+
+def _ratings(spark, sf, drop_one: bool):
+    dfn = standins.defense(spark, sf)
+    if drop_one:
+        dfn = dfn.where(F.col("Name") != _DROPPED_NATION)
+    od = joins.offense_with_defense(standins.offense(spark, sf), dfn)
+    return results.team_ratings(od)
+
+
+_RATING_OUT = ["plays_per_game", "team_efficiency", "production_allowed", "x_off", "x_def", "net",
+               "x_wins", "x_losses", "expected_points_for", "net_production"]
+_DISPLAY = {"team_efficiency_display": ("team_efficiency", 3), "production_allowed_display": ("production_allowed", 2),
+            "x_off_display": ("x_off", 2), "x_def_display": ("x_def", 2), "net_display": ("net", 2),
+            "x_wins_display": ("x_wins", 2), "x_losses_display": ("x_losses", 2)}
+
+
+def _ratings_sql() -> str:
+    disp = ", ".join(f'{rnd(chr(34) + src + chr(34), d)} AS "{n}"' for n, (src, d) in _DISPLAY.items())
+    return (with_ctes("offense", "defense")
+            + f", od AS ({off_def_sql(chr(34) + 'Name' + chr(34) + ' <> ' + repr(_DROPPED_NATION))})"
+            + f", rt AS ({rating_select('od')})"
+            + f" SELECT *, {disp} FROM rt")
+
+
+@register("team_ratings", _ratings_sql())
+def q_team_ratings(spark, sf):
+    return results.ratings_summary(_ratings(spark, sf, drop_one=True))
+
+
+@register("expected_wins_order", with_ctes("ratings") + """
+  SELECT season, "Name", x_wins, x_losses,
+         CAST(row_number() OVER (PARTITION BY season ORDER BY x_wins DESC, "Name") AS INTEGER) AS "position"
+  FROM ratings""")
+def q_expected_wins(spark, sf):
+    r = _ratings(spark, sf, drop_one=False).select("season", "Name", "x_wins", "x_losses")
+    return results.rank_by(r, ["season"], [F.desc("x_wins"), F.col("Name")])
+
+
+def _scores_sql(use_weather: bool) -> str:
+    if use_weather:
+        fe = "CASE w.weather WHEN 'Clear' THEN 1.0 WHEN 'Rain' THEN 0.9 WHEN 'Snow' THEN 0.8 WHEN 'Wind' THEN 0.85 ELSE 1.0 END"
+        fn = "CASE w.weather WHEN 'Clear' THEN 1.0 WHEN 'Rain' THEN 1.1 WHEN 'Snow' THEN 1.2 WHEN 'Wind' THEN 1.15 ELSE 1.0 END"
+        e1, e2 = f"(r1.team_efficiency * {fe})", f"(r2.team_efficiency * {fe})"
+        n1, n2 = f"(r1.net_production * {fn})", f"(r2.net_production * {fn})"
+        src = "wx w"
+    else:
+        e1, e2, n1, n2 = "r1.team_efficiency", "r2.team_efficiency", "r1.net_production", "r2.net_production"
+        src = "games w"
+    s1 = f"(({e1} + ({n1} - r2.production_allowed)) * (1.0 + CAST(0.02 AS DOUBLE) * CAST(b1.streak_before AS DOUBLE)))"
+    s2 = (f"((({e2} + ({n2} - r1.production_allowed)) * CAST(1.05 AS DOUBLE))"
+          f" * (1.0 + CAST(0.02 AS DOUBLE) * CAST(b2.streak_before AS DOUBLE)))")
+    extra = ", w.weather" if use_weather else ""
+    return f"""
+  , sc AS (
+    SELECT w.game_id, w.season, w."week", w.team1, w.team2{extra},
+           b1.streak_before AS team1_streak, b2.streak_before AS team2_streak,
+           {s1} AS score1, {s2} AS score2
+    FROM {src}
+    JOIN streaks b1 ON b1.game_id = w.game_id AND b1.team = w.team1
+    JOIN streaks b2 ON b2.game_id = w.game_id AND b2.team = w.team2
+    JOIN ratings r1 ON r1.season = w.season AND r1."Name" = w.team1
+    JOIN ratings r2 ON r2.season = w.season AND r2."Name" = w.team2)
+  , oc AS (SELECT *, CASE WHEN score1 > score2 THEN 'win1' WHEN score2 > score1 THEN 'win2' ELSE 'tie' END AS outcome FROM sc)
+  SELECT game_id, season, "week", team1, team2{", weather" if use_weather else ""}, team1_streak, team2_streak,
+         {rnd("score1", 6)} AS score1, {rnd("score2", 6)} AS score2, outcome,
+         CASE outcome
+           WHEN 'win1' THEN 'Week ' || CAST("week" AS VARCHAR) || ': ' || team1 || ' defeat ' || team2 || '.'
+           WHEN 'win2' THEN 'Week ' || CAST("week" AS VARCHAR) || ': ' || team2 || ' defeat ' || team1 || '.'
+           ELSE 'Week ' || CAST("week" AS VARCHAR) || ': ' || team1 || ' ties with ' || team2 || '.' END AS summary
+  FROM oc"""
+
+
+def _game_scores(spark, sf, use_weather: bool):
+    g = standins.games(spark, sf)
+    st = results.win_streaks(results.results_long(g)).select("game_id", "team", "streak_before")
+    g2 = (g.join(st.select("game_id", F.col("team").alias("team1"), F.col("streak_before").alias("team1_streak")),
+                 ["game_id", "team1"])
+           .join(st.select("game_id", F.col("team").alias("team2"), F.col("streak_before").alias("team2_streak")),
+                 ["game_id", "team2"]))
+    cols = list(common.KEYS)
+    if use_weather:
+        u = arithmetic_uniform(F.col("game_id"), seed=WEATHER_SEED)
+        g2 = results.draw_weather(g2, standins.team_odds(spark, sf), u)
+        cols.append("weather")
+    sc = results.game_scores(g2, _ratings(spark, sf, drop_one=False), streak1="team1_streak",
+                             streak2="team2_streak", condition="weather" if use_weather else None,
+                             use_weather=use_weather)
+    sc = common.round_cols(sc, ["score1", "score2"])
+    return sc.select(*cols, "team1_streak", "team2_streak", "score1", "score2", "outcome", "summary")
+
+
+@register("game_scores", with_ctes("games", "streaks", "ratings") + _scores_sql(False))
+def q_game_scores(spark, sf):
+    return _game_scores(spark, sf, use_weather=False)
+
+
+# ---------------------------------------------------------------- weather
+WEATHER_SEED = 17
+_ODDS_SQL = """
+  , reg_odds(conference, condition, p) AS (VALUES """ + ", ".join(
+    f"('{r}', '{c}', CAST({p!r} AS DOUBLE))" for r, ps in standins.REGION_WEATHER.items()
+    for c, p in zip(WEATHER_CONDITIONS, ps)) + """)
+  , team_odds AS (SELECT n.n_name AS home_team, o.condition, o.p
+                  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+                  JOIN reg_odds o ON o.conference = r.r_name)"""
+
+
+@register("weather_odds", with_ctes("games") + _ODDS_SQL + """
+  SELECT g.game_id, g.team2, coalesce(o.condition, 'Clear') AS condition, coalesce(o.p, 1.0) AS p
+  FROM games g LEFT JOIN team_odds o ON o.home_team = g.team2""")
+def q_weather_odds(spark, sf):
+    g = standins.games(spark, sf).select("game_id", "team2")
+    return joins.attach_weather_odds(g, standins.team_odds(spark, sf))
+
+
+def _draw_sql() -> str:
+    u = f"(CAST((g.game_id * 7919 + {WEATHER_SEED}) % 10000 AS DOUBLE) / 10000.0)"
+    w = {c: f"coalesce(max(CASE WHEN o.condition = '{c}' THEN o.p END), 0.0)" for c in WEATHER_CONDITIONS}
+    return (_ODDS_SQL + f"""
+  , wide AS (SELECT g.game_id, g.team2, {u} AS u, count(o.home_team) AS has_odds,
+                    {", ".join(f"{e} AS w_{c}" for c, e in w.items())}
+             FROM games g LEFT JOIN team_odds o ON o.home_team = g.team2
+             GROUP BY g.game_id, g.team2)
+  , cum AS (SELECT game_id, team2, u,
+                   CASE WHEN has_odds = 0 THEN 1.0 ELSE w_Clear END AS c1,
+                   CASE WHEN has_odds = 0 THEN 1.0 ELSE w_Clear + w_Rain END AS c2,
+                   CASE WHEN has_odds = 0 THEN 1.0 ELSE w_Clear + w_Rain + w_Snow END AS c3,
+                   CASE WHEN has_odds = 0 THEN 1.0 ELSE w_Clear + w_Rain + w_Snow + w_Wind END AS c4
+            FROM wide)
+  , wx AS (SELECT g.*, CASE WHEN c1 > u * c4 THEN 'Clear' WHEN c2 > u * c4 THEN 'Rain'
+                          WHEN c3 > u * c4 THEN 'Snow' WHEN c4 > u * c4 THEN 'Wind' ELSE 'Wind' END AS weather
+           FROM games g JOIN cum ON cum.game_id = g.game_id)""")
+
+
+@register("weather_draw", with_ctes("games") + _draw_sql() + """
+  SELECT game_id, season, "week", team1, team2, weather FROM wx""")
+def q_weather_draw(spark, sf):
+    g = standins.games(spark, sf)
+    u = arithmetic_uniform(F.col("game_id"), seed=WEATHER_SEED)
+    return results.draw_weather(g, standins.team_odds(spark, sf), u).select(*common.KEYS, "weather")
+
+
+@register("weather_adjusted_scores", with_ctes("games", "streaks", "ratings") + _draw_sql() + _scores_sql(True))
+def q_weather_scores(spark, sf):
+    return _game_scores(spark, sf, use_weather=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -15,6 +15,13 @@ M = "DECIMAL(18,2)"
 CTES: dict[str, tuple[list[str], str]] = {}
 
 
+def rnd(x: str, digits: int) -> str:
+    """Half-even rounding with Spark's definition for doubles: the shortest
+    decimal string of the double, rounded exactly, converted back."""
+    return (f"CAST(CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)), {digits}) "
+            f"AS DECIMAL(38,{digits})) AS DOUBLE)")
+
+
 def cte(name: str, deps: list[str], body: str) -> None:
     CTES[name] = (deps, body)
 
@@ -147,3 +154,87 @@ def with_ctes(*names: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order) + "\n"
+
+
+# ------------------------------------------------------------ results / W2 / W3
+cte("results", ["games"], """
+  SELECT game_id, season, "week", team1 AS team, team2 AS opponent,
+         CASE WHEN team1_score > team2_score THEN 'win' WHEN team1_score < team2_score THEN 'loss' ELSE 'tie' END AS result
+  FROM games
+  UNION ALL
+  SELECT game_id, season, "week", team2 AS team, team1 AS opponent,
+         CASE WHEN team2_score > team1_score THEN 'win' WHEN team2_score < team1_score THEN 'loss' ELSE 'tie' END AS result
+  FROM games""")
+
+cte("islands", ["results"], """
+  SELECT *, sum(CASE WHEN result <> 'win' THEN 1 ELSE 0 END)
+              OVER (PARTITION BY team ORDER BY season, "week", game_id ROWS UNBOUNDED PRECEDING) AS island
+  FROM results""")
+
+cte("streaks", ["islands"], """
+  SELECT game_id, season, "week", team, opponent, result,
+         CAST(win_streak AS BIGINT) AS win_streak,
+         CAST(coalesce(lag(win_streak) OVER (PARTITION BY team ORDER BY season, "week", game_id), 0) AS BIGINT) AS streak_before
+  FROM (SELECT *, sum(CASE WHEN result = 'win' THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY team, island ORDER BY season, "week", game_id ROWS UNBOUNDED PRECEDING) AS win_streak
+        FROM islands) x""")
+
+cte("h2h_base", ["games"], """
+  SELECT g.*, least(team1, team2) AS lo, greatest(team1, team2) AS hi,
+         CASE WHEN team1 < team2 THEN team1_score - team2_score ELSE team2_score - team1_score END AS dlo,
+         CASE WHEN (team1 < team2 AND team1_score > team2_score) OR (team2 < team1 AND team2_score > team1_score) THEN 1 ELSE 0 END AS wlo,
+         CASE WHEN (team1 < team2 AND team2_score > team1_score) OR (team2 < team1 AND team1_score > team2_score) THEN 1 ELSE 0 END AS whi
+  FROM games g""")
+
+cte("h2h", ["h2h_base"], """
+  SELECT game_id, season, "week", team1, team2,
+         CASE WHEN n > 0 THEN CAST(CASE WHEN team1 = lo THEN swlo ELSE swhi END AS DOUBLE) / CAST(n AS DOUBLE) ELSE 0.5 END AS head_to_head_win_pct,
+         CASE WHEN n > 0 THEN (CASE WHEN team1 = lo THEN CAST(sd AS DOUBLE) ELSE -CAST(sd AS DOUBLE) END) / CAST(n AS DOUBLE) ELSE 0.0 END AS head_to_head_avg_point_diff
+  FROM (SELECT *, count(dlo) OVER w AS n, sum(wlo) OVER w AS swlo, sum(whi) OVER w AS swhi, sum(dlo) OVER w AS sd
+        FROM h2h_base
+        WINDOW w AS (PARTITION BY lo, hi ORDER BY season, "week", game_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) p""")
+
+
+# ------------------------------------------------------------ ratings
+def off_def_sql(defense_filter: str = "") -> str:
+    where = f"WHERE {defense_filter}" if defense_filter else ""
+    return f"""
+  SELECT o.season, o."Name", o."GP",
+         {", ".join(f'o."{c}" AS "off_{c}"' for c in OFF_STATS)},
+         d."GP" AS "def_GP", {", ".join(f'd."{c}" AS "def_{c}"' for c in DEF_STATS)},
+         (d."Name" IS NOT NULL) AS has_defense
+  FROM offense o LEFT JOIN (SELECT * FROM defense {where}) d
+    ON d.season = o.season AND d."Name" = o."Name" """
+
+
+def rating_sql() -> dict[str, str]:
+    def z(c):
+        return f'coalesce(CAST("{c}" AS DOUBLE), 0.0)'
+    plays = f'({z("off_Run")} + {z("off_Pass")})'
+    eff = f'(CASE WHEN {plays} = 0 THEN NULL ELSE {z("off_All")} / {plays} END)'
+    x_off = f'(CAST(0.19 AS DOUBLE) * {z("off_All")} + 12.0)'
+    x_def = f'(CAST(-1.24 AS DOUBLE) * {z("def_DEF")} + 30.8)'
+    net = f"({x_off} - {x_def})"
+    x_wins = f"(CAST(0.418 AS DOUBLE) * {net} + 8.5)"
+    allowed = " + ".join(z(f"def_{c}") for c in ("QB", "RB", "WR", "TE"))
+    return {
+        "plays_per_game": plays,
+        "team_efficiency": eff,
+        "production_allowed": f"({allowed})",
+        "x_off": x_off,
+        "x_def": x_def,
+        "net": net,
+        "x_wins": x_wins,
+        "x_losses": f"(17.0 - {x_wins})",
+        "expected_points_for": f'({z("off_PTS")} * {eff})',
+        "net_production": rnd(f'({z("off_All")} + {z("def_DEF")} * CAST(7.06 AS DOUBLE))', 0),
+    }
+
+
+def rating_select(src: str) -> str:
+    return ("SELECT *, " + ", ".join(f'{e} AS "{n}"' for n, e in rating_sql().items())
+            + f" FROM {src}")
+
+
+cte("off_def", ["offense", "defense"], off_def_sql())
+cte("ratings", ["off_def"], rating_select("off_def"))
