@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import ROLLING_STEMS, TEAM_FEATURE_STEMS, WEATHER_CONDITIONS
+from ..functions.constants import DOCUMENTED_RANGES, ROLLING_STEMS, TEAM_FEATURE_STEMS, WEATHER_CONDITIONS
 from ..functions.draw import arithmetic_uniform
-from ..operators import features, joins, results, windows
+from ..operators import features, joins, metrics, missing, quality, results, split, vote, windows
 from ..sources import standins
 from . import common
-from .sqlparts import off_def_sql, rating_select, rnd, with_ctes
+from .sqlparts import metrics_sql, off_def_sql, rating_select, rnd, with_ctes
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -287,6 +287,351 @@ def q_weather_scores(spark, sf):
     return _game_scores(spark, sf, use_weather=True)
 
 
+
+# ---------------------------------------------------------------- quality
+@register("unmatched_games", with_ctes("games", "stats") + f"""
+  , st AS (SELECT * FROM stats WHERE "Name" <> '{_DROPPED_NATION}')
+  SELECT g.*, CASE WHEN s1."Name" IS NULL AND s2."Name" IS NULL THEN 'both'
+                   WHEN s1."Name" IS NULL THEN 'team1' ELSE 'team2' END AS missing
+  FROM games g
+  LEFT JOIN st s1 ON s1.season = g.season AND s1."Name" = g.team1
+  LEFT JOIN st s2 ON s2.season = g.season AND s2."Name" = g.team2
+  WHERE s1."Name" IS NULL OR s2."Name" IS NULL""")
+def q_unmatched(spark, sf):
+    st = common.team_stats(spark, sf).where(F.col("Name") != _DROPPED_NATION)
+    return joins.unmatched_games(standins.games(spark, sf), st)
+
+
+_V4_COLS = ["p_size", "p_retailprice", "p_brand", "p_type", "p_mixed"]
+
+
+def _part_strings(spark, sf):
+    from ..sources.tables import table
+    p = table(spark, sf, "part")
+    return p.select(
+        F.col("p_size").cast("string").alias("p_size"),
+        F.col("p_retailprice").cast("string").alias("p_retailprice"),
+        "p_brand", "p_type",
+        F.when(F.col("p_partkey") % 11 == 0, F.lit("n/a"))
+         .when(F.col("p_partkey") % 13 == 0, F.lit(None))
+         .otherwise(F.col("p_size").cast("string")).alias("p_mixed"))
+
+
+@register("numeric_audit", """
+  WITH ps AS (SELECT CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice,
+                     p_brand, p_type,
+                     CASE WHEN p_partkey % 11 = 0 THEN 'n/a' WHEN p_partkey % 13 = 0 THEN NULL
+                          ELSE CAST(p_size AS VARCHAR) END AS p_mixed
+              FROM part)
+  """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS present, "
+    f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) AS non_numeric FROM ps"
+    for c in _V4_COLS))
+def q_numeric_audit(spark, sf):
+    return quality.non_numeric_audit(_part_strings(spark, sf), _V4_COLS)
+
+
+@register("range_audit", with_ctes("stats") + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(\"{c}\") AS n, "
+    f"count_if(NOT (\"{c}\" BETWEEN {lo} AND {hi})) AS out_of_range, "
+    f"CAST({lo} AS DOUBLE) AS low, CAST({hi} AS DOUBLE) AS high FROM stats"
+    for c, (lo, hi) in DOCUMENTED_RANGES.items()))
+def q_range_audit(spark, sf):
+    return quality.range_audit(common.team_stats(spark, sf))
+
+
+_V8_COLS = ["conference", "off_Run", "off_QB", "def_PA"]
+
+
+@register("completeness_audit", with_ctes("masked") + """
+  SELECT *, least(""" + ", ".join(f"present_{c}" for c in _V8_COLS) + """) AS min_present,
+         "rows" >= 100 AS enough_rows,
+         least(""" + ", ".join(f"present_{c}" for c in _V8_COLS) + """) >= 0.8 AS complete
+  FROM (SELECT season, count(*) AS "rows", """ + ", ".join(
+    f'count("{c}") / count(*) AS present_{c}' for c in _V8_COLS) + """
+        FROM masked GROUP BY season) a""")
+def q_completeness(spark, sf):
+    return quality.completeness_audit(common.masked_stats(spark, sf), _V8_COLS)
+
+
+# ---------------------------------------------------------------- missing values
+_MASKED = ["season", "Name", "conference", "GP", "off_PTS", "off_Run", "off_QB", "def_PA", "def_DEF"]
+
+
+@register("null_fractions", with_ctes("masked") + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) AS null_fraction, "
+    f"avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) > 0.2 AS dropped FROM masked" for c in _MASKED))
+def q_null_fractions(spark, sf):
+    fr = missing.null_fractions(common.masked_stats(spark, sf))
+    return fr.withColumn("dropped", F.col("null_fraction") > F.lit(0.2))
+
+
+def _median_sql(c: str) -> str:
+    return f"""(SELECT (min(v) + max(v)) / 2.0 FROM (
+        SELECT CAST("{c}" AS DOUBLE) AS v, row_number() OVER (ORDER BY "{c}") - 1 AS r,
+               count(*) OVER () AS n FROM masked WHERE "{c}" IS NOT NULL) x
+        WHERE r IN ((n - 1) // 2, n // 2))"""
+
+
+@register("impute_missing", with_ctes("masked") + f"""
+  SELECT season, "Name",
+         coalesce(conference, (SELECT conference FROM masked WHERE conference IS NOT NULL
+                               GROUP BY conference ORDER BY count(*) DESC, conference LIMIT 1)) AS conference,
+         "GP", "off_PTS",
+         coalesce(CAST("off_Run" AS DOUBLE), {_median_sql("off_Run")}) AS "off_Run",
+         coalesce(CAST("off_QB" AS DOUBLE), {_median_sql("off_QB")}) AS "off_QB",
+         "def_DEF"
+  FROM masked""")
+def q_impute(spark, sf):
+    return missing.handle_missing_values(common.masked_stats(spark, sf), threshold=0.20)
+
+
+# ---------------------------------------------------------------- split
+_TRAIN, _VAL, _TEST = ["1995", "1996", "1997", "1998", "1999"], ["2000"], ["2001"]
+
+
+def _split_games(spark, sf):
+    g = standins.games(spark, sf)
+    return split.split_data(g, _TRAIN, _VAL, _TEST)
+
+
+_SPLIT_CASE = ("CASE WHEN CAST(season AS VARCHAR) IN ('1995','1996','1997','1998','1999') THEN 'train' "
+               "WHEN CAST(season AS VARCHAR) = '2000' THEN 'val' WHEN CAST(season AS VARCHAR) = '2001' THEN 'test' END")
+
+
+@register("split_policy", with_ctes("games") + """
+  SELECT CAST(season AS VARCHAR) AS season,
+         CASE row_number() OVER (ORDER BY season DESC) WHEN 1 THEN 'test' WHEN 2 THEN 'val' ELSE 'train' END AS split
+  FROM (SELECT DISTINCT season FROM games) s""")
+def q_split_policy(spark, sf):
+    return split.split_policy(standins.games(spark, sf))
+
+
+@register("split_assign", with_ctes("games") + f"""
+  SELECT game_id, season, "week", team1, team2, {_SPLIT_CASE} AS split FROM games""")
+def q_split_assign(spark, sf):
+    return _split_games(spark, sf).select(*common.KEYS, "split")
+
+
+@register("split_counts", with_ctes("games") + f"""
+  SELECT count_if(sp = 'train') AS train, count_if(sp = 'val') AS val, count_if(sp = 'test') AS test,
+         count(*) AS total FROM (SELECT {_SPLIT_CASE} AS sp FROM games) x""")
+def q_split_counts(spark, sf):
+    g = standins.games(spark, sf)
+    # only 1996-1998 listed: total still counts every game (A2)
+    return split.split_counts(split.split_data(g, ["1996", "1997"], ["1998"], ["1999"]))
+
+
+q_split_counts_sql = with_ctes("games") + """
+  SELECT count_if(season IN (1996, 1997)) AS train, count_if(season = 1998) AS val,
+         count_if(season = 1999) AS test, count(*) AS total FROM games"""
+REGISTRY["split_counts"] = (q_split_counts, q_split_counts_sql)
+
+
+@register("distinct_seasons", with_ctes("games") + "SELECT DISTINCT season FROM games")
+def q_distinct_seasons(spark, sf):
+    return standins.games(spark, sf).select("season").distinct()
+
+
+@register("season_bounds", with_ctes("games") + f"""
+  SELECT split, min(TRY_CAST(CAST(season AS VARCHAR) AS INTEGER)) AS min_season,
+         max(TRY_CAST(CAST(season AS VARCHAR) AS INTEGER)) AS max_season
+  FROM (SELECT season, {_SPLIT_CASE} AS split FROM games) x WHERE split IS NOT NULL GROUP BY split""")
+def q_season_bounds(spark, sf):
+    return split.season_bounds(_split_games(spark, sf))
+
+
+@register("season_overlap", with_ctes("games") + f"""
+  SELECT season FROM (SELECT DISTINCT CAST(season AS VARCHAR) AS season FROM games
+                      WHERE {_SPLIT_CASE} = 'train')
+  INTERSECT
+  SELECT season FROM (SELECT DISTINCT CAST(season AS VARCHAR) AS season FROM games
+                      WHERE {_SPLIT_CASE} IN ('val', 'test'))""")
+def q_season_overlap(spark, sf):
+    g = _split_games(spark, sf).select(F.col("season").cast("string").alias("season"), "split")
+    return (g.where(F.col("split") == "train").select("season").distinct()
+             .intersect(g.where(F.col("split").isin("val", "test")).select("season").distinct()))
+
+
+@register("missing_seasons", with_ctes("games") + """
+  SELECT season FROM (VALUES ('1995'), ('2000'), ('2001'), ('2005'), ('2006')) t(season)
+  EXCEPT SELECT CAST(season AS VARCHAR) FROM games""")
+def q_missing_seasons(spark, sf):
+    a = split.assignment_table(spark, ["1995"], ["2000", "2001"], ["2005", "2006"])
+    return split.missing_seasons(standins.games(spark, sf), a)
+
+
+@register("leakage_audit", with_ctes("games") + f"""
+  SELECT game_id, count(DISTINCT split) AS n_splits
+  FROM (SELECT game_id, {_SPLIT_CASE} AS split FROM games) x
+  WHERE split IS NOT NULL GROUP BY game_id HAVING count(DISTINCT split) > 1""")
+def q_leakage(spark, sf):
+    return split.overlap_audit(_split_games(spark, sf))
+
+
+@register("season_filter", with_ctes("game_feats") + """
+  SELECT game_id, season, "week", team1, team2, team1_points_per_game, team2_points_per_game
+  FROM game_feats WHERE season IN (1996, 1998)""")
+def q_season_filter(spark, sf):
+    g = common.game_ratios(spark, sf).where(F.col("season").isin(1996, 1998))
+    return g.select(*common.KEYS, "team1_points_per_game", "team2_points_per_game")
+
+
+# ---------------------------------------------------------------- label, metrics, votes
+@register("label_positives", with_ctes("game_feats") + """
+  SELECT season, CAST(sum(CAST(coalesce(team1_points_per_game > team2_points_per_game, false) AS INTEGER)) AS BIGINT)
+         AS positives, count(*) AS games
+  FROM game_feats GROUP BY season""")
+def q_label_positives(spark, sf):
+    g = features.label(common.game_ratios(spark, sf))
+    return g.groupBy("season").agg(F.sum(F.col("label").cast("long")).alias("positives"),
+                                   F.count(F.lit(1)).alias("games"))
+
+
+@register("confusion_labels", metrics_sql(
+    "(SELECT 'quality' AS model, quality AS y, 1 - toxic AS prediction FROM labels)"))
+def q_confusion_labels(spark, sf):
+    from ..sources.tables import table
+    lab = table(spark, sf, "labels").select(F.lit("quality").alias("model"), F.col("quality").alias("y"),
+                                            (F.lit(1) - F.col("toxic")).alias("prediction"))
+    m = metrics.add_metrics(metrics.confusion(lab))
+    return m.withColumnRenamed("model", "model_name")
+
+
+@register("model_comparison", with_ctes("rule_long") + """
+  SELECT model_name, accuracy, "precision", recall, f1_score, accuracy >= 0.71 AS meets_target
+  FROM (""" + metrics_sql("rule_long") + ") m")
+def q_model_comparison(spark, sf):
+    return metrics.model_comparison(common.rule_predictions_long(spark, sf))
+
+
+@register("metric_report", with_ctes("rule_long") + """
+  SELECT *, """ + ", ".join(f"{rnd(c + ' * 100.0', 2)} AS {c}_pct" for c in ("accuracy", "\"precision\"", "recall", "f1_score")).replace('"precision"_pct', "precision_pct") + """
+  FROM (""" + metrics_sql("rule_long") + ") m")
+def q_metric_report(spark, sf):
+    return metrics.metric_report(common.rule_predictions_long(spark, sf))
+
+
+@register("predicted_wins", with_ctes("rule_long") + """
+  SELECT model, CAST(sum(prediction) AS BIGINT) AS team1_wins, count(*) AS games FROM rule_long GROUP BY model""")
+def q_predicted_wins(spark, sf):
+    return metrics.predicted_wins(common.rule_predictions_long(spark, sf))
+
+
+@register("confidence", with_ctes("rule_long") + """
+  SELECT game_id, model, prediction,
+         CASE WHEN prediction = 1 THEN p_team1 ELSE 1.0 - p_team1 END AS confidence
+  FROM rule_long""")
+def q_confidence(spark, sf):
+    lg = common.rule_predictions_long(spark, sf)
+    return lg.select("game_id", "model", "prediction",
+                     vote.confidence(F.col("prediction"), F.col("p_team1")).alias("confidence"))
+
+
+_PRED_COLS = [f"{m}_prediction" for m in common.RULE_MODELS]
+_VOTES_SQL = " + ".join(f"coalesce({c}, 0)" for c in _PRED_COLS)
+
+
+@register("consensus_season", with_ctes("rule_wide") + f"""
+  SELECT "week", team1, team2,
+         CASE WHEN ({_VOTES_SQL}) * 2 > 3 THEN team1 ELSE team2 END AS consensus_winner,
+         {", ".join(_PRED_COLS)}
+  FROM rule_wide""")
+def q_consensus_season(spark, sf):
+    return vote.season_predictions(common.rule_predictions(spark, sf), _PRED_COLS)
+
+
+@register("consensus_game", with_ctes("rule_wide") + f"""
+  SELECT game_id, team1, team2,
+         CASE WHEN (coalesce(points_prediction, 0) + coalesce(yards_prediction, 0)) * 2 > 2 THEN team1
+              WHEN (coalesce(points_prediction, 0) + coalesce(yards_prediction, 0)) * 2 < 2 THEN team2
+              WHEN points_prediction = 1 THEN team1 ELSE team2 END AS consensus
+  FROM rule_wide""")
+def q_consensus_game(spark, sf):
+    w = common.rule_predictions(spark, sf)
+    flag = vote.consensus(["points_prediction", "yards_prediction"], tie="first")
+    return w.select("game_id", "team1", "team2",
+                    vote.winner_name(flag, F.col("team1"), F.col("team2")).alias("consensus"))
+
+
+# ---------------------------------------------------------------- sort / top-k
+@register("schedule_preview", with_ctes("games") + """
+  SELECT game_id, season, "week", team1, team2 FROM games
+  WHERE season = 1998 ORDER BY "week", game_id LIMIT 10""")
+def q_preview(spark, sf):
+    g = standins.games(spark, sf).where(F.col("season") == 1998)
+    return g.orderBy("week", "game_id").limit(10).select(*common.KEYS)
+
+
+@register("chronological_order", with_ctes("games") + """
+  SELECT game_id, season, "week", team1, team2,
+         CAST(row_number() OVER (PARTITION BY season ORDER BY "week", game_id) AS INTEGER) AS season_position
+  FROM games""")
+def q_chrono(spark, sf):
+    g = standins.games(spark, sf).select(*common.KEYS)
+    return results.rank_by(g, ["season"], [F.col("week"), F.col("game_id")], "season_position")
+
+
+# ---------------------------------------------------------------- union, keep-first
+@register("union_seasons", with_ctes("offense") + """
+  SELECT season, "Name", "GP", "PTS", "All", "Pass", "Run", "QB", "RB", "WR", "TE"
+  FROM offense WHERE season % 2 = 0
+  UNION ALL
+  SELECT season, "Name", "GP", "PTS", "All", "Pass", "Run", "QB",
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM offense WHERE season % 2 = 1""")
+def q_union_seasons(spark, sf):
+    from ..sources.seasons import union_seasons
+    o = standins.offense(spark, sf)
+    even = o.where(F.col("season") % 2 == 0)
+    odd = o.where(F.col("season") % 2 == 1).drop("RB", "WR", "TE")
+    return union_seasons([even, odd])
+
+
+@register("keep_first_last", """
+  SELECT c_nationkey, 'first' AS pick, c_custkey, c_name FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer) x WHERE r = 1
+  UNION ALL
+  SELECT c_nationkey, 'last', c_custkey, c_name FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS r FROM customer) y WHERE r = 1""")
+def q_keep_first_last(spark, sf):
+    from ..sources.tables import table
+    c = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_name")
+    first = windows.keep_first(c, "c_nationkey", ["c_custkey"]).withColumn("pick", F.lit("first"))
+    last = windows.keep_first(c, "c_nationkey", ["c_custkey"], last=True).withColumn("pick", F.lit("last"))
+    return first.unionByName(last).select("c_nationkey", "pick", "c_custkey", "c_name")
+
+
+# ---------------------------------------------------------------- high-cardinality windows
+@register("rolling_events", f"""
+  SELECT event_id, user_id,
+         {rnd("avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", 6)}
+           AS value_rolling_3
+  FROM events""")
+def q_rolling_events(spark, sf):
+    from ..sources.tables import table
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value").withColumn("day", F.to_date("ts"))
+    r = windows.rolling_mean(e, ["user_id"], ["ts", "event_id"], ["day"], {"value_rolling_3": "value"}, window=3)
+    return common.round_cols(r.select("event_id", "user_id", "value_rolling_3"), ["value_rolling_3"])
+
+
+@register("streak_events", """
+  SELECT event_id, user_id, CAST(win_streak AS BIGINT) AS win_streak,
+         CAST(coalesce(lag(win_streak) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) AS BIGINT) AS streak_before
+  FROM (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY user_id, island ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS win_streak
+        FROM (SELECT *, sum(CASE WHEN event_type <> 'purchase' THEN 1 ELSE 0 END)
+                          OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island
+              FROM events) a) b""")
+def q_streak_events(spark, sf):
+    from ..sources.tables import table
+    e = table(spark, sf, "events").select(
+        "event_id", "user_id", "ts", F.to_date("ts").alias("day"),
+        F.when(F.col("event_type") == "purchase", "win").otherwise("loss").alias("result"))
+    st = windows.win_streak(e, team="user_id", order_by=["ts", "event_id"], chunk_by=["day"])
+    return st.select("event_id", "user_id", "win_streak", "streak_before")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -29,3 +29,63 @@ def game_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 def round_cols(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     """Half-even rounding of long floating-point chains for comparison."""
     return df.withColumns({c: F.bround(F.col(c), digits) for c in cols})
+
+
+# ---------------------------------------------------------------- masked stats
+# Stand-in with missing values: nulls by fixed masks on the nation key, so
+# the null shares are the same at every scale (def_PA 13 of 25 nations ->
+# dropped at 0.20; off_QB 3 of 25; conference 3 of 25; off_Run one season).
+MASKED_COLUMNS = ["season", "Name", "conference", "GP", "off_PTS", "off_Run", "off_QB", "def_PA", "def_DEF"]
+
+
+def masked_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.tables import table
+    st = team_stats(spark, sf_dir)
+    nk = F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_name").alias("Name"), "n_nationkey"))
+    conf = F.broadcast(standins.conferences(spark, sf_dir).withColumnRenamed("team", "Name"))
+    j = st.join(nk, "Name").join(conf, "Name")
+    k = F.col("n_nationkey")
+
+    def null_when(cond, c):
+        return F.when(cond, F.lit(None)).otherwise(F.col(c))
+
+    return j.select(
+        "season", "Name",
+        null_when(k % 12 == 0, "conference").alias("conference"),
+        "GP", "off_PTS",
+        null_when((F.col("season") == 1998) & (k % 2 == 1), "off_Run").alias("off_Run"),
+        null_when(k % 9 == 0, "off_QB").alias("off_QB"),
+        null_when(k % 2 == 0, "def_PA").alias("def_PA"),
+        "def_DEF")
+
+
+# ---------------------------------------------------------------- rule models
+# Three deterministic "models" over the game ratios stand in for trained
+# classifiers where an exact oracle is wanted (metrics, votes).
+RULE_MODELS = ["points", "yards", "defense"]
+
+
+def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide: game keys, actual ``y``, ``<m>_prediction`` and
+    ``<m>_team1_win_prob`` for each rule model."""
+    g = game_ratios(spark, sf_dir)
+    p1, p2 = F.col("team1_points_per_game"), F.col("team2_points_per_game")
+    y1, y2 = F.col("team1_yards_per_game"), F.col("team2_yards_per_game")
+    a1, a2 = F.col("team1_points_allowed_per_game"), F.col("team2_points_allowed_per_game")
+    return g.select(
+        *KEYS,
+        (F.col("team1_score") > F.col("team2_score")).cast("int").alias("y"),
+        (p1 > p2).cast("int").alias("points_prediction"),
+        (p1 / (p1 + p2)).alias("points_team1_win_prob"),
+        (y1 > y2).cast("int").alias("yards_prediction"),
+        (y1 / (y1 + y2)).alias("yards_team1_win_prob"),
+        (a1 < a2).cast("int").alias("defense_prediction"),
+        (a2 / (a1 + a2)).alias("defense_team1_win_prob"))
+
+
+def rule_predictions_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long: ``(game_id, model, y, prediction, p_team1)``."""
+    w = rule_predictions(spark, sf_dir)
+    return w.select("game_id", "y", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(f"{m}_prediction").alias("prediction"),
+                 F.col(f"{m}_team1_win_prob").alias("p_team1")) for m in RULE_MODELS])))

@@ -238,3 +238,46 @@ def rating_select(src: str) -> str:
 
 cte("off_def", ["offense", "defense"], off_def_sql())
 cte("ratings", ["off_def"], rating_select("off_def"))
+
+
+# ------------------------------------------------------------ masked stats, rule models
+cte("masked", ["stats"], """
+  SELECT s.season, s."Name",
+         CASE WHEN n.n_nationkey % 12 = 0 THEN NULL ELSE r.r_name END AS conference,
+         s."GP", s."off_PTS",
+         CASE WHEN s.season = 1998 AND n.n_nationkey % 2 = 1 THEN NULL ELSE s."off_Run" END AS "off_Run",
+         CASE WHEN n.n_nationkey % 9 = 0 THEN NULL ELSE s."off_QB" END AS "off_QB",
+         CASE WHEN n.n_nationkey % 2 = 0 THEN NULL ELSE s."def_PA" END AS "def_PA",
+         s."def_DEF"
+  FROM stats s JOIN nation n ON n.n_name = s."Name" JOIN region r ON r.r_regionkey = n.n_regionkey""")
+
+cte("rule_wide", ["game_feats"], """
+  SELECT game_id, season, "week", team1, team2,
+         CAST(team1_score > team2_score AS INTEGER) AS y,
+         CAST(team1_points_per_game > team2_points_per_game AS INTEGER) AS points_prediction,
+         team1_points_per_game / (team1_points_per_game + team2_points_per_game) AS points_team1_win_prob,
+         CAST(team1_yards_per_game > team2_yards_per_game AS INTEGER) AS yards_prediction,
+         team1_yards_per_game / (team1_yards_per_game + team2_yards_per_game) AS yards_team1_win_prob,
+         CAST(team1_points_allowed_per_game < team2_points_allowed_per_game AS INTEGER) AS defense_prediction,
+         team2_points_allowed_per_game / (team1_points_allowed_per_game + team2_points_allowed_per_game) AS defense_team1_win_prob
+  FROM game_feats""")
+
+cte("rule_long", ["rule_wide"], """
+  SELECT game_id, y, 'points' AS model, points_prediction AS prediction, points_team1_win_prob AS p_team1 FROM rule_wide
+  UNION ALL SELECT game_id, y, 'yards', yards_prediction, yards_team1_win_prob FROM rule_wide
+  UNION ALL SELECT game_id, y, 'defense', defense_prediction, defense_team1_win_prob FROM rule_wide""")
+
+
+def metrics_sql(src: str, y: str = "y", pred: str = "prediction", model: str = "model") -> str:
+    def r(n, d):
+        return f"CASE WHEN ({d}) = 0 THEN 0.0 ELSE CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END"
+    return f"""
+  SELECT {model} AS model_name, tn, fp, fn, tp,
+         {r('tp + tn', 'tn + fp + fn + tp')} AS accuracy,
+         {r('tp', 'tp + fp')} AS "precision",
+         {r('tp', 'tp + fn')} AS recall,
+         {r('2 * tp', '2 * tp + fp + fn')} AS f1_score
+  FROM (SELECT {model},
+               count_if({y} = 0 AND {pred} = 0) AS tn, count_if({y} = 0 AND {pred} = 1) AS fp,
+               count_if({y} = 1 AND {pred} = 0) AS fn, count_if({y} = 1 AND {pred} = 1) AS tp
+        FROM {src} GROUP BY {model}) c"""
