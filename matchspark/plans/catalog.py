@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import DOCUMENTED_RANGES, ROLLING_STEMS, TEAM_FEATURE_STEMS, WEATHER_CONDITIONS
+from ..functions.constants import DOCUMENTED_RANGES, FEATURE_NAMES, ROLLING_STEMS, TEAM_FEATURE_STEMS, WEATHER_CONDITIONS
 from ..functions.draw import arithmetic_uniform
-from ..operators import features, joins, metrics, missing, quality, results, split, vote, windows
+from ..operators import features, joins, metrics, missing, quality, results, scaling, split, vote, windows
 from ..sources import standins
 from . import common
 from .sqlparts import metrics_sql, off_def_sql, rating_select, rnd, with_ctes
@@ -138,7 +138,7 @@ def q_conference_standings(spark, sf):
 
 
 # ---------------------------------------------------------------- ratings
-_DROPPED_NATION = "CHINA"   # stand-in: defense statistics missing for one team
+_DROPPED_NATION = "NATION_7"   # stand-in: defense statistics missing for one team
 
 
 def _ratings(spark, sf, drop_one: bool):
@@ -632,6 +632,86 @@ def q_streak_events(spark, sf):
     return st.select("event_id", "user_id", "win_streak", "streak_before")
 
 
+
+# ---------------------------------------------------------------- F1-F3, P5
+def _features_sql(drop_cols=()) -> str:
+    """36 features (unscaled) + label on the game rows, in SQL."""
+    roll = []
+    for role in ("team1", "team2"):
+        for st in ROLLING_STEMS:
+            roll.append(f'avg(gf."{role}_{st}") OVER (PARTITION BY gf.{role} ORDER BY gf.season, gf."week", gf.game_id '
+                        f'ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS "{role}_{st}_rolling_3games"')
+    return (", fr AS (SELECT gf.*, " + ", ".join(roll)
+            + ", h.head_to_head_win_pct, h.head_to_head_avg_point_diff"
+            + ", 1 AS home_field_advantage, 0 AS rest_days_difference"
+            + ", 1 AS weather_clear, 0 AS weather_rain, 0 AS weather_snow, 0 AS weather_wind"
+            + ", CAST(coalesce(gf.team1_points_per_game > gf.team2_points_per_game, false) AS INTEGER) AS label"
+            + " FROM game_feats gf JOIN h2h h ON h.game_id = gf.game_id)")
+
+
+_F36 = FEATURE_NAMES
+
+
+def _feature_frame(spark, sf):
+    return features.build_features(common.game_rows(spark, sf))
+
+
+@register("features_unscaled", with_ctes("game_feats", "h2h") + _features_sql() + " SELECT game_id, season, label, "
+          + ", ".join(f'{rnd("CAST(" + chr(34) + c + chr(34) + " AS DOUBLE)", 6)} AS "{c}"' for c in _F36) + " FROM fr")
+def q_features_unscaled(spark, sf):
+    df = _feature_frame(spark, sf).select("game_id", "season", "label", *_F36)
+    return common.round_cols(df, _F36)
+
+
+def _scaler_sql() -> str:
+    aggs = ", ".join(f'{rnd("avg(CAST(" + chr(34) + c + chr(34) + " AS DOUBLE))", 6)} AS "{c}__mean", '
+                     f'{rnd("stddev_pop(CAST(" + chr(34) + c + chr(34) + " AS DOUBLE))", 6)} AS "{c}__std"' for c in _F36)
+    return (with_ctes("game_feats", "h2h") + _features_sql()
+            + f" SELECT {aggs} FROM fr WHERE season BETWEEN 1995 AND 1999")
+
+
+@register("scaler_fit", _scaler_sql())
+def q_scaler_fit(spark, sf):
+    df = _feature_frame(spark, sf).where(F.col("season").between(1995, 1999))
+    st = scaling.fit_scaler(df, _F36)
+    return common.round_cols(st, st.columns)
+
+
+def _scaled_sql() -> str:
+    stats = ", ".join(f'avg(CAST("{c}" AS DOUBLE)) AS "m_{c}", stddev_pop(CAST("{c}" AS DOUBLE)) AS "s_{c}"' for c in _F36)
+    cols = ", ".join(
+        rnd(f'(CAST(fr."{c}" AS DOUBLE) - st."m_{c}") / (CASE WHEN st."s_{c}" = 0 OR st."s_{c}" IS NULL '
+            f'THEN 1.0 ELSE st."s_{c}" END)', 6) + f' AS "{c}"' for c in _F36)
+    return (with_ctes("game_feats", "h2h") + _features_sql()
+            + f", st AS (SELECT {stats} FROM fr WHERE season BETWEEN 1995 AND 1999)"
+            + f" SELECT fr.game_id, fr.season, fr.label, {cols} FROM fr CROSS JOIN st")
+
+
+@register("scaled_features", _scaled_sql())
+def q_scaled_features(spark, sf):
+    df = _feature_frame(spark, sf)
+    sc = scaling.Scaler(_F36).fit(df.where(F.col("season").between(1995, 1999)))
+    out = sc.transform(df).select("game_id", "season", "label", *_F36)
+    return common.round_cols(out, _F36)
+
+
+@register("default_fill", with_ctes("game_feats") + """
+  SELECT game_id, season, "week", team1, team2,
+         0.0 AS team1_pass_yards_per_game, 0.0 AS team2_pass_yards_per_game,
+         0.0 AS team1_rush_yards_per_game, 0.0 AS team2_rush_yards_per_game,
+         0.0 AS team1_turnovers_gained, 0.0 AS team2_turnovers_gained,
+         team1_points_per_game, team2_points_per_game
+  FROM game_feats""")
+def q_default_fill(spark, sf):
+    g = common.game_rows(spark, sf).drop("team1_off_Pass", "team2_off_Pass", "team1_off_Run", "team2_off_Run",
+                                         "team1_def_QB", "team2_def_QB")
+    df = features.fill_features(features.turnover_features(features.efficiency_features(g)))
+    return df.select(*common.KEYS, "team1_pass_yards_per_game", "team2_pass_yards_per_game",
+                     "team1_rush_yards_per_game", "team2_rush_yards_per_game",
+                     "team1_turnovers_gained", "team2_turnovers_gained",
+                     "team1_points_per_game", "team2_points_per_game")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
