@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FEATURE_NAMES, ROLES, ROLLING_STEMS, WEATHER_CONDITIONS
 from ..functions.ratios import efficiency_columns, turnover_columns
+from ..session import materialize
 from . import windows
 
 ORDER = ("season", "week", "game_id")
@@ -97,12 +98,17 @@ def label(df: DataFrame, a: str = "team1_points_per_game", b: str = "team2_point
 
 
 def build_features(games: DataFrame, window: int = 3, with_label: bool = True,
-                   chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
+                   chunk_by: Sequence[str] = ("season", "week"), checkpoint: bool = True) -> DataFrame:
     """F1 without scaling: efficiency -> turnover -> rolling -> matchup ->
-    categorical -> fill, plus the raw-value label (fixes T1)."""
-    df = efficiency_features(games)
-    df = turnover_features(df)
-    df = rolling_features(df, window=window, chunk_by=chunk_by)
+    categorical -> fill, plus the raw-value label (fixes T1).
+
+    Each window pass reads its input twice (chunk offsets, then values), so
+    with ``checkpoint`` the input of every pass is materialized once
+    instead of being recomputed 2, 4, 8 times down the chain."""
+    cut = materialize if checkpoint else (lambda d: d)
+    df = cut(turnover_features(efficiency_features(games)))
+    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[:1]))
+    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[1:]))
     df = matchup_features(df)
     df = categorical_features(df)
     df = fill_features(df)

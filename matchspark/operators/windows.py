@@ -57,6 +57,13 @@ def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
     ``(kind, column, inclusive)`` with kind in sum / count / max / min;
     ``inclusive=False`` excludes the current row (frame ends at -1).
     ``chunk_by`` must be a prefix of ``order_by`` (or monotone in it).
+
+    Plan: one exchange of ``df`` on ``(partition_by, chunk_by)``; the local
+    running values and the chunk totals come from the same window stage;
+    the totals (one row per chunk) are aggregated without a new exchange,
+    turned into offsets by a window over the small chunk table and joined
+    back on the chunk key (broadcast by AQE when small, else only the small
+    side is shuffled).  The big exchange is reused by both branches.
     """
     part, chunk = _cols(partition_by), _cols(chunk_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -65,13 +72,19 @@ def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
         kind, expr = a[0], a[1]
         inclusive = a[2] if len(a) > 2 else True
         spec[name] = (kind, expr, inclusive)
-
-    vals = {f"__pv_{n}": e for n, (_, e, _) in spec.items()}
-    base = df.withColumns(vals)
     keys = part + chunk
 
-    totals = base.groupBy(*keys).agg(
-        *[_CHUNK_AGG[k](F.col(f"__pv_{n}")).alias(f"__pt_{n}") for n, (k, _, _) in spec.items()])
+    base = df.withColumns({f"__pv_{n}": e for n, (_, e, _) in spec.items()})
+    w_loc = Window.partitionBy(*keys).orderBy(*order)
+    w_all = Window.partitionBy(*keys)
+    local = {}
+    for n, (k, _, inclusive) in spec.items():
+        frame = w_loc.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        local[f"__pl_{n}"] = _CHUNK_AGG[k](F.col(f"__pv_{n}")).over(frame)
+        local[f"__pt_{n}"] = _CHUNK_AGG[k](F.col(f"__pv_{n}")).over(w_all)
+    windowed = base.withColumns(local)
+
+    totals = windowed.groupBy(*keys).agg(*[F.first(f"__pt_{n}").alias(f"__pt_{n}") for n in spec])
     w_off = Window.partitionBy(*part).orderBy(*[F.col(c) for c in chunk]).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -79,15 +92,10 @@ def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
         *[_OFFSET_AGG[k](F.col(f"__pt_{n}")).over(w_off).alias(f"__po_{n}")
           for n, (k, _, _) in spec.items()])
 
-    joined = base.join(offsets, on=keys, how="left")
-    w_loc = Window.partitionBy(*keys).orderBy(*order)
-    out_cols = {}
-    for n, (k, _, inclusive) in spec.items():
-        frame = w_loc.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        local = _CHUNK_AGG[k](F.col(f"__pv_{n}")).over(frame)
-        out_cols[n] = _combine(k, F.col(f"__po_{n}"), local)
-    out = joined.withColumns(out_cols)
-    drop = [f"__pv_{n}" for n in spec] + [f"__po_{n}" for n in spec]
+    joined = windowed.join(offsets, on=keys, how="left")
+    out = joined.withColumns({n: _combine(k, F.col(f"__po_{n}"), F.col(f"__pl_{n}"))
+                              for n, (k, _, _) in spec.items()})
+    drop = [f"__{t}_{n}" for n in spec for t in ("pv", "pl", "pt", "po")]
     return out.drop(*drop)
 
 
@@ -110,14 +118,16 @@ def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: di
     if block_rows < n:
         raise ValueError("block_rows must be at least the window size")
     pos = row_position(df, part, order_by, chunk_by, "__rn")
-    blk = F.floor((F.col("__rn") - 1) / block_rows)
-    pos = pos.withColumn("__blk", blk).withColumn("__halo", F.lit(False))
     halo_len = n if not include_current else n - 1
-    if halo_len > 0:
-        halo = (pos.where(F.pmod(F.col("__rn") - 1, F.lit(block_rows)) >= block_rows - halo_len)
-                .withColumn("__blk", F.col("__blk") + 1)
-                .withColumn("__halo", F.lit(True)))
-        pos = pos.unionByName(halo)
+    # every row goes to its block; the last ``halo_len`` rows of a block are
+    # also copied (flagged) into the next block — one pass, no self-union
+    in_halo = F.pmod(F.col("__rn") - 1, F.lit(block_rows)) >= block_rows - halo_len
+    copies = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))) if halo_len > 0 \
+        else F.array(F.lit(0))
+    pos = (pos.withColumn("__k", F.explode(copies))
+              .withColumn("__blk", F.floor((F.col("__rn") - 1) / block_rows) + F.col("__k"))
+              .withColumn("__halo", F.col("__k") == 1)
+              .drop("__k"))
     lo, hi = (-(n - 1), 0) if include_current else (-n, -1)
     w = Window.partitionBy(*part, "__blk").orderBy("__rn").rowsBetween(lo, hi)
     out = pos.withColumns({o: F.avg(F.col(c)).over(w) for o, c in value_cols.items()})

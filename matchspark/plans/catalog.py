@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import DOCUMENTED_RANGES, FEATURE_NAMES, ROLLING_STEMS, TEAM_FEATURE_STEMS, WEATHER_CONDITIONS
 from ..functions.draw import arithmetic_uniform
 from ..operators import features, joins, metrics, missing, quality, results, scaling, split, vote, windows
+from ..session import materialize
 from ..sources import standins
 from . import common
 from .sqlparts import metrics_sql, off_def_sql, rating_select, rnd, with_ctes
@@ -94,7 +95,9 @@ _ROLL_OUT = [f"{r}_{s}_rolling_3games" for r in ("team1", "team2") for s in ROLL
 
 @register("rolling_features", _rolling_sql())
 def q_rolling(spark, sf):
-    df = features.rolling_features(common.game_ratios(spark, sf), window=3)
+    df = materialize(common.game_ratios(spark, sf))
+    df = materialize(features.rolling_features(df, window=3, roles=["team1"]))
+    df = features.rolling_features(df, window=3, roles=["team2"])
     return common.round_cols(df.select(*common.KEYS, *_ROLL_OUT), _ROLL_OUT)
 
 
@@ -689,7 +692,7 @@ def _scaled_sql() -> str:
 
 @register("scaled_features", _scaled_sql())
 def q_scaled_features(spark, sf):
-    df = _feature_frame(spark, sf)
+    df = materialize(_feature_frame(spark, sf))
     sc = scaling.Scaler(_F36).fit(df.where(F.col("season").between(1995, 1999)))
     out = sc.transform(df).select("game_id", "season", "label", *_F36)
     return common.round_cols(out, _F36)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, joins
+from ..session import materialize
 from ..sources import standins
 
 KEYS = ["game_id", "season", "week", "team1", "team2"]
@@ -17,8 +18,12 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def game_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Games with both teams' statistics as team1_* / team2_*."""
-    return joins.games_with_stats(standins.games(spark, sf_dir), team_stats(spark, sf_dir))
+    """Games with both teams' statistics as team1_* / team2_*.
+
+    The statistics table (one row per season and team) is read twice, once
+    per role, so it is materialized once."""
+    stats = materialize(team_stats(spark, sf_dir))
+    return joins.games_with_stats(standins.games(spark, sf_dir), stats)
 
 
 def game_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="matchspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Cut the lineage of a frame that later steps read several times.
+
+    A reliable ``checkpoint`` into the session's shared checkpoint folder
+    (never a machine-local one): the data is computed once, and a lost
+    executor re-reads the checkpoint files instead of recomputing the
+    whole upstream plan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
