@@ -39,13 +39,14 @@ def standings(results: DataFrame, team="team", result="result", by: Sequence[str
         F.count_if(r == "tie").alias("ties"))
 
 
-def conference_standings(table: DataFrame, conferences: DataFrame, team="team") -> DataFrame:
+def conference_standings(table: DataFrame, conferences: DataFrame, team="team",
+                         by: Sequence[str] = ()) -> DataFrame:
     """K2: standings with conference and the place inside it (wins
     descending, team name breaking ties).  Teams without a conference
     vanish (inner join); the conference list is small and fixed, so it is
     broadcast."""
     j = table.join(F.broadcast(conferences), team, "inner")
-    w = Window.partitionBy("conference").orderBy(F.desc("wins"), F.col(team))
+    w = Window.partitionBy(*by, "conference").orderBy(F.desc("wins"), F.col(team))
     return j.withColumn("conference_rank", F.row_number().over(w))
 
 

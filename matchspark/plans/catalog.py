@@ -715,6 +715,66 @@ def q_default_fill(spark, sf):
                      "team1_points_per_game", "team2_points_per_game")
 
 
+
+# ---------------------------------------------------------------- models (rows-only checks)
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf):
+    """Train once per data folder and session (the three model queries
+    share one run)."""
+    from . import pipeline
+    key = (sf, id(spark))
+    if key not in _TRAINED:
+        _TRAINED[key] = pipeline.train_pipeline(common.game_rows(spark, sf), parallelism=4)
+    return _TRAINED[key]
+
+
+@register("model_metrics", None)
+def q_model_metrics(spark, sf):
+    """F6-F10 + A8 per split: trained models evaluated on val and test."""
+    return _trained(spark, sf).metrics
+
+
+@register("cv_scores", None)
+def q_cv_scores(spark, sf):
+    """best cross-validated accuracy and parameters per model."""
+    res = _trained(spark, sf)
+    rows = [(n, float(res.cv_scores[n]), ", ".join(f"{k}={v}" for k, v in sorted(res.best_params[n].items())))
+            for n in res.models]
+    return spark.createDataFrame(rows, "model string, cv_accuracy double, best_params string")
+
+
+@register("feature_importance", None)
+def q_feature_importance(spark, sf):
+    """F16 + K4: top 15 features of the forest with rank and bar share."""
+    from ..operators import models as M
+    res = _trained(spark, sf)
+    return M.feature_importance(spark, res.models["random_forest"], FEATURE_NAMES, top_n=15)
+
+
+@register("season_predictions", None)
+def q_season_predictions(spark, sf):
+    """Entry 2 / F10 + F13 + F15 + P6: score the last season's schedule
+    (results unknown) with the stored scaler and all models."""
+    from . import pipeline
+    res = _trained(spark, sf)
+    g = common.game_rows(spark, sf).where(F.col("season").cast("string").isin(res.test_seasons))
+    return pipeline.predict_season(g, res.models, res.scaler)
+
+
+@register("adhoc_matchups", None)
+def q_adhoc(spark, sf):
+    """F11 + F12 + F14: one request per (team1, team2) pair of the last
+    season, with that season's statistics."""
+    from . import pipeline
+    res = _trained(spark, sf)
+    g = common.game_rows(spark, sf).where(F.col("season").cast("string").isin(res.test_seasons))
+    req = g.drop("game_id", "week", "team1_score", "team2_score").dropDuplicates(["season", "team1", "team2"])
+    req = req.withColumn("game_id", F.xxhash64("team1", "team2"))
+    return pipeline.predict_matchups(req, res.models, res.scaler)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
