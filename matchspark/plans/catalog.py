@@ -775,6 +775,20 @@ def q_adhoc(spark, sf):
     return pipeline.predict_matchups(req, res.models, res.scaler)
 
 
+
+@register("team_analytics_standings", None)
+def q_team_analytics(spark, sf):
+    """Entry 3: ratings -> seeded weather (xxhash draw) -> game scores ->
+    standings by conference per season (rows-only: the hash has no
+    portable SQL twin; every piece has its own oracle above)."""
+    from . import pipeline
+    out = pipeline.team_analytics(standins.offense(spark, sf), standins.defense(spark, sf),
+                                  standins.games(spark, sf).drop("team1_score", "team2_score"),
+                                  standins.team_odds(spark, sf), standins.conferences(spark, sf),
+                                  seed=WEATHER_SEED)
+    return out["standings"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
