@@ -35,7 +35,7 @@ def turnover_features(df: DataFrame, roles: Sequence[str] = ROLES) -> DataFrame:
 def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLES,
                      stems: Sequence[str] = ROLLING_STEMS, order_by: Sequence[str] = ORDER,
                      chunk_by: Sequence[str] = ("season", "week"),
-                     include_current: bool = True, block_rows: int = 100_000) -> DataFrame:
+                     include_current: bool = True) -> DataFrame:
     """Per role, mean of the last ``window`` games of the team in that
     role column (a team's team1 and team2 games are separate histories,
     crossing seasons).  A stem absent from ``df`` gives a 0 column."""
@@ -46,8 +46,7 @@ def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLE
         absent = [f"{r}_{s}_rolling_{window}games" for s in stems if f"{r}_{s}" not in df.columns]
         if present:
             out = windows.rolling_mean(out, [r], list(order_by), list(chunk_by), present,
-                                       window=window, include_current=include_current,
-                                       block_rows=block_rows)
+                                       window=window, include_current=include_current)
         if absent:
             out = out.withColumns({c: F.lit(0.0) for c in absent})
     return out

@@ -14,8 +14,8 @@ levels:
 
 The big data is shuffled once, on ``(key, chunk)``, so the largest task is
 one chunk of one key, not one key.  Sliding windows over the last ``N``
-rows use the global row number from step 3 and fixed-size row blocks with an
-``N-1`` row halo, so their tasks are bounded by ``block_rows``.
+rows run in the same ``(key, chunk)`` stage; the first rows of a chunk get
+the previous chunks' last rows through the small per-chunk table.
 
 Every order must end in a unique column (e.g. ``game_id``) so results are
 deterministic.
@@ -105,33 +105,62 @@ def row_position(df: DataFrame, partition_by, order_by, chunk_by, name: str = "r
 
 
 def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: dict,
-                 window: int = 3, block_rows: int = 100_000,
-                 include_current: bool = True) -> DataFrame:
-    """Mean of the current and ``window-1`` previous rows per group.
+                 window: int = 3, include_current: bool = True) -> DataFrame:
+    """Mean of the current and ``window-1`` previous rows per group
+    (``include_current=False``: the ``window`` rows before).
 
     ``value_cols`` maps output name -> input column name.  Nulls are
     skipped and one row is enough (pandas ``rolling(min_periods=1)``).
-    With ``include_current=False`` the frame is the ``window`` rows before.
+
+    One window stage on ``(key, chunk)`` computes the mean of every row
+    whose frame lies inside its chunk.  Only the first ``H`` rows of a chunk
+    (``H = window-1``, or ``window`` when the current row is excluded) need
+    rows of earlier chunks: each chunk's last ``H`` rows travel as a short
+    array through the small per-chunk table (previous ``H`` chunks gathered
+    by a window over that table) and are joined back on the chunk key.  The
+    big data is shuffled once; a task holds one chunk of one key.
     """
-    part = _cols(partition_by)
+    part, chunk = _cols(partition_by), _cols(chunk_by)
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    keys = part + chunk
     n = int(window)
-    if block_rows < n:
-        raise ValueError("block_rows must be at least the window size")
-    pos = row_position(df, part, order_by, chunk_by, "__rn")
-    halo_len = n if not include_current else n - 1
-    # every row goes to its block; the last ``halo_len`` rows of a block are
-    # also copied (flagged) into the next block — one pass, no self-union
-    in_halo = F.pmod(F.col("__rn") - 1, F.lit(block_rows)) >= block_rows - halo_len
-    copies = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))) if halo_len > 0 \
-        else F.array(F.lit(0))
-    pos = (pos.withColumn("__k", F.explode(copies))
-              .withColumn("__blk", F.floor((F.col("__rn") - 1) / block_rows) + F.col("__k"))
-              .withColumn("__halo", F.col("__k") == 1)
-              .drop("__k"))
+    h = n - 1 if include_current else n
     lo, hi = (-(n - 1), 0) if include_current else (-n, -1)
-    w = Window.partitionBy(*part, "__blk").orderBy("__rn").rowsBetween(lo, hi)
-    out = pos.withColumns({o: F.avg(F.col(c)).over(w) for o, c in value_cols.items()})
-    return out.where(~F.col("__halo")).drop("__rn", "__blk", "__halo")
+    names = list(value_cols)
+    row = F.struct(*[F.col(c).cast("double").alias(o) for o, c in value_cols.items()])
+
+    w_loc = Window.partitionBy(*keys).orderBy(*order)
+    w_all = Window.partitionBy(*keys)
+    cols = {"__rr": row, "__pos": F.row_number().over(w_loc), "__cnt": F.count(F.lit(1)).over(w_all)}
+    base = df.withColumns(cols)
+    frame = w_loc.rowsBetween(lo, hi)
+    inner = {f"__in_{o}": F.avg(F.col(f"__rr.{o}")).over(frame) for o in names}
+    inner["__recent"] = F.collect_list("__rr").over(frame) if h > 0 else F.array()
+    inner["__tail"] = F.collect_list("__rr").over(w_loc.rowsBetween(-(h - 1), 0)) if h > 0 else F.array()
+    windowed = base.withColumns(inner)
+
+    # one row per chunk: its last h rows (taken at the chunk's last row)
+    tails = windowed.where(F.col("__pos") == F.col("__cnt")).select(*keys, "__tail")
+    w_prev = Window.partitionBy(*part).orderBy(*[F.col(c) for c in chunk]).rowsBetween(-max(h, 1), -1)
+    prev = tails.select(*keys, F.flatten(F.collect_list("__tail").over(w_prev)).alias("__prev"))
+    prev = prev.select(*keys, F.when(F.size("__prev") > h, F.slice("__prev", -h, h) if h > 0 else F.array())
+                       .otherwise(F.col("__prev")).alias("__prev"))
+    joined = windowed.join(prev, on=keys, how="left")
+
+    # rows near the chunk start: earlier chunks' tail + this chunk's rows
+    allrows = F.concat(F.coalesce(F.col("__prev"), F.array()), F.col("__recent"))
+    lastn = F.when(F.size(allrows) > n, F.slice(allrows, -n, n)).otherwise(allrows)
+    def field(o):
+        return lambda r: r[o]
+
+    out = {}
+    for o in names:
+        vals = F.filter(F.transform(lastn, field(o)), lambda x: x.isNotNull())
+        s = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+        edge = F.when(F.size(vals) > 0, s / F.size(vals))
+        out[o] = F.when(F.col("__pos") > h, F.col(f"__in_{o}")).otherwise(edge)
+    drop = ["__rr", "__pos", "__cnt", "__recent", "__tail", "__prev"] + [f"__in_{o}" for o in names]
+    return joined.withColumns(out).drop(*drop)
 
 
 def keep_first(df: DataFrame, key, order_by: Sequence, last: bool = False) -> DataFrame:

@@ -35,11 +35,12 @@ def test_prefix_scan_matches_brute_force(spark):
             assert (pd.isna(got.mx) and not incl) or got.mx == max(incl)
 
 
-@pytest.mark.parametrize("include_current", [True, False])
-def test_rolling_mean_blocks_and_halo(spark, include_current):
-    df = _events(spark, 300)
-    out = windows.rolling_mean(df, ["key"], ["day", "id"], ["day"], {"r": "v"}, window=3,
-                               block_rows=4, include_current=include_current).toPandas()
+@pytest.mark.parametrize("include_current,chunks", [(True, "day"), (False, "day"), (True, "tiny"), (False, "tiny")])
+def test_rolling_mean_across_chunks(spark, include_current, chunks):
+    df = _events(spark, 300).withColumn("tiny", F.floor(F.col("day") / 1) * 1000 + F.floor(F.col("id") / 7))
+    order = ["day", "id"]
+    out = windows.rolling_mean(df, ["key"], order, [chunks] if chunks == "day" else ["day", "tiny"],
+                               {"r": "v"}, window=3, include_current=include_current).toPandas()
     assert len(out) == 300
     pdf = df.toPandas().sort_values(["key", "day", "id"])
     pdf["v"] = pdf["v"].astype(float)
