@@ -53,7 +53,7 @@ def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLE
 
 
 def matchup_features(df: DataFrame, score1: str = "team1_score", score2: str = "team2_score",
-                     order_by: Sequence[str] = ORDER, chunk_by: Sequence[str] = ("season",)) -> DataFrame:
+                     order_by: Sequence[str] = ORDER, chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
     """Head-to-head win share and mean point difference of earlier
     meetings.  Without score columns no result is known and every game gets
     0.5 / 0.0."""

@@ -56,7 +56,7 @@ def rank_by(df: DataFrame, partition_by: Sequence[str], order: Sequence, name: s
     return df.withColumn(name, F.row_number().over(w))
 
 
-def win_streaks(results: DataFrame, chunk_by: Sequence[str] = ("season",)) -> DataFrame:
+def win_streaks(results: DataFrame, chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
     """W3 on the long results: ``win_streak`` after and ``streak_before``."""
     return windows.win_streak(results, chunk_by=chunk_by)
 

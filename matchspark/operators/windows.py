@@ -182,7 +182,7 @@ def keep_first(df: DataFrame, key, order_by: Sequence, last: bool = False) -> Da
 def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
                  score1: str = "team1_score", score2: str = "team2_score",
                  order_by: Sequence = ("season", "week", "game_id"),
-                 chunk_by: Sequence = ("season",),
+                 chunk_by: Sequence = ("season", "week"),
                  win_pct: str = "head_to_head_win_pct",
                  avg_diff: str = "head_to_head_avg_point_diff") -> DataFrame:
     """Share of earlier meetings of the same (unordered) pair won by this
@@ -220,7 +220,7 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
 
 def win_streak(results: DataFrame, team: str = "team", result: str = "result",
                order_by: Sequence = ("season", "week", "game_id"),
-               chunk_by: Sequence = ("season",),
+               chunk_by: Sequence = ("season", "week"),
                streak: str = "win_streak", before: str = "streak_before") -> DataFrame:
     """Consecutive wins up to and including each game; a loss or a tie
     resets the streak to 0.  ``before`` is the streak entering the game.
