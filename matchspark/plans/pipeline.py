@@ -43,6 +43,33 @@ def prepare_games(schedule: DataFrame, stats: DataFrame, threshold: float | None
     return missing.handle_missing_values(games, threshold) if threshold is not None else games
 
 
+def load_all_seasons(spark: SparkSession, data_dir: str, seasons, threshold: float | None = MISSING_THRESHOLD,
+                     with_rejects: bool = False):
+    """Entry 1's loader over season CSV files: S4 file check -> S1/S2 one
+    scan per file kind for all seasons -> V1-V3 -> P1/P2/J1 merge per season
+    -> V6 -> W6 first stats row per team -> J2 both teams per game (J3 rejects
+    kept aside) -> M1-M5.  Returns the game rows (and the rejects)."""
+    from ..operators import quality
+    from ..sources import seasons as S
+    seasons = [str(x) for x in seasons]
+    S.check_files(data_dir, seasons)
+    off = S.read_kind(spark, data_dir, "offense", seasons)
+    dfn = S.read_kind(spark, data_dir, "defense", seasons)
+    sch = S.read_kind(spark, data_dir, "schedule", seasons)
+    for df, kind in ((off, "offense"), (dfn, "defense"), (sch, "schedule")):
+        quality.validate_data(df, kind)
+    stats = joins.merge_team_stats(off.drop("_pos"), dfn.withColumnRenamed("_pos", "_dpos"))
+    stats = joins.require_nonempty(
+        stats, "Merge resulted in empty DataFrame. Check that team names match between offense and defense files.")
+    stats = joins.first_per_team(stats, position="def__dpos")   # merge prefixed it
+    games = sch.select("season", F.col("Week").alias("week"), F.col("Team1").alias("team1"),
+                       F.col("Team2").alias("team2"), F.col("_pos").alias("game_id"))
+    rows = prepare_games(games, stats, threshold)
+    if with_rejects:
+        return rows, joins.unmatched_games(games, stats)
+    return rows
+
+
 def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | None = None,
                    scaler_fit_on: str = "train", seed: int = 42, parallelism: int = 4) -> TrainResult:
     """Entry 1 on prepared game rows (with ``team1_score`` / ``team2_score``

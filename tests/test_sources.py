@@ -82,3 +82,13 @@ def test_prediction_and_metadata_sinks(spark, tmp_path):
     assert got["seasons"] == ["2021", "2022", "2023"] and got["best_params"]["rf"]["numTrees"] == "20"
     with pytest.raises(FileNotFoundError):
         sinks.read_metadata(spark, str(tmp_path / "nothing"))
+
+
+def test_load_all_seasons_end_to_end(spark, season_dir):
+    from matchspark.plans import pipeline
+    rows, rejects = pipeline.load_all_seasons(spark, season_dir, ["2022", "2023"], with_rejects=True)
+    assert rows.count() == 6                      # 3 matched games per season
+    assert rejects.count() == 2                   # A-Z in each season
+    assert {"team1_off_PTS", "team2_def_DEF", "team1_GP"} <= set(rows.columns)
+    with pytest.raises(FileNotFoundError, match="not found"):
+        pipeline.load_all_seasons(spark, season_dir, ["2022", "2019"])
