@@ -36,6 +36,18 @@ def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
+def _join_null_safe(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on ``keys`` where null matches null (a null team or chunk
+    is still one group), planned as an ordinary equi-join."""
+    ren = small.select(*[F.col(k).alias(f"__jk_{k}") for k in keys],
+                       *[c for c in small.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = big[k].eqNullSafe(ren[f"__jk_{k}"])
+        cond = c if cond is None else cond & c
+    return big.join(ren, cond, "left").drop(*[f"__jk_{k}" for k in keys])
+
+
 def _combine(kind: str, off: Column, local: Column) -> Column:
     if kind == "count":
         return F.coalesce(off, F.lit(0)) + local
@@ -92,7 +104,7 @@ def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
         *[_OFFSET_AGG[k](F.col(f"__pt_{n}")).over(w_off).alias(f"__po_{n}")
           for n, (k, _, _) in spec.items()])
 
-    joined = windowed.join(offsets, on=keys, how="left")
+    joined = _join_null_safe(windowed, offsets, keys)
     out = joined.withColumns({n: _combine(k, F.col(f"__po_{n}"), F.col(f"__pl_{n}"))
                               for n, (k, _, _) in spec.items()})
     drop = [f"__{t}_{n}" for n in spec for t in ("pv", "pl", "pt", "po")]
@@ -145,7 +157,7 @@ def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: di
     prev = tails.select(*keys, F.flatten(F.collect_list("__tail").over(w_prev)).alias("__prev"))
     prev = prev.select(*keys, F.when(F.size("__prev") > h, F.slice("__prev", -h, h) if h > 0 else F.array())
                        .otherwise(F.col("__prev")).alias("__prev"))
-    joined = windowed.join(prev, on=keys, how="left")
+    joined = _join_null_safe(windowed, prev, keys)
 
     # rows near the chunk start: earlier chunks' tail + this chunk's rows
     allrows = F.concat(F.coalesce(F.col("__prev"), F.array()), F.col("__recent"))

@@ -67,3 +67,18 @@ def test_weather_support(spark):
     assert seen["Miami Dolphins"] == {"Clear", "Rain"} and seen["Nowhere"] == {"Clear"}
     again = results.draw_weather(g, odds, hash_uniform(F.col("game_id"), seed=1))
     assert w.exceptAll(again).count() == 0          # seeded: reproducible
+
+
+def test_duplicate_offense_keeps_last_and_defense_first(spark):
+    off = spark.createDataFrame([("2023", "T", 17, 10.0, 1), ("2023", "T", 17, 20.0, 2)],
+                                "season string, Name string, GP int, All double, pos int")
+    dfn = spark.createDataFrame([("2023", "T", 17, 1.0, 1), ("2023", "T", 17, 2.0, 2)],
+                                "season string, Name string, GP int, DEF double, pos int")
+    r = joins.offense_with_defense(off, dfn, position="pos").collect()
+    assert len(r) == 1 and r[0]["off_All"] == 20.0 and r[0]["def_DEF"] == 1.0
+
+
+def test_rest_days_difference(spark):
+    from matchspark.operators import features
+    df = spark.createDataFrame([(7, 4)], "team1_rest_days int, team2_rest_days int")
+    assert features.categorical_features(df).first()["rest_days_difference"] == 3

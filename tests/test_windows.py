@@ -106,3 +106,13 @@ def test_keep_first_and_last(spark):
     first = {r["k"]: r["v"] for r in windows.keep_first(df, "k", ["pos"]).collect()}
     last = {r["k"]: r["v"] for r in windows.keep_first(df, "k", ["pos"], last=True).collect()}
     assert first == {"A": "x", "B": "z"} and last == {"A": "y", "B": "z"}
+
+
+def test_null_keys_and_chunks_are_groups(spark):
+    rows = [(None, 1, 1, 2.0), (None, 2, 2, 4.0), (None, 2, 3, 6.0), ("a", None, 4, 1.0), ("a", None, 5, 3.0),
+            ("a", 1, 6, 5.0)]
+    df = spark.createDataFrame(rows, "k string, c int, id long, v double")
+    pos = {r["id"]: r["rn"] for r in windows.row_position(df, ["k"], ["c", "id"], ["c"], "rn").collect()}
+    assert pos == {1: 1, 2: 2, 3: 3, 4: 1, 5: 2, 6: 3}
+    roll = {r["id"]: r["r"] for r in windows.rolling_mean(df, ["k"], ["c", "id"], ["c"], {"r": "v"}).collect()}
+    assert roll[3] == 4.0 and roll[6] == 3.0
