@@ -108,15 +108,20 @@ def exact_medians(df: DataFrame, columns: Sequence[str], candidate_limit: int =
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Most frequent value per column; the smallest value wins ties.
 
-    A distributed ``groupBy(value).count()`` (partial aggregation) reduced
-    by ``min(struct(-count, value))`` — never one buffer of all values.
+    All columns at once: the values are stacked as ``(column, value)`` rows,
+    counted with one distributed ``groupBy`` (partial aggregation), and each
+    column's winner is ``min(struct(-count, value))`` — one small result row
+    per column, never one buffer of all values.
     """
-    out = {}
-    for c in columns:
-        counts = df.where(F.col(f"`{c}`").isNotNull()).groupBy(F.col(f"`{c}`").alias("v")).count()
-        best = counts.agg(F.min(F.struct((-F.col("count")).alias("nc"), F.col("v").alias("v"))).alias("b")).first()["b"]
-        out[c] = None if best is None else best["v"]
-    return out
+    if not columns:
+        return {}
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])))
+    counts = stacked.where(F.col("v").isNotNull()).groupBy("col", "v").count()
+    best = counts.groupBy("col").agg(
+        F.min(F.struct((-F.col("count")).alias("nc"), F.col("v").alias("v"))).alias("b")).collect()
+    found = {r["col"]: r["b"]["v"] for r in best}
+    return {c: found.get(c) for c in columns}
 
 
 def handle_missing_values(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> DataFrame:
