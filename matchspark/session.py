@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files (lineage cuts) are removed once no frame refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
