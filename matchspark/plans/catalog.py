@@ -778,17 +778,40 @@ def q_adhoc(spark, sf):
 
 
 
-@register("team_analytics_standings", None)
+def _analytics_sql() -> str:
+    s1 = "(r1.team_efficiency + (r1.net_production - r2.production_allowed))"
+    s2 = "((r2.team_efficiency + (r2.net_production - r1.production_allowed)) * CAST(1.05 AS DOUBLE))"
+    return (with_ctes("games", "ratings") + _draw_sql() + f"""
+  , sc AS (SELECT w.season, w.team1, w.team2, {s1} AS s1, {s2} AS s2
+           FROM wx w
+           JOIN ratings r1 ON r1.season = w.season AND r1."Name" = w.team1
+           JOIN ratings r2 ON r2.season = w.season AND r2."Name" = w.team2)
+  , res AS (SELECT season, team1 AS team,
+                   CASE WHEN s1 > s2 THEN 'win' WHEN s2 > s1 THEN 'loss' ELSE 'tie' END AS result FROM sc
+            UNION ALL
+            SELECT season, team2 AS team,
+                   CASE WHEN s2 > s1 THEN 'win' WHEN s1 > s2 THEN 'loss' ELSE 'tie' END AS result FROM sc)
+  , st AS (SELECT season, team, count_if(result = 'win') AS wins, count_if(result = 'loss') AS losses,
+                  count_if(result = 'tie') AS ties FROM res GROUP BY season, team)
+  , conf AS (SELECT n.n_name AS team, r.r_name AS conference
+             FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey)
+  SELECT st.season, st.team, st.wins, st.losses, st.ties, conf.conference,
+         CAST(row_number() OVER (PARTITION BY st.season, conf.conference ORDER BY st.wins DESC, st.team) AS INTEGER)
+           AS conference_rank
+  FROM st JOIN conf ON conf.team = st.team""")
+
+
+@register("team_analytics_standings", _analytics_sql())
 def q_team_analytics(spark, sf):
-    """Entry 3: ratings -> seeded weather (xxhash draw) -> game scores ->
-    standings by conference per season (rows-only: the hash has no
-    portable SQL twin; every piece has its own oracle above)."""
+    """Entry 3: ratings -> weather draw (portable arithmetic uniform, so SQL
+    can restate it) -> game scores (home team2 x 1.05, no streak input) ->
+    results -> standings by season and conference."""
     from . import pipeline
     out = pipeline.team_analytics(standins.offense(spark, sf), standins.defense(spark, sf),
                                   standins.games(spark, sf).drop("team1_score", "team2_score"),
                                   standins.team_odds(spark, sf), standins.conferences(spark, sf),
-                                  seed=WEATHER_SEED)
-    return out["standings"]
+                                  uniform=arithmetic_uniform(F.col("game_id"), seed=WEATHER_SEED))
+    return out["standings"].select("season", "team", "wins", "losses", "ties", "conference", "conference_rank")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

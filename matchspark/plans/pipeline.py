@@ -171,7 +171,7 @@ def predict_matchups(requests: DataFrame, fitted: dict, scaler: scaling.Scaler)
 
 def team_analytics(offense: DataFrame, defense: DataFrame, schedule: DataFrame, odds: DataFrame,
                    conferences: DataFrame, seed: int = 0, use_weather: bool = False,
-                   keys=("season",), position: str | None = None) -> dict[str, DataFrame]:
+                   keys=("season",), position: str | None = None, uniform=None) -> dict[str, DataFrame]:
     """Entry 3: ratings (J4, E16-E20), expected-wins order (K3), a season of
     games scored once with seeded weather draws (J6, E25, E22, E23), the
     standings (A1, K2) and the streaks (W3).
@@ -185,7 +185,8 @@ def team_analytics(offense: DataFrame, defense: DataFrame, schedule: DataFrame,
     rejected = ratings.where(~F.col("has_defense"))
     ratings = ratings.where(F.col("has_defense"))
     order = results.rank_by(ratings, list(keys), [F.desc("x_wins"), F.col("Name")], "position")
-    games = results.draw_weather(schedule, odds, hash_uniform(F.col("game_id"), seed))
+    u = uniform if uniform is not None else hash_uniform(F.col("game_id"), seed)
+    games = results.draw_weather(schedule, odds, u)
     scored = results.game_scores(games, ratings, keys=keys, condition="weather", use_weather=use_weather)
     res = scored.select(
         "game_id", *keys, "week", "team1", "team2", "weather", "score1", "score2", "outcome", "summary",
