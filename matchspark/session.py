@@ -41,11 +41,15 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
     unset (local tests) create a scratch folder for it."""
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions manage their own checkpoint folder
+        return configured
+    current = sc.getCheckpointDir() or configured
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
@@ -55,6 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session memos)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 def materialize(df):
     """Cut the lineage of a frame that later steps read several times.
 

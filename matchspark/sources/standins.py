@@ -173,8 +173,8 @@ _PREPARED: dict = {}
 def _prepared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if not PREPARE_INPUTS:
         return build(spark, sf_dir)
-    from ..session import materialize
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    from ..session import materialize, session_key
+    key = (session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _PREPARED:
         _PREPARED[key] = materialize(build(spark, sf_dir))
     return _PREPARED[key]

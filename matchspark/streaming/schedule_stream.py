@@ -53,6 +53,8 @@ def start_scoring(spark: SparkSession, folder: str, stats: DataFrame, fitted: di
     duplicates, its rows.
     """
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a shared folder for the stream's progress")
     checkpoint = os.path.join(base, "streams", name)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
