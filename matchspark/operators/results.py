@@ -24,11 +24,23 @@ def results_long(games: DataFrame, team1="team1", team2="team2", score1="team1_s
     g = games.select(*keep, F.col(team1).alias("__t1"), F.col(team2).alias("__t2"),
                      r1.alias("__r1"), r2.alias("__r2"))
     return g.select(*keep, F.inline(F.array(
-        F.struct(F.col("__t1").alias("team"), F.col("__t2").alias("opponent"), F.col("__r1").alias("result")),
-        F.struct(F.col("__t2").alias("team"), F.col("__t1").alias("opponent"), F.col("__r2").alias("result")),
+        F.struct(F.col("__t1").alias("team"), F.col("__t2").alias("opponent"), F.col("__r1").alias("result"),
+                 F.lit(1).alias("role")),
+        F.struct(F.col("__t2").alias("team"), F.col("__t1").alias("opponent"), F.col("__r2").alias("result"),
+                 F.lit(2).alias("role")),
     )))
 
 
+def streaks_by_game(games: DataFrame, key: str = "game_id", chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
+    """W3 back in game form: ``(game_id, team1_streak, team2_streak)`` =
+    each side's streak entering the game.  The two long rows of a game are
+    folded with one ``groupBy(game_id)`` (instead of one join per role)."""
+    st = win_streaks(results_long(games), chunk_by=chunk_by)
+    return st.groupBy(key).agg(
+        F.max(F.when(F.col("role") == 1, F.col("streak_before"))).alias("team1_streak"),
+        F.max(F.when(F.col("role") == 2, F.col("streak_before"))).alias("team2_streak"))
+
+
 def standings(results: DataFrame, team="team", result="result", by: Sequence[str] = ()) -> DataFrame:
     """A1: wins / losses / ties per team (optionally per ``by``).  Partial
     aggregation makes a hot team cost one row per task before the shuffle."""

@@ -112,7 +112,8 @@ def q_head_to_head(spark, sf):
 @register("win_streak", with_ctes("streaks") + "SELECT * FROM streaks")
 def q_win_streak(spark, sf):
     res = results.results_long(standins.games(spark, sf))
-    return results.win_streaks(res)
+    return results.win_streaks(res).select("game_id", "season", "week", "team", "opponent", "result",
+                                           "win_streak", "streak_before")
 
 
 # ---------------------------------------------------------------- standings
@@ -217,11 +218,7 @@ def _scores_sql(use_weather: bool) -> str:
 
 def _game_scores(spark, sf, use_weather: bool):
     g = standins.games(spark, sf)
-    st = results.win_streaks(results.results_long(g)).select("game_id", "team", "streak_before")
-    g2 = (g.join(st.select("game_id", F.col("team").alias("team1"), F.col("streak_before").alias("team1_streak")),
-                 ["game_id", "team1"])
-           .join(st.select("game_id", F.col("team").alias("team2"), F.col("streak_before").alias("team2_streak")),
-                 ["game_id", "team2"]))
+    g2 = g.join(results.streaks_by_game(g), "game_id")
     cols = list(common.KEYS)
     if use_weather:
         u = arithmetic_uniform(F.col("game_id"), seed=WEATHER_SEED)
