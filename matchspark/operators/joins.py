@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .windows import keep_first
 
 
@@ -124,10 +125,11 @@ def attach_weather_odds(games: DataFrame, odds: DataFrame, home: str = "team2",
     """Every game gets its home team's odds rows ``(condition, p)``;
     a home team absent from the table gets ``(Clear, 1.0)``.
 
-    ``odds`` is a lookup with a few rows per team (4 per stadium), so it
-    is broadcast; the games side is never shuffled.
+    ``odds`` is a lookup with a few rows per team (4 per stadium): it is
+    broadcast when its size estimate is small, so the games side is not
+    shuffled.
     """
     o = odds.select(F.col("home_team").alias("__home"), "condition", "p")
-    j = games.join(F.broadcast(o), games[home] == o["__home"], "left").drop("__home")
+    j = games.join(broadcast_if_small(o), games[home] == o["__home"], "left").drop("__home")
     return (j.withColumn("condition", F.coalesce(F.col("condition"), F.lit(default_condition)))
              .withColumn("p", F.coalesce(F.col("p"), F.lit(1.0))))

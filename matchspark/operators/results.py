@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import ratings as R
 from ..functions.constants import WEATHER_CONDITIONS
 from ..functions.draw import weighted_choice
+from ..session import broadcast_if_small
 from . import windows
 
 
@@ -55,9 +56,9 @@ def conference_standings(table: DataFrame, conferences: DataFrame, team="team",
                          by: Sequence[str] = ()) -> DataFrame:
     """K2: standings with conference and the place inside it (wins
     descending, team name breaking ties).  Teams without a conference
-    vanish (inner join); the conference list is small and fixed, so it is
-    broadcast."""
-    j = table.join(F.broadcast(conferences), team, "inner")
+    vanish (inner join); the conference list (one row per team) is
+    broadcast when its size estimate is small."""
+    j = table.join(broadcast_if_small(conferences), team, "inner")
     w = Window.partitionBy(*by, "conference").orderBy(F.desc("wins"), F.col(team))
     return j.withColumn("conference_rank", F.row_number().over(w))
 
@@ -121,9 +122,10 @@ def draw_weather(games: DataFrame, odds: DataFrame, u, home: str = "team2",
                  conditions: Sequence[str] = WEATHER_CONDITIONS, name: str = "weather") -> DataFrame:
     """One condition per game drawn with the home team's odds from the
     uniform column ``u``; a home team without odds gets Clear.  The odds
-    (a few rows per team) are broadcast in wide form: no shuffle of games."""
+    (a few rows per team) are broadcast in wide form when their size
+    estimate is small: no shuffle of games."""
     wide = weather_odds_wide(odds, conditions).withColumnRenamed("home_team", "__home")
-    j = games.join(F.broadcast(wide), games[home] == wide["__home"], "left")
+    j = games.join(broadcast_if_small(wide), games[home] == wide["__home"], "left")
     absent = F.col("__home").isNull()
     ws = [F.when(absent, F.lit(1.0 if c == conditions[0] else 0.0)).otherwise(F.coalesce(F.col(c), F.lit(0.0)))
           for c in conditions]

@@ -77,3 +77,19 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+BROADCAST_LIMIT_BYTES = 64 << 20
+
+
+def broadcast_if_small(df, max_bytes: int = BROADCAST_LIMIT_BYTES):
+    """Broadcast hint only behind a size check: the optimizer's estimate of
+    the plan's output (exact for in-memory tables, file sizes for scans),
+    read without running a job.  Larger or unknown sizes get no hint and
+    AQE chooses the join from measured runtime sizes."""
+    from pyspark.sql import functions as F
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return df
+    return F.broadcast(df) if size <= max_bytes else df

@@ -82,3 +82,13 @@ def test_rest_days_difference(spark):
     from matchspark.operators import features
     df = spark.createDataFrame([(7, 4)], "team1_rest_days int, team2_rest_days int")
     assert features.categorical_features(df).first()["rest_days_difference"] == 3
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from matchspark.session import broadcast_if_small
+    small = spark.createDataFrame([("A", 1)], "k string, v int")
+    big = spark.range(100).selectExpr("cast(id as string) as k")
+    hinted = big.join(broadcast_if_small(small), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in hinted.lower()
+    plain = big.join(broadcast_if_small(small, max_bytes=0), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plain.lower()
