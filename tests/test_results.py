@@ -84,11 +84,15 @@ def test_rest_days_difference(spark):
     assert features.categorical_features(df).first()["rest_days_difference"] == 3
 
 
-def test_broadcast_only_behind_size_check(spark):
+def test_broadcast_only_behind_size_check(spark, tmp_path):
     from matchspark.session import broadcast_if_small
-    small = spark.createDataFrame([("A", 1)], "k string, v int")
+    spark.createDataFrame([("A", 1)], "k string, v int").write.parquet(str(tmp_path / "small"))
+    small = spark.read.parquet(str(tmp_path / "small"))          # size estimate from the file
     big = spark.range(100).selectExpr("cast(id as string) as k")
     hinted = big.join(broadcast_if_small(small), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in hinted.lower()
     plain = big.join(broadcast_if_small(small, max_bytes=0), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plain.lower()
+    unknown = spark.createDataFrame([("A", 1)], "k string, v int")     # no estimate: no hint, AQE decides
+    assert "strategy=broadcast" not in big.join(broadcast_if_small(unknown), "k")._jdf.queryExecution() \
+        .optimizedPlan().toString().lower()
