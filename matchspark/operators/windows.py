@@ -61,8 +61,43 @@ def _combine(kind: str, off: Column, local: Column) -> Column:
     raise ValueError(f"unknown prefix aggregate {kind!r}")
 
 
+MAX_CHUNK_ROWS = 4_000_000
+
+
+def refine_chunks(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
+                  max_chunk_rows: int | None = MAX_CHUNK_ROWS, name: str = "__sub"):
+    """Split chunks larger than ``max_chunk_rows`` into value ranges of the
+    first order column after the chunk columns; returns ``(df, chunk_by)``.
+
+    One small grouped count finds the sizes.  Only when some chunk is too
+    large are range boundaries computed — ``percentile_approx`` on the large
+    chunks alone — and attached (a table of one row per large chunk, joined
+    null-safe).  The sub-chunk index is the number of boundaries below the
+    row's value, so equal values stay together and ranges stay contiguous
+    in the order.  Without a usable order column nothing changes.
+    """
+    part, chunk = _cols(partition_by), _cols(chunk_by)
+    nxt = next((c for c in order_by if isinstance(c, str) and c not in chunk), None)
+    if max_chunk_rows is None or nxt is None:
+        return df, chunk
+    keys = part + chunk
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    biggest = sizes.agg(F.max("__n")).first()[0] or 0
+    if biggest <= max_chunk_rows:
+        return df, chunk
+    pieces = min(1024, -(-biggest // max_chunk_rows))
+    probs = [i / pieces for i in range(1, pieces)]
+    large = sizes.where(F.col("__n") > max_chunk_rows).select(*keys)
+    sample = _join_null_safe(df.select(*keys, nxt), large.withColumn("__big", F.lit(True)), keys) \
+        .where(F.col("__big"))
+    bounds = sample.groupBy(*keys).agg(F.percentile_approx(nxt, probs, 10_000).alias("__bounds"))
+    out = _join_null_safe(df, bounds, keys)
+    sub = F.coalesce(F.size(F.filter(F.col("__bounds"), lambda b: b < F.col(nxt))), F.lit(0))
+    return out.withColumn(name, sub).drop("__bounds"), chunk + [name]
+
+
 def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
-                aggs: dict) -> DataFrame:
+                aggs: dict, max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
     """Add running aggregates per ``partition_by`` along ``order_by``.
 
     ``aggs`` maps an output name to ``(kind, column)`` or
@@ -77,7 +112,8 @@ def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
     back on the chunk key (broadcast by AQE when small, else only the small
     side is shuffled).  The big exchange is reused by both branches.
     """
-    part, chunk = _cols(partition_by), _cols(chunk_by)
+    df, chunk = refine_chunks(df, partition_by, order_by, chunk_by, max_chunk_rows)
+    part = _cols(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     spec = {}
     for name, a in aggs.items():
@@ -108,16 +144,19 @@ def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
     out = joined.withColumns({n: _combine(k, F.col(f"__po_{n}"), F.col(f"__pl_{n}"))
                               for n, (k, _, _) in spec.items()})
     drop = [f"__{t}_{n}" for n in spec for t in ("pv", "pl", "pt", "po")]
-    return out.drop(*drop)
+    return out.drop(*drop, *[c for c in chunk if c == "__sub"])
 
 
-def row_position(df: DataFrame, partition_by, order_by, chunk_by, name: str = "rn") -> DataFrame:
+def row_position(df: DataFrame, partition_by, order_by, chunk_by, name: str = "rn",
+                 max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
     """1-based position of each row inside its ``partition_by`` group."""
-    return prefix_scan(df, partition_by, order_by, chunk_by, {name: ("count", F.lit(1))})
+    return prefix_scan(df, partition_by, order_by, chunk_by, {name: ("count", F.lit(1))},
+                       max_chunk_rows=max_chunk_rows)
 
 
 def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: dict,
-                 window: int = 3, include_current: bool = True) -> DataFrame:
+                 window: int = 3, include_current: bool = True,
+                 max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
     """Mean of the current and ``window-1`` previous rows per group
     (``include_current=False``: the ``window`` rows before).
 
@@ -132,7 +171,8 @@ def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: di
     by a window over that table) and are joined back on the chunk key.  The
     big data is shuffled once; a task holds one chunk of one key.
     """
-    part, chunk = _cols(partition_by), _cols(chunk_by)
+    df, chunk = refine_chunks(df, partition_by, order_by, chunk_by, max_chunk_rows)
+    part = _cols(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = part + chunk
     n = int(window)
@@ -172,7 +212,7 @@ def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: di
         edge = F.when(F.size(vals) > 0, s / F.size(vals))
         out[o] = F.when(F.col("__pos") > h, F.col(f"__in_{o}")).otherwise(edge)
     drop = ["__rr", "__pos", "__cnt", "__recent", "__tail", "__prev"] + [f"__in_{o}" for o in names]
-    return joined.withColumns(out).drop(*drop)
+    return joined.withColumns(out).drop(*drop, *[c for c in chunk if c == "__sub"])
 
 
 def keep_first(df: DataFrame, key, order_by: Sequence, last: bool = False) -> DataFrame:

@@ -116,3 +116,20 @@ def test_null_keys_and_chunks_are_groups(spark):
     assert pos == {1: 1, 2: 2, 3: 3, 4: 1, 5: 2, 6: 3}
     roll = {r["id"]: r["r"] for r in windows.rolling_mean(df, ["k"], ["c", "id"], ["c"], {"r": "v"}).collect()}
     assert roll[3] == 4.0 and roll[6] == 3.0
+
+
+def test_hot_chunks_are_split_and_results_unchanged(spark):
+    df = _events(spark, 400)
+    refined, chunk = windows.refine_chunks(df, ["key"], ["day", "id"], ["day"], max_chunk_rows=5)
+    assert chunk == ["day", "__sub"]
+    biggest = refined.groupBy("key", "day", "__sub").count().agg(F.max("count")).first()[0]
+    assert biggest <= 12          # approximate boundaries: close to the limit, far below the hot chunk
+    a = windows.prefix_scan(df, ["key"], ["day", "id"], ["day"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))},
+                            max_chunk_rows=5)
+    b = windows.prefix_scan(df, ["key"], ["day", "id"], ["day"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))},
+                            max_chunk_rows=None)
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0
+    r1 = windows.rolling_mean(df, ["key"], ["day", "id"], ["day"], {"r": "v"}, max_chunk_rows=5).orderBy("id")
+    r2 = windows.rolling_mean(df, ["key"], ["day", "id"], ["day"], {"r": "v"}, max_chunk_rows=None).orderBy("id")
+    for x, y in zip(r1.collect(), r2.collect()):
+        assert (x["r"] is None and y["r"] is None) or x["r"] == pytest.approx(y["r"])
