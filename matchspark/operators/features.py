@@ -35,7 +35,8 @@ def turnover_features(df: DataFrame, roles: Sequence[str] = ROLES) -> DataFrame:
 def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLES,
                      stems: Sequence[str] = ROLLING_STEMS, order_by: Sequence[str] = ORDER,
                      chunk_by: Sequence[str] = ("season", "week"),
-                     include_current: bool = True) -> DataFrame:
+                     include_current: bool = True,
+                     max_chunk_rows: int | None = windows.MAX_CHUNK_ROWS) -> DataFrame:
     """Per role, mean of the last ``window`` games of the team in that
     role column (a team's team1 and team2 games are separate histories,
     crossing seasons).  A stem absent from ``df`` gives a 0 column."""
@@ -46,20 +47,22 @@ def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLE
         absent = [f"{r}_{s}_rolling_{window}games" for s in stems if f"{r}_{s}" not in df.columns]
         if present:
             out = windows.rolling_mean(out, [r], list(order_by), list(chunk_by), present,
-                                       window=window, include_current=include_current)
+                                       window=window, include_current=include_current,
+                                       max_chunk_rows=max_chunk_rows)
         if absent:
             out = out.withColumns({c: F.lit(0.0) for c in absent})
     return out
 
 
 def matchup_features(df: DataFrame, score1: str = "team1_score", score2: str = "team2_score",
-                     order_by: Sequence[str] = ORDER, chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
+                     order_by: Sequence[str] = ORDER, chunk_by: Sequence[str] = ("season", "week"),
+                     max_chunk_rows: int | None = windows.MAX_CHUNK_ROWS) -> DataFrame:
     """Head-to-head win share and mean point difference of earlier
     meetings.  Without score columns no result is known and every game gets
     0.5 / 0.0."""
     if score1 in df.columns and score2 in df.columns:
         return windows.head_to_head(df, score1=score1, score2=score2,
-                                    order_by=order_by, chunk_by=chunk_by)
+                                    order_by=order_by, chunk_by=chunk_by, max_chunk_rows=max_chunk_rows)
     return df.withColumns({"head_to_head_win_pct": F.lit(0.5),
                            "head_to_head_avg_point_diff": F.lit(0.0)})
 
@@ -106,9 +109,15 @@ def build_features(games: DataFrame, window: int = 3, with_label: bool = True,
     instead of being recomputed 2, 4, 8 times down the chain."""
     cut = materialize if checkpoint else (lambda d: d)
     df = cut(turnover_features(efficiency_features(games)))
-    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[:1]))
-    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[1:]))
-    df = matchup_features(df)
+    # every pass below works on these same rows: when the whole table fits
+    # the chunk limit no chunk can exceed it, so one count of the
+    # materialized input replaces a grouped size check per pass
+    limit = windows.MAX_CHUNK_ROWS
+    if checkpoint and df.count() <= limit:
+        limit = None
+    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[:1], max_chunk_rows=limit))
+    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[1:], max_chunk_rows=limit))
+    df = matchup_features(df, max_chunk_rows=limit)
     df = categorical_features(df)
     df = fill_features(df)
     if with_label:

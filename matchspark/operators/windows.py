@@ -236,7 +236,8 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
                  order_by: Sequence = ("season", "week", "game_id"),
                  chunk_by: Sequence = ("season", "week"),
                  win_pct: str = "head_to_head_win_pct",
-                 avg_diff: str = "head_to_head_avg_point_diff") -> DataFrame:
+                 avg_diff: str = "head_to_head_avg_point_diff",
+                 max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
     """Share of earlier meetings of the same (unordered) pair won by this
     row's ``team1`` and the mean earlier point difference seen from
     ``team1``; ``0.5`` / ``0.0`` when the pair has not met before.
@@ -259,7 +260,7 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
             "__wlo": ("sum", F.coalesce(lo_won, F.lit(False)).cast("long"), False),
             "__whi": ("sum", F.coalesce(hi_won, F.lit(False)).cast("long"), False),
             "__d": ("sum", diff_lo, False),
-        })
+        }, max_chunk_rows=max_chunk_rows)
     n = F.col("__n").cast("double")
     wins = F.when(F.col(team1) == F.col("__lo"), F.col("__wlo")).otherwise(F.col("__whi"))
     dsum = F.coalesce(F.col("__d").cast("double"), F.lit(0.0))
