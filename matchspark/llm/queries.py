@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import packing
+from matchspark.llm import neardup, packing
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,19 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85).withColumn(
+        "kept", F.col("doc_id") == F.col("component_id"))
+
+
+def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each component; columns unchanged."""
+    marked = neardup.near_duplicates(docs, shingle=5, percent=85)
+    kept = marked.filter("doc_id = component_id").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+
+
 def _packed_digests(docs: DataFrame) -> DataFrame:
     """Digest columns first, so that ids leave the tokenising task as one number."""
     pieces = packing.token_pieces(docs, word_tokenizer(), max_len=4096, end_id=1)
