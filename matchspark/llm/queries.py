@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import neardup, packing
+from matchspark.llm import neardup, packing, tiling
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,17 @@ def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
 
 
+@query("op8_benchmark_decontamination")
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage; columns unchanged."""
+    found = tiling.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.filter("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def _packed_digests(docs: DataFrame) -> DataFrame:
     """Digest columns first, so that ids leave the tokenising task as one number."""
     pieces = packing.token_pieces(docs, word_tokenizer(), max_len=4096, end_id=1)
