@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import neardup, packing, tiling
+from matchspark.llm import neardup, packing, secrets, tiling
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,28 @@ def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return docs.join(found.filter("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op2_secret_scans")
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "model")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+                        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every found secret is replaced by a mark; ``n_chars`` follows the text."""
+    clean = secrets.redact(docs, secrets.train(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
+    return clean
+
+
 def _packed_digests(docs: DataFrame) -> DataFrame:
     """Digest columns first, so that ids leave the tokenising task as one number."""
     pieces = packing.token_pieces(docs, word_tokenizer(), max_len=4096, end_id=1)
