@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from matchspark.llm import queries
 from matchspark.sources.tables import table
 
-STAGES = [("best-fit packing", queries.stage_packing)]
+STAGES = [
+    ("language ID", queries.stage_language),
+    ("MinHash near-dedup", queries.stage_near_dedup),
+    ("benchmark decontamination", queries.stage_decontamination),
+    ("secret scans", queries.stage_secrets),
+    ("best-fit packing", queries.stage_packing),
+]
+#: Learnt language and secret models, minhashes and the tokenizer are outside SQL.
 ORACLE_SQL = None
 
 

@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchspark.session import materialize
 
-__all__ = ["components", "empty_like", "materialize", "parts_for", "record_batch", "task_id"]
-
-
-def task_id() -> int:
-    ctx = TaskContext.get()
-    return ctx.partitionId() if ctx else 0
+__all__ = ["components", "counter_rows", "materialize", "parts_for", "record_batch", "sum_counters"]
 
 
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -25,15 +21,39 @@ def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
          for n, c in ((f.name, columns[f.name]) for f in schema)], schema=schema)
 
 
-def empty_like(schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
-
-
 def parts_for(total: int, per_part: int, least: int = 1) -> int:
     """Number of groups that keeps each at about ``per_part`` units; grows with the input."""
     return max(least, math.ceil((total or 0) / per_part))
 
 
+COUNTER_CHUNK = 1 << 14
+COUNTERS = "chunk long, counts binary"
+
+
+def counter_rows(counts: np.ndarray) -> pa.RecordBatch:
+    """Non-empty chunks of an int64 counter array as (chunk, counts) rows."""
+    parts = counts.reshape(-1, COUNTER_CHUNK)
+    used = np.flatnonzero(parts.any(1))
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(
+        [parts[i].tobytes() for i in used], pa.binary())], names=["chunk", "counts"])
+
+
+def sum_counters(rows: DataFrame, size: int) -> np.ndarray:
+    """Total of the counter arrays that tasks gave as ``counter_rows``: chunks
+    are added on executors, one array of ``size`` counters reaches the driver."""
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTER_CHUNK, np.int64)
+        for batch in batches:
+            for x in batch.column("counts").to_pylist():
+                total += np.frombuffer(x, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()])],
+                                         names=["chunk", "counts"])
+    out = np.zeros(size, np.int64)
+    for r in rows.groupBy("chunk").applyInArrow(add, COUNTERS).collect():
+        out[r.chunk * COUNTER_CHUNK:(r.chunk + 1) * COUNTER_CHUNK] = np.frombuffer(r.counts, np.int64)
+    return out
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table: one row (node, label) per node
     that has an edge, ``label`` the smallest node of its component.

@@ -34,20 +34,18 @@ input columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import components, materialize, record_batch
+from matchspark.llm.common import COUNTERS, components, counter_rows, materialize, record_batch, sum_counters
 from matchspark.llm.words import batch_words, grams, mix
 
 COLLECTIONS, ROWS = 8, 3
 PARITY_WORDS = 16
 SKETCH = 1 << 18
-SKETCH_CHUNK = 1 << 14
 _U = np.uint64
 
 
@@ -166,24 +164,9 @@ def _frequency_sketch(sets: DataFrame) -> bytes:
         for batch in batches:
             for s in batch.column(0).to_pylist():
                 counts += np.bincount((np.frombuffer(s, np.uint64) & _U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        parts = counts.reshape(-1, SKETCH_CHUNK)
-        used = np.flatnonzero(parts.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(
-            [parts[i].tobytes() for i in used], pa.binary())], names=["chunk", "counts"])
-
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH_CHUNK, np.int64)
-        for batch in batches:
-            for x in batch.column("counts").to_pylist():
-                total += np.frombuffer(x, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array(
-            [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()])], names=["chunk", "counts"])
-    rows = (sets.select("shingles").mapInArrow(run, "chunk long, counts binary")
-            .groupBy("chunk").applyInArrow(add, "chunk long, counts binary").collect())
-    out = np.zeros(SKETCH, np.int32)
-    for r in rows:
-        out[r.chunk * SKETCH_CHUNK:(r.chunk + 1) * SKETCH_CHUNK] = np.frombuffer(r.counts, np.int32)
-    return out.tobytes()
+        yield counter_rows(counts)
+    total = sum_counters(sets.select("shingles").mapInArrow(run, COUNTERS), SKETCH)
+    return np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()
 
 
 def _prefixes(sets: DataFrame, sketch: bytes, percent: int) -> DataFrame:

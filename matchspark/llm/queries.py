@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import neardup, packing, secrets, tiling
+from matchspark.llm import language, neardup, packing, secrets, tiling
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,28 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def held_out() -> Column:
+    """Documents kept for testing: crc32 of doc_id as text, modulo 3, is 1."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs, ~held_out())
+    return language.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+#: A document whose best language is less probable than this has none.
+LEAST_SCORE = 0.4
+
+
+def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no learnt language (no letter, or no clear best
+    language); columns unchanged."""
+    return language.in_known_language(docs, language.train(docs, ~held_out()), LEAST_SCORE)
+
+
 @query("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85).withColumn(
