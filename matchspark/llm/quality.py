@@ -27,8 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchspark.llm.common import materialize
+
 WHITE = r"[\x20\x09-\x0D]+"
-SYMBOLS = r"[#*$%&|<>]"
+A_WORD = r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
+SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 FENCE = 6.0
 MIN_GROUP = 200
@@ -37,54 +41,69 @@ ACCURACY = 2000
 METRICS = {
     "mean_word": (0.5, True, True),
     "symbol_rate": (0.02, False, True),
-    "dup_line_rate": (0.05, False, True),
+    "dup_line_rate": (0.1, False, True),
     "repeat_rate": (0.05, False, True),
 }
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row (a lambda variable),
+    however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WHITE), lambda w: w != "")
 
 
-def _covered(words: Column, n: Column, window: int) -> Column:
-    """Words inside windows that occur at least twice.
+def _repeated(windows: Column, window: int) -> Column:
+    """Words inside windows whose hash occurs at least twice.
 
-    Window hashes are sorted with their positions; neighbours of equal hash
-    are repeats.  Their positions, sorted again, cover up to ``window`` words
-    each, less what the next one covers too."""
-    word_hash = F.transform(words, lambda w: F.xxhash64(w))
-    windows = F.transform(F.sequence(F.lit(1), n - (window - 1)),
-                          lambda i: F.xxhash64(F.slice(word_hash, i, window)))
+    Hashes are sorted with their positions; neighbours of equal hash are
+    repeats.  Their positions, sorted again, cover up to ``window`` words
+    each, less what the previous one covers too."""
+    def same(keyed: Column, x: Column, j: Column) -> Column:
+        return F.coalesce(F.get(keyed, j)["h"] == x["h"], F.lit(False))
+
+    def total(at: Column) -> Column:
+        return F.aggregate(
+            at, F.struct(F.lit(0).alias("sum"), F.lit(-window).alias("last")),
+            lambda acc, i: F.struct((acc["sum"] + F.least(F.lit(window), i - acc["last"])).alias("sum"), i.alias("last")),
+            lambda acc: acc["sum"])
     keyed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return let(keyed, lambda k: let(
+        F.sort_array(F.transform(F.filter(k, lambda x, j: same(k, x, j - 1) | same(k, x, j + 1)), lambda x: x["i"])),
+        total))
+
+
+def repeat_words(words: Column, window: int = WINDOW) -> Column:
+    """Number of words covered by windows that occur twice or more in ``words``."""
+    def of_windows(windows: Column) -> Column:
+        return F.when(F.size(F.array_distinct(windows)) < F.size(windows), _repeated(windows, window)).otherwise(0)
 
-    def repeats(k: Column) -> Column:
-        return F.filter(k, lambda x, j: (
-            ((j > 0) & (F.get(k, F.greatest(j - 1, F.lit(0)))["h"] == x["h"]))
-            | F.coalesce(F.get(k, j + 1)["h"] == x["h"], F.lit(False))))
-    at = F.sort_array(F.transform(repeats(keyed), lambda x: x["i"]))
-    covered = F.aggregate(
-        at, F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-window).alias("last")),
-        lambda acc, i: F.struct((acc["sum"] + F.least(F.lit(window), i - acc["last"])).alias("sum"), i.alias("last")),
-        lambda acc: acc["sum"])
-    distinct = F.size(F.array_distinct(windows)) < F.size(windows)
-    return F.when(n >= window, F.when(distinct, covered).otherwise(0)).otherwise(0)
+    def of_hashes(h: Column) -> Column:
+        return F.when(F.size(h) > window, let(
+            F.transform(F.sequence(F.lit(1), F.size(h) - (window - 1)), lambda i: F.xxhash64(F.slice(h, i, window))),
+            of_windows)).otherwise(0)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              source_col: str = "source") -> DataFrame:
     """Base counts per document, with its language and source."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    step = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
-                       F.col(source_col).alias("source"), text.alias("t"))
-    step = step.withColumn("w", words_of(F.col("t")))
-    lines = F.filter(F.split("t", "\n", -1), lambda x: F.regexp_replace(x, WHITE, "") != "")
-    return step.select(
-        "doc_id", "lang", "source", F.size("w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("t", WHITE, "")).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.regexp_replace("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.size(lines).cast("long").alias("n_lines"),
-        _covered(F.col("w"), F.size("w"), WINDOW).cast("long").alias("n_repeat_words"))
+    of_words = lambda w: F.struct(F.size(w).alias("n"), repeat_words(w).alias("repeated"))
+    of_lines = lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"))
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(A_WORD))
+    without = lambda chars: F.length(F.translate(text, chars, ""))
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
+        let(words_of(text), of_words).alias("w"), let(lines, of_lines).alias("l"),
+        without(BLANKS).cast("long").alias("word_chars"),
+        (F.length(text) - without(SYMBOLS)).cast("long").alias("n_symbols")).select(
+        "doc_id", "lang", "source", F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        F.col("l.dup").cast("long").alias("n_dup_lines"), F.col("l.n").cast("long").alias("n_lines"),
+        F.col("w.repeated").cast("long").alias("n_repeat_words"))
 
 
 def rates(counts: DataFrame) -> DataFrame:
@@ -113,7 +132,6 @@ def fences(rated: DataFrame, by: list[str]) -> DataFrame:
 
 def quality(docs: DataFrame, **columns: str) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` per document row."""
-    from matchspark.llm.common import materialize
     rated = materialize(rates(measures(docs, **columns)))
     limits = [f"{m}_{side}" for m in METRICS for side in ("low", "high")]
     group, lang, total = fences(rated, ["lang", "source"]), fences(rated, ["lang"]), fences(rated, [])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import language, neardup, packing, secrets, tiling
+from matchspark.llm import language, neardup, packing, quality, secrets, tiling
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Last stage of the pipeline: a place in a training sequence for every piece."""
     return _packed_digests(docs.select("doc_id", "text")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
