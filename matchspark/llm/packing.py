@@ -15,6 +15,7 @@ is arbitrary but fixed.
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
 
@@ -22,15 +23,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from matchspark.llm.common import materialize, parts_for, record_batch
 from matchspark.llm.words import slices
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids binary"
-#: Chunks whose ids are kept per Python worker; the table starts anew beyond it.
+#: Chunks and plain words whose ids are kept per Python worker; a table starts anew beyond it.
 CHUNK_TABLE = 400_000
+WORD_TABLE = 600_000
 #: A chunk longer than this is tokenised without being kept.
 CHUNK_CHARS = 64
+#: Plain words that one call of the tokenizer takes.
+JOINED = 2000
+#: A chunk that is a word of ASCII and Latin-1 letters and a tail of ASCII signs (no apostrophe).
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
 #: Bytes of text tokenised together (a longer text by itself).
 SLICE = 1 << 20
 #: Pieces that one window over (length, bucket) ranks, about.
@@ -43,22 +50,55 @@ class _ChunkIds(dict):
     """Little-endian ids of white-space-free chunks, filled by need.
 
     The tokenizer never merges across white space, so the ids of a text are
-    the ids of its chunks in order."""
+    the ids of its chunks in order.  It splits letters from signs and lowers
+    case first, so a plain chunk is its lower-cased word and its tail; the new
+    words of a batch are tokenised as one text and cut after every token that
+    ends a word."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-
-    def fill(self, chunks: set) -> dict:
-        """Ids of every given chunk (long ones are not kept)."""
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            ids = self._encode([" ".join(part)])[0]
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) != len(part):
+                raise ValueError("the tokenizer does not mark word ends")
+            data = ids.tobytes()
+            self.words.update(zip(part, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
+
+    def fill(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of every given chunk (long ones are returned, not kept)."""
         if len(self) > CHUNK_TABLE:
             self.clear()
-        new = [c for c in chunks if c not in self]
+        if len(self.words) > WORD_TABLE:
+            self.words.clear()
+        plain, other = [], []
+        for c in chunks.difference(self):
+            m = PLAIN(c) if len(c) <= CHUNK_CHARS else None
+            if m:
+                plain.append((c, m[1].lower(), m[2]))
+            else:
+                other.append(c)
+        known = self.words
+        self._learn(list({w for _, w, _ in plain if w not in known}))
+        tails = list({t for _, _, t in plain if t and t not in known})
+        known.update(zip(tails, [x.tobytes() for x in self._encode(tails)]))
+        for c, word, tail in plain:
+            self[c] = known[word] + known[tail] if tail else known[word]
         long = {}
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (long if len(c) > CHUNK_CHARS else self)[c] = np.array(e.ids, "<u4").tobytes()
+        for at in range(0, len(other), 20_000):
+            part = other[at:at + 20_000]
+            for c, ids in zip(part, self._encode(part)):
+                (long if len(c) > CHUNK_CHARS else self)[c] = ids.tobytes()
         return long
 
 
@@ -93,7 +133,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_
             for lo, hi, _, _ in slices(batch.column(2), SLICE):
                 part = batch.slice(lo, hi - lo)
                 texts = [_split(t) if t else [] for t in part.column(2).to_pylist()]
-                table_long = table.fill({c for t in texts for c in t})
+                table_long = table.fill(set().union(*texts))
                 out = {f.name: [] for f in schema}
                 for doc, row, chunks in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
                     if table_long:
