@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.session import materialize
+from matchspark.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["components", "counter_rows", "materialize", "parts_for", "record_batch", "sum_counters"]
+__all__ = ["components", "counter_rows", "materialize", "parts_for", "record_batch", "sum_counters", "written"]
 
 
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -54,6 +56,32 @@ def sum_counters(rows: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a compressed table in the shared checkpoint folder (for
+    wide rows, where ``checkpoint`` would store them uncompressed).  The folder of
+    this run is removed when the driver ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _WRITTEN:
+        atexit.register(_remove_written)
+    _WRITTEN.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[tuple] = []
+
+
+def _remove_written() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        except Exception:  # noqa: BLE001 - the session may be gone already
+            return
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table: one row (node, label) per node
     that has an edge, ``label`` the smallest node of its component.
