@@ -34,9 +34,7 @@ def turnover_features(df: DataFrame, roles: Sequence[str] = ROLES) -> DataFrame:
 
 def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLES,
                      stems: Sequence[str] = ROLLING_STEMS, order_by: Sequence[str] = ORDER,
-                     chunk_by: Sequence[str] = ("season", "week"),
-                     include_current: bool = True,
-                     max_chunk_rows: int | None = windows.MAX_CHUNK_ROWS) -> DataFrame:
+                     include_current: bool = True) -> DataFrame:
     """Per role, mean of the last ``window`` games of the team in that
     role column (a team's team1 and team2 games are separate histories,
     crossing seasons).  A stem absent from ``df`` gives a 0 column."""
@@ -46,23 +44,21 @@ def rolling_features(df: DataFrame, window: int = 3, roles: Sequence[str] = ROLE
                    if f"{r}_{s}" in df.columns}
         absent = [f"{r}_{s}_rolling_{window}games" for s in stems if f"{r}_{s}" not in df.columns]
         if present:
-            out = windows.rolling_mean(out, [r], list(order_by), list(chunk_by), present,
-                                       window=window, include_current=include_current,
-                                       max_chunk_rows=max_chunk_rows)
+            out = windows.rolling_mean(out, [r], list(order_by), present,
+                                       window=window, include_current=include_current)
         if absent:
             out = out.withColumns({c: F.lit(0.0) for c in absent})
     return out
 
 
 def matchup_features(df: DataFrame, score1: str = "team1_score", score2: str = "team2_score",
-                     order_by: Sequence[str] = ORDER, chunk_by: Sequence[str] = ("season", "week"),
-                     max_chunk_rows: int | None = windows.MAX_CHUNK_ROWS) -> DataFrame:
+                     order_by: Sequence[str] = ORDER) -> DataFrame:
     """Head-to-head win share and mean point difference of earlier
     meetings.  Without score columns no result is known and every game gets
     0.5 / 0.0."""
     if score1 in df.columns and score2 in df.columns:
         return windows.head_to_head(df, score1=score1, score2=score2,
-                                    order_by=order_by, chunk_by=chunk_by, max_chunk_rows=max_chunk_rows)
+                                    order_by=order_by)
     return df.withColumns({"head_to_head_win_pct": F.lit(0.5),
                            "head_to_head_avg_point_diff": F.lit(0.0)})
 
@@ -99,27 +95,33 @@ def label(df: DataFrame, a: str = "team1_points_per_game", b: str = "team2_point
     return df.withColumn(name, F.coalesce(F.col(a) > F.col(b), F.lit(False)).cast("int"))
 
 
-def build_features(games: DataFrame, window: int = 3, with_label: bool = True,
-                   chunk_by: Sequence[str] = ("season", "week"), checkpoint: bool = True) -> DataFrame:
+def build_features(games: DataFrame, window: int = 3, with_label: bool = True) -> DataFrame:
     """F1 without scaling: efficiency -> turnover -> rolling -> matchup ->
     categorical -> fill, plus the raw-value label (fixes T1).
 
-    Each window pass reads its input twice (chunk offsets, then values), so
-    with ``checkpoint`` the input of every pass is materialized once
-    instead of being recomputed 2, 4, 8 times down the chain."""
-    cut = materialize if checkpoint else (lambda d: d)
-    df = cut(turnover_features(efficiency_features(games)))
-    # every pass below works on these same rows: when the whole table fits
-    # the chunk limit no chunk can exceed it, so one count of the
-    # materialized input replaces a grouped size check per pass
-    limit = windows.MAX_CHUNK_ROWS
-    if checkpoint and df.count() <= limit:
-        limit = None
-    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[:1], max_chunk_rows=limit))
-    df = cut(rolling_features(df, window=window, chunk_by=chunk_by, roles=ROLES[1:], max_chunk_rows=limit))
-    df = matchup_features(df, max_chunk_rows=limit)
-    df = categorical_features(df)
-    df = fill_features(df)
-    if with_label:
-        df = label(df)
-    return df
+    The window passes see only what they need (one role and its rolled values,
+    or the pair and its scores); their few result columns are joined back on
+    ``game_id``, so the full-width rows are never range-partitioned."""
+    df = materialize(turnover_features(efficiency_features(games)))
+    out = df
+    for role in ROLES:
+        stems = [f"{role}_{s}" for s in ROLLING_STEMS if f"{role}_{s}" in df.columns]
+        rolled = rolling_features(df.select(*dict.fromkeys([*ORDER, role, *stems])), window=window, roles=[role])
+        out = out.join(rolled.select("game_id", *[c for c in rolled.columns if c.endswith(f"_rolling_{window}games")]),
+                       "game_id")
+    pair = [c for c in ("team1", "team2", "team1_score", "team2_score") if c in df.columns]
+    met = matchup_features(df.select(*ORDER, *pair))
+    out = out.join(met.select("game_id", "head_to_head_win_pct", "head_to_head_avg_point_diff"), "game_id")
+    out = fill_features(categorical_features(out))
+    return label(out) if with_label else out
+
+
+def independent_features(requests: DataFrame, window: int = 3) -> DataFrame:
+    """F1 for requests that are scored each by itself: the rolling mean of a
+    team without history is its own value and the pair has not met, so nothing
+    is grouped, ordered or shuffled."""
+    df = turnover_features(efficiency_features(requests))
+    own = {f"{r}_{s}_rolling_{window}games": (F.col(f"{r}_{s}").cast("double") if f"{r}_{s}" in df.columns else F.lit(0.0))
+           for r in ROLES for s in ROLLING_STEMS}
+    df = df.withColumns({**own, "head_to_head_win_pct": F.lit(0.5), "head_to_head_avg_point_diff": F.lit(0.0)})
+    return fill_features(categorical_features(df))

@@ -32,24 +32,31 @@ def results_long(games: DataFrame, team1="team1", team2="team2", score1="team1_s
     )))
 
 
-def streaks_by_game(games: DataFrame, key: str = "game_id", chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
+def streaks_by_game(games: DataFrame, key: str = "game_id") -> DataFrame:
     """W3 back in game form: ``(game_id, team1_streak, team2_streak)`` =
     each side's streak entering the game.  The two long rows of a game are
     folded with one ``groupBy(game_id)`` (instead of one join per role)."""
-    st = win_streaks(results_long(games), chunk_by=chunk_by)
+    st = win_streaks(results_long(games))
     return st.groupBy(key).agg(
         F.max(F.when(F.col("role") == 1, F.col("streak_before"))).alias("team1_streak"),
         F.max(F.when(F.col("role") == 2, F.col("streak_before"))).alias("team2_streak"))
 
 
-def standings(results: DataFrame, team="team", result="result", by: Sequence[str] = ()) -> DataFrame:
+def standings(results: DataFrame, team="team", result="result", by: Sequence[str] = (),
+              teams: DataFrame | None = None) -> DataFrame:
     """A1: wins / losses / ties per team (optionally per ``by``).  Partial
-    aggregation makes a hot team cost one row per task before the shuffle."""
+    aggregation makes a hot team cost one row per task before the shuffle.
+    With a list of ``teams`` (columns ``by`` and ``team``), those without a
+    game are there too, with 0-0-0."""
     r = F.col(result)
-    return results.groupBy(*by, team).agg(
+    table = results.groupBy(*by, team).agg(
         F.count_if(r == "win").alias("wins"),
         F.count_if(r == "loss").alias("losses"),
         F.count_if(r == "tie").alias("ties"))
+    if teams is None:
+        return table
+    listed = teams.select(*by, team).distinct()
+    return listed.join(table, [*by, team], "left").na.fill(0, ["wins", "losses", "ties"])
 
 
 def conference_standings(table: DataFrame, conferences: DataFrame, team="team",
@@ -69,14 +76,18 @@ def rank_by(df: DataFrame, partition_by: Sequence[str], order: Sequence, name: s
     return df.withColumn(name, F.row_number().over(w))
 
 
-def win_streaks(results: DataFrame, chunk_by: Sequence[str] = ("season", "week")) -> DataFrame:
+def win_streaks(results: DataFrame) -> DataFrame:
     """W3 on the long results: ``win_streak`` after and ``streak_before``."""
-    return windows.win_streak(results, chunk_by=chunk_by)
+    return windows.win_streak(results)
 
 
 def team_ratings(offense_defense: DataFrame) -> DataFrame:
-    """E16-E20 on the J4 frame (prefixed offense / defense columns)."""
-    return offense_defense.withColumns(R.rating_columns(offense_defense.columns))
+    """E16-E20 on the J4 frame (prefixed offense / defense columns).  A team
+    without a defense row (``has_defense`` false) has null ratings."""
+    cols = R.rating_columns(offense_defense.columns)
+    if "has_defense" in offense_defense.columns:
+        cols = {n: F.when(F.col("has_defense"), e) for n, e in cols.items()}
+    return offense_defense.withColumns(cols)
 
 
 def ratings_summary(ratings: DataFrame) -> DataFrame:

@@ -2,23 +2,21 @@
 
 A plain ``Window.partitionBy(team).orderBy(...)`` sends every row of a team
 to one task; with 25 teams, or one team holding a third of all rows, that
-task is the whole job.  The operators here split each key's ordered
-sequence into *chunks* — ``chunk_by`` columns that are a prefix of the
-order (e.g. ``season, week``) — and compute prefix aggregates in two
-levels:
-
-1. per-chunk totals with a partial (map-side) aggregate — small;
-2. exclusive running totals over the chunks of a key — a window over the
-   small totals table;
-3. a local running window inside ``(key, chunk)``, plus the chunk offset.
-
-The big data is shuffled once, on ``(key, chunk)``, so the largest task is
-one chunk of one key, not one key.  Sliding windows over the last ``N``
-rows run in the same ``(key, chunk)`` stage; the first rows of a chunk get
-the previous chunks' last rows through the small per-chunk table.
-
-Every order must end in a unique column (e.g. ``game_id``) so results are
-deterministic.
+task is the whole job.  The operators here always range-partition on the key
+*and* the whole order, which ends in a unique column, so a key of any size
+(and any run of ties on the other order columns) is spread over as many
+ranges as its rows need:
+
+1. rows are range-partitioned on ``(key, order)`` and the number of the range
+   is kept as a column, fixed by a reliable checkpoint (the ranges come from a
+   sample, so a second evaluation could cut elsewhere);
+2. totals per ``(key, range)`` come from a map-side combined aggregate, one
+   small row each;
+3. exclusive running totals over the ranges of a key are a window over that
+   small table, joined back to the rows;
+4. a local running window inside ``(key, range)`` adds the rest.
+
+There is one way for all sizes: no row limit, no sub-splitting, any order type.
 """
 
 from __future__ import annotations
@@ -28,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _CHUNK_AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 _OFFSET_AGG = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
@@ -61,158 +61,97 @@ def _combine(kind: str, off: Column, local: Column) -> Column:
     raise ValueError(f"unknown prefix aggregate {kind!r}")
 
 
-MAX_CHUNK_ROWS = 4_000_000
+RANGE = "__range"
 
 
-def refine_chunks(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
-                  max_chunk_rows: int | None = MAX_CHUNK_ROWS, name: str = "__sub"):
-    """Split chunks larger than ``max_chunk_rows`` into value ranges of the
-    first order column after the chunk columns; returns ``(df, chunk_by)``.
+def ordered_ranges(df: DataFrame, partition_by, order_by: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``df`` with ``__range``, the number of its range in ``(partition_by, order_by)``.
 
-    One small grouped count finds the sizes.  Only when some chunk is too
-    large are range boundaries computed — ``percentile_approx`` on the large
-    chunks alone — and attached (a table of one row per large chunk, joined
-    null-safe).  The sub-chunk index is the number of boundaries below the
-    row's value, so equal values stay together and ranges stay contiguous
-    in the order.  Without a usable order column nothing changes.
-    """
-    part, chunk = _cols(partition_by), _cols(chunk_by)
-    nxt = next((c for c in order_by if isinstance(c, str) and c not in chunk), None)
-    if max_chunk_rows is None or nxt is None:
-        return df, chunk
-    keys = part + chunk
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    biggest = sizes.agg(F.max("__n")).first()[0] or 0
-    if biggest <= max_chunk_rows:
-        return df, chunk
-    pieces = min(1024, -(-biggest // max_chunk_rows))
-    probs = [i / pieces for i in range(1, pieces)]
-    large = sizes.where(F.col("__n") > max_chunk_rows).select(*keys)
-    sample = _join_null_safe(df.select(*keys, nxt), large.withColumn("__big", F.lit(True)), keys) \
-        .where(F.col("__big"))
-    bounds = sample.groupBy(*keys).agg(F.percentile_approx(nxt, probs, 10_000).alias("__bounds"))
-    out = _join_null_safe(df, bounds, keys)
-    sub = F.coalesce(F.size(F.filter(F.col("__bounds"), lambda b: b < F.col(nxt))), F.lit(0))
-    return out.withColumn(name, sub).drop("__bounds"), chunk + [name]
-
-
-def prefix_scan(df: DataFrame, partition_by, order_by: Sequence, chunk_by,
-                aggs: dict, max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
+    ``order_by`` are column names, the last one unique within a key.  Without
+    ``ranges`` their number is ``spark.sql.shuffle.partitions``, coalesced by
+    AQE where the data is small."""
+    cols = [*_cols(partition_by), *order_by]
+    dealt = df.repartitionByRange(ranges, *cols) if ranges else df.repartitionByRange(*cols)
+    return materialize(dealt.withColumn(RANGE, F.spark_partition_id()))
+
+
+def _before(parts: DataFrame, part: list[str], aggs: dict) -> DataFrame:
+    """Running aggregates over the earlier ranges of each key (small table)."""
+    w = Window.partitionBy(*part).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(*part, RANGE, *[e.over(w).alias(n) for n, e in aggs.items()])
+
+
+def prefix_scan(df: DataFrame, partition_by, order_by: Sequence[str], aggs: dict,
+                ranges: int | None = None) -> DataFrame:
     """Add running aggregates per ``partition_by`` along ``order_by``.
 
     ``aggs`` maps an output name to ``(kind, column)`` or
     ``(kind, column, inclusive)`` with kind in sum / count / max / min;
     ``inclusive=False`` excludes the current row (frame ends at -1).
-    ``chunk_by`` must be a prefix of ``order_by`` (or monotone in it).
-
-    Plan: one exchange of ``df`` on ``(partition_by, chunk_by)``; the local
-    running values and the chunk totals come from the same window stage;
-    the totals (one row per chunk) are aggregated without a new exchange,
-    turned into offsets by a window over the small chunk table and joined
-    back on the chunk key (broadcast by AQE when small, else only the small
-    side is shuffled).  The big exchange is reused by both branches.
     """
-    df, chunk = refine_chunks(df, partition_by, order_by, chunk_by, max_chunk_rows)
     part = _cols(partition_by)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    spec = {}
-    for name, a in aggs.items():
-        kind, expr = a[0], a[1]
-        inclusive = a[2] if len(a) > 2 else True
-        spec[name] = (kind, expr, inclusive)
-    keys = part + chunk
-
-    base = df.withColumns({f"__pv_{n}": e for n, (_, e, _) in spec.items()})
-    w_loc = Window.partitionBy(*keys).orderBy(*order)
-    w_all = Window.partitionBy(*keys)
-    local = {}
-    for n, (k, _, inclusive) in spec.items():
-        frame = w_loc.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        local[f"__pl_{n}"] = _CHUNK_AGG[k](F.col(f"__pv_{n}")).over(frame)
-        local[f"__pt_{n}"] = _CHUNK_AGG[k](F.col(f"__pv_{n}")).over(w_all)
-    windowed = base.withColumns(local)
-
-    totals = windowed.groupBy(*keys).agg(*[F.first(f"__pt_{n}").alias(f"__pt_{n}") for n in spec])
-    w_off = Window.partitionBy(*part).orderBy(*[F.col(c) for c in chunk]).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        *[_OFFSET_AGG[k](F.col(f"__pt_{n}")).over(w_off).alias(f"__po_{n}")
-          for n, (k, _, _) in spec.items()])
-
-    joined = _join_null_safe(windowed, offsets, keys)
-    out = joined.withColumns({n: _combine(k, F.col(f"__po_{n}"), F.col(f"__pl_{n}"))
-                              for n, (k, _, _) in spec.items()})
-    drop = [f"__{t}_{n}" for n in spec for t in ("pv", "pl", "pt", "po")]
-    return out.drop(*drop, *[c for c in chunk if c == "__sub"])
-
-
-def row_position(df: DataFrame, partition_by, order_by, chunk_by, name: str = "rn",
-                 max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
+    spec = {n: (a[0], a[1], a[2] if len(a) > 2 else True) for n, a in aggs.items()}
+    base = ordered_ranges(df.withColumns({f"__pv_{n}": e for n, (_, e, _) in spec.items()}), part, order_by, ranges)
+    keys = [*part, RANGE]
+    totals = base.groupBy(*keys).agg(*[_CHUNK_AGG[k](f"__pv_{n}").alias(f"__pt_{n}") for n, (k, _, _) in spec.items()])
+    offsets = _before(totals, part, {f"__po_{n}": _OFFSET_AGG[k](F.col(f"__pt_{n}")) for n, (k, _, _) in spec.items()})
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    local = base.withColumns({
+        f"__pl_{n}": _CHUNK_AGG[k](F.col(f"__pv_{n}")).over(w.rowsBetween(Window.unboundedPreceding, 0 if inc else -1))
+        for n, (k, _, inc) in spec.items()})
+    out = _join_null_safe(local, offsets, keys).withColumns(
+        {n: _combine(k, F.col(f"__po_{n}"), F.col(f"__pl_{n}")) for n, (k, _, _) in spec.items()})
+    return out.drop(*[f"__{t}_{n}" for n in spec for t in ("pv", "pl", "po")], RANGE)
+
+
+def row_position(df: DataFrame, partition_by, order_by, name: str = "rn", ranges: int | None = None) -> DataFrame:
     """1-based position of each row inside its ``partition_by`` group."""
-    return prefix_scan(df, partition_by, order_by, chunk_by, {name: ("count", F.lit(1))},
-                       max_chunk_rows=max_chunk_rows)
+    return prefix_scan(df, partition_by, order_by, {name: ("count", F.lit(1))}, ranges)
 
 
-def rolling_mean(df: DataFrame, partition_by, order_by, chunk_by, value_cols: dict,
-                 window: int = 3, include_current: bool = True,
-                 max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
+def rolling_mean(df: DataFrame, partition_by, order_by: Sequence[str], value_cols: dict, window: int = 3,
+                 include_current: bool = True, ranges: int | None = None) -> DataFrame:
     """Mean of the current and ``window-1`` previous rows per group
     (``include_current=False``: the ``window`` rows before).
 
     ``value_cols`` maps output name -> input column name.  Nulls are
     skipped and one row is enough (pandas ``rolling(min_periods=1)``).
 
-    One window stage on ``(key, chunk)`` computes the mean of every row
-    whose frame lies inside its chunk.  Only the first ``H`` rows of a chunk
-    (``H = window-1``, or ``window`` when the current row is excluded) need
-    rows of earlier chunks: each chunk's last ``H`` rows travel as a short
-    array through the small per-chunk table (previous ``H`` chunks gathered
-    by a window over that table) and are joined back on the chunk key.  The
-    big data is shuffled once; a task holds one chunk of one key.
+    Earlier rows of the same range are ``lag`` columns; for the first rows of a
+    range they come from the last rows of earlier ranges of the key, a table of
+    at most ``window`` rows per range.
     """
-    df, chunk = refine_chunks(df, partition_by, order_by, chunk_by, max_chunk_rows)
-    part = _cols(partition_by)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    keys = part + chunk
-    n = int(window)
-    h = n - 1 if include_current else n
-    lo, hi = (-(n - 1), 0) if include_current else (-n, -1)
-    names = list(value_cols)
-    row = F.struct(*[F.col(c).cast("double").alias(o) for o, c in value_cols.items()])
-
-    w_loc = Window.partitionBy(*keys).orderBy(*order)
-    w_all = Window.partitionBy(*keys)
-    cols = {"__rr": row, "__pos": F.row_number().over(w_loc), "__cnt": F.count(F.lit(1)).over(w_all)}
-    base = df.withColumns(cols)
-    frame = w_loc.rowsBetween(lo, hi)
-    inner = {f"__in_{o}": F.avg(F.col(f"__rr.{o}")).over(frame) for o in names}
-    inner["__recent"] = F.collect_list("__rr").over(frame) if h > 0 else F.array()
-    inner["__tail"] = F.collect_list("__rr").over(w_loc.rowsBetween(-(h - 1), 0)) if h > 0 else F.array()
-    windowed = base.withColumns(inner)
-
-    # one row per chunk: its last h rows (taken at the chunk's last row)
-    tails = windowed.where(F.col("__pos") == F.col("__cnt")).select(*keys, "__tail")
-    w_prev = Window.partitionBy(*part).orderBy(*[F.col(c) for c in chunk]).rowsBetween(-max(h, 1), -1)
-    prev = tails.select(*keys, F.flatten(F.collect_list("__tail").over(w_prev)).alias("__prev"))
-    prev = prev.select(*keys, F.when(F.size("__prev") > h, F.slice("__prev", -h, h) if h > 0 else F.array())
-                       .otherwise(F.col("__prev")).alias("__prev"))
-    joined = _join_null_safe(windowed, prev, keys)
-
-    # rows near the chunk start: earlier chunks' tail + this chunk's rows
-    allrows = F.concat(F.coalesce(F.col("__prev"), F.array()), F.col("__recent"))
-    lastn = F.when(F.size(allrows) > n, F.slice(allrows, -n, n)).otherwise(allrows)
-    def field(o):
-        return lambda r: r[o]
-
-    out = {}
-    for o in names:
-        vals = F.filter(F.transform(lastn, field(o)), lambda x: x.isNotNull())
-        s = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
-        edge = F.when(F.size(vals) > 0, s / F.size(vals))
-        out[o] = F.when(F.col("__pos") > h, F.col(f"__in_{o}")).otherwise(edge)
-    drop = ["__rr", "__pos", "__cnt", "__recent", "__tail", "__prev"] + [f"__in_{o}" for o in names]
-    return joined.withColumns(out).drop(*drop, *[c for c in chunk if c == "__sub"])
+    part, order = _cols(partition_by), list(order_by)
+    back = int(window) - 1 if include_current else int(window)
+    base = ordered_ranges(df, part, order, ranges)
+    keys = [*part, RANGE]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    value = {o: F.col(c).cast("double") for o, c in value_cols.items()}
+    if not back:
+        return base.withColumns(value).drop(RANGE)
+    last = (base.select(*keys, *order, F.struct(*[v.alias(o) for o, v in value.items()]).alias("__row"))
+            .withColumn("__after", F.lead(F.lit(1), back).over(w)).withColumn("__pos", F.row_number().over(w))
+            .where(F.col("__after").isNull())
+            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__pos", "__row"))).alias("__tail")))
+    w_prev = Window.partitionBy(*part).orderBy(RANGE).rowsBetween(-back, -1)
+    prev = last.select(*keys, F.flatten(F.collect_list("__tail").over(w_prev)).alias("__prev"))
+    cols = {"__pos": F.row_number().over(w)}
+    for o, v in value.items():
+        for i in range(1, back + 1):
+            cols[f"__l{i}_{o}"] = F.lag(v, i).over(w)
+    joined = _join_null_safe(base.withColumns(cols), prev, keys)
+    pos, out = F.col("__pos"), {}
+    for o, v in value.items():
+        seen = [v] if include_current else []
+        for i in range(1, back + 1):
+            earlier = F.try_element_at(F.col("__prev"), F.least(pos - i - 1, F.lit(-1)))["__row"][o]
+            seen.append(F.when(pos > i, F.col(f"__l{i}_{o}")).otherwise(earlier))
+        # added from the oldest on, as a plain sliding frame does
+        total, n = F.lit(0.0), F.lit(0)
+        for x in reversed(seen):
+            total, n = total + F.coalesce(x, F.lit(0.0)), n + x.isNotNull().cast("int")
+        out[o] = F.when(n > 0, total / n)
+    return joined.withColumns(out).drop(*cols, "__prev", RANGE)
 
 
 def keep_first(df: DataFrame, key, order_by: Sequence, last: bool = False) -> DataFrame:
@@ -234,10 +173,8 @@ def keep_first(df: DataFrame, key, order_by: Sequence, last: bool = False) -> Da
 def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
                  score1: str = "team1_score", score2: str = "team2_score",
                  order_by: Sequence = ("season", "week", "game_id"),
-                 chunk_by: Sequence = ("season", "week"),
                  win_pct: str = "head_to_head_win_pct",
-                 avg_diff: str = "head_to_head_avg_point_diff",
-                 max_chunk_rows: int | None = MAX_CHUNK_ROWS) -> DataFrame:
+                 avg_diff: str = "head_to_head_avg_point_diff", ranges: int | None = None) -> DataFrame:
     """Share of earlier meetings of the same (unordered) pair won by this
     row's ``team1`` and the mean earlier point difference seen from
     ``team1``; ``0.5`` / ``0.0`` when the pair has not met before.
@@ -254,13 +191,13 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
     hi_won = F.when(t1_is_lo, s2 > s1).otherwise(s1 > s2)
     diff_lo = F.when(t1_is_lo, s1 - s2).otherwise(s2 - s1)
     scanned = prefix_scan(
-        g, ["__lo", "__hi"], list(order_by), list(chunk_by),
+        g, ["__lo", "__hi"], list(order_by),
         {
             "__n": ("count", diff_lo, False),
             "__wlo": ("sum", F.coalesce(lo_won, F.lit(False)).cast("long"), False),
             "__whi": ("sum", F.coalesce(hi_won, F.lit(False)).cast("long"), False),
             "__d": ("sum", diff_lo, False),
-        }, max_chunk_rows=max_chunk_rows)
+        }, ranges)
     n = F.col("__n").cast("double")
     wins = F.when(F.col(team1) == F.col("__lo"), F.col("__wlo")).otherwise(F.col("__whi"))
     dsum = F.coalesce(F.col("__d").cast("double"), F.lit(0.0))
@@ -273,23 +210,30 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
 
 def win_streak(results: DataFrame, team: str = "team", result: str = "result",
                order_by: Sequence = ("season", "week", "game_id"),
-               chunk_by: Sequence = ("season", "week"),
-               streak: str = "win_streak", before: str = "streak_before") -> DataFrame:
+               streak: str = "win_streak", before: str = "streak_before", ranges: int | None = None) -> DataFrame:
     """Consecutive wins up to and including each game; a loss or a tie
     resets the streak to 0.  ``before`` is the streak entering the game.
 
-    Gaps-and-islands as two prefix scans: ``cw`` = running wins,
-    ``m`` = running max of ``cw`` at non-win rows; streak = ``cw - m``.
-    Both scans share the ``(team, chunk)`` partitioning, so the second adds
-    no shuffle of the big side.
+    ``cw`` are the running wins and ``m`` the running maximum of ``cw`` at
+    other results; the streak is ``cw - m``.  Both are local to a range; what
+    earlier ranges add follows from their number of wins and their last ``m``.
     """
-    is_win = (F.col(result) == "win")
-    step1 = prefix_scan(results, [team], list(order_by), list(chunk_by),
-                        {"__cw": ("sum", is_win.cast("long"))})
-    mark = F.when(~is_win, F.col("__cw")).otherwise(F.lit(0)).cast("long")
-    step2 = prefix_scan(step1, [team], list(order_by), list(chunk_by),
-                        {"__m": ("max", mark), "__mp": ("max", mark, False)})
-    st = (F.col("__cw") - F.coalesce(F.col("__m"), F.lit(0))).cast("long")
-    prev = (F.col("__cw") - is_win.cast("long") - F.coalesce(F.col("__mp"), F.lit(0))).cast("long")
-    return (step2.withColumn(streak, st).withColumn(before, prev)
-            .drop("__cw", "__m", "__mp"))
+    is_win = F.coalesce(F.col(result) == "win", F.lit(False))
+    base = ordered_ranges(results, [team], order_by, ranges)
+    keys = [team, RANGE]
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    upto, until = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    local = base.withColumn("__cw", F.sum(is_win.cast("long")).over(upto))
+    mark = F.when(~is_win, F.col("__cw"))
+    local = local.withColumns({"__m": F.max(mark).over(upto), "__mp": F.max(mark).over(until)})
+    parts = local.groupBy(*keys).agg(F.max("__cw").alias("__wins"), F.max("__m").alias("__mark"))
+    wins = _before(parts, [team], {"__wb": F.sum("__wins")})
+    parts = _join_null_safe(parts, wins, keys).withColumn("__wb", F.coalesce("__wb", F.lit(0)))
+    marks = _before(parts.withColumn("__mark", F.col("__wb") + F.col("__mark")), [team], {"__mb": F.max("__mark")})
+    offsets = _join_null_safe(parts.select(*keys, "__wb"), marks, keys)
+    out = _join_null_safe(local, offsets, keys)
+    cw = F.col("__wb") + F.col("__cw")
+    reset = lambda m: F.coalesce(F.greatest(F.col("__mb"), F.col("__wb") + F.col(m)), F.lit(0))
+    return (out.withColumn(streak, (cw - reset("__m")).cast("long"))
+            .withColumn(before, (cw - is_win.cast("long") - reset("__mp")).cast("long"))
+            .drop("__cw", "__m", "__mp", "__wb", "__mb", RANGE))

@@ -60,7 +60,7 @@ def test_categorical_defaults_and_weather(spark):
 
 
 def test_all_36_features_and_scaling(spark):
-    df = features.build_features(game_frame(spark), checkpoint=False)
+    df = features.build_features(game_frame(spark))
     assert all(c in df.columns for c in FEATURE_NAMES) and len(FEATURE_NAMES) == 36
     sc = scaling.Scaler(FEATURE_NAMES).fit(df)
     out = sc.transform(df)

@@ -18,7 +18,7 @@ def _events(spark, n=600, seed=7):
 
 def test_prefix_scan_matches_brute_force(spark):
     df = _events(spark)
-    out = windows.prefix_scan(df, ["key"], ["day", "id"], ["day"], {
+    out = windows.prefix_scan(df, ["key"], ["day", "id"], {
         "cs": ("sum", F.col("v")), "cx": ("sum", F.col("v"), False), "mx": ("max", F.col("v")),
         "n": ("count", F.lit(1)), "nx": ("count", F.col("v"), False)}).toPandas()
     pdf = df.toPandas().sort_values(["key", "day", "id"])
@@ -35,12 +35,11 @@ def test_prefix_scan_matches_brute_force(spark):
             assert (pd.isna(got.mx) and not incl) or got.mx == max(incl)
 
 
-@pytest.mark.parametrize("include_current,chunks", [(True, "day"), (False, "day"), (True, "tiny"), (False, "tiny")])
-def test_rolling_mean_across_chunks(spark, include_current, chunks):
-    df = _events(spark, 300).withColumn("tiny", F.floor(F.col("day") / 1) * 1000 + F.floor(F.col("id") / 7))
-    order = ["day", "id"]
-    out = windows.rolling_mean(df, ["key"], order, [chunks] if chunks == "day" else ["day", "tiny"],
-                               {"r": "v"}, window=3, include_current=include_current).toPandas()
+@pytest.mark.parametrize("include_current,ranges", [(True, 3), (False, 3), (True, 120), (False, 120)])
+def test_rolling_mean_across_ranges(spark, include_current, ranges):
+    df = _events(spark, 300)
+    out = windows.rolling_mean(df, ["key"], ["day", "id"], {"r": "v"}, window=3, include_current=include_current,
+                               ranges=ranges).toPandas()
     assert len(out) == 300
     pdf = df.toPandas().sort_values(["key", "day", "id"])
     pdf["v"] = pdf["v"].astype(float)
@@ -58,14 +57,14 @@ def test_streak_after_win_loss_tie(spark):
     rows = [("T", 1, 1, "win"), ("T", 2, 2, "win"), ("T", 3, 3, "loss"), ("T", 4, 4, "win"), ("T", 5, 5, "tie"),
             ("T", 6, 6, "win"), ("T", 7, 7, "win"), ("T", 8, 8, "win")]
     df = spark.createDataFrame(rows, "team string, season int, week int, result string").withColumn("game_id", F.col("week").cast("long"))
-    out = {r["week"]: (r["win_streak"], r["streak_before"]) for r in windows.win_streak(df, chunk_by=["season"]).collect()}
+    out = {r["week"]: (r["win_streak"], r["streak_before"]) for r in windows.win_streak(df, ranges=5).collect()}
     assert [out[w][0] for w in range(1, 9)] == [1, 2, 0, 1, 0, 1, 2, 3]
     assert [out[w][1] for w in range(1, 9)] == [0, 1, 2, 0, 1, 0, 1, 2]
 
 
 def test_streak_matches_brute_force_with_hot_key(spark):
     df = _events(spark).withColumnRenamed("key", "team")
-    out = windows.win_streak(df, order_by=["day", "id"], chunk_by=["day"]).toPandas()
+    out = windows.win_streak(df, order_by=["day", "id"], ranges=40).toPandas()
     pdf = df.toPandas().sort_values(["team", "day", "id"])
     for _, g in pdf.groupby("team"):
         s = 0
@@ -112,24 +111,26 @@ def test_null_keys_and_chunks_are_groups(spark):
     rows = [(None, 1, 1, 2.0), (None, 2, 2, 4.0), (None, 2, 3, 6.0), ("a", None, 4, 1.0), ("a", None, 5, 3.0),
             ("a", 1, 6, 5.0)]
     df = spark.createDataFrame(rows, "k string, c int, id long, v double")
-    pos = {r["id"]: r["rn"] for r in windows.row_position(df, ["k"], ["c", "id"], ["c"], "rn").collect()}
+    pos = {r["id"]: r["rn"] for r in windows.row_position(df, ["k"], ["c", "id"], "rn").collect()}
     assert pos == {1: 1, 2: 2, 3: 3, 4: 1, 5: 2, 6: 3}
-    roll = {r["id"]: r["r"] for r in windows.rolling_mean(df, ["k"], ["c", "id"], ["c"], {"r": "v"}).collect()}
+    roll = {r["id"]: r["r"] for r in windows.rolling_mean(df, ["k"], ["c", "id"], {"r": "v"}, ranges=4).collect()}
     assert roll[3] == 4.0 and roll[6] == 3.0
 
 
-def test_hot_chunks_are_split_and_results_unchanged(spark):
-    df = _events(spark, 400)
-    refined, chunk = windows.refine_chunks(df, ["key"], ["day", "id"], ["day"], max_chunk_rows=5)
-    assert chunk == ["day", "__sub"]
-    biggest = refined.groupBy("key", "day", "__sub").count().agg(F.max("count")).first()[0]
-    assert biggest <= 12          # approximate boundaries: close to the limit, far below the hot chunk
-    a = windows.prefix_scan(df, ["key"], ["day", "id"], ["day"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))},
-                            max_chunk_rows=5)
-    b = windows.prefix_scan(df, ["key"], ["day", "id"], ["day"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))},
-                            max_chunk_rows=None)
-    assert a.columns == b.columns and a.exceptAll(b).count() == 0
-    r1 = windows.rolling_mean(df, ["key"], ["day", "id"], ["day"], {"r": "v"}, max_chunk_rows=5).orderBy("id")
-    r2 = windows.rolling_mean(df, ["key"], ["day", "id"], ["day"], {"r": "v"}, max_chunk_rows=None).orderBy("id")
-    for x, y in zip(r1.collect(), r2.collect()):
-        assert (x["r"] is None and y["r"] is None) or x["r"] == pytest.approx(y["r"])
+@pytest.mark.parametrize("order", ["tied", "text", "alpha"])
+def test_many_ranges_equal_a_plain_window(spark, order):
+    """Ties on all but the last column, ids as text, and ids that are no numbers."""
+    from pyspark.sql import Window
+    rows = [("hot", 1, f"{i}" if order != "alpha" else f"g{i}", i, float(i % 7)) for i in range(100)]
+    df = spark.createDataFrame(rows, "key string, ts int, name string, id long, v double")
+    by = ["ts", "id"] if order == "tied" else ["name"]
+    w = Window.partitionBy("key").orderBy(*by)
+    want = df.select("id", F.row_number().over(w).alias("n"), F.avg("v").over(w.rowsBetween(-2, 0)).alias("r")).collect()
+    want = {r.id: (r.n, r.r) for r in want}
+    pos = windows.row_position(df, ["key"], by, "n", ranges=25)
+    roll = windows.rolling_mean(df, ["key"], by, {"r": "v"}, ranges=25)
+    got = {r.id: (r.n, r.r) for r in pos.join(roll.select("id", "r"), "id").collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
+    sizes = windows.ordered_ranges(df, ["key"], by, 25).groupBy(windows.RANGE).count().agg(F.max("count")).first()[0]
+    assert sizes <= 20          # one key, one timestamp, still spread
