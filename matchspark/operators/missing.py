@@ -1,8 +1,7 @@
 """Missing-value treatment (M1-M5): null fractions, drop of sparse columns,
 median / mode imputation, drop of rows still incomplete.
 
-Jobs: one aggregate for all null fractions, the median passes (usually
-one), one small grouped count per string column for the mode; the fill
+Jobs: one aggregate for all null fractions, one value count for all medians, one small grouped count per string column for the mode; the fill
 itself is a lazy projection with the statistics as literals.
 """
 
@@ -15,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import MISSING_THRESHOLD
+from ..session import broadcast_if_small
 from .quality import NUMERIC
+from .windows import prefix_scan
 
 
 def _is_missing(df: DataFrame, c: str):
@@ -40,69 +41,27 @@ def sparse_columns(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> list[
     return [r["column"] for r in fr if r["null_fraction"] is not None and r["null_fraction"] > threshold]
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], candidate_limit: int = 1_000_000,
-                  accuracy: int = 100_000, max_rounds: int = 8) -> dict[str, float | None]:
-    """Exact interpolating medians (pandas / Spark ``median``) without
-    gathering a column in one place.
+def exact_medians(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> dict[str, float | None]:
+    """Exact interpolating medians (pandas / Spark ``median``) at any size.
 
-    Per column the median ranks ``k1 = (n-1)//2`` and ``k2 = n//2`` are
-    located by narrowing a value window ``[lo, hi]`` with
-    ``percentile_approx`` (bounded sketches) until at most
-    ``candidate_limit`` values remain; only that checked, bounded set is
-    sorted in one task.  All columns advance together, one aggregate per
-    round.
+    All columns are stacked as ``(column, value)`` and counted (map-side
+    combined, so a value that most rows share is one row per task); running
+    counts over the values of each column then give the two middle ranks
+    ``(n - 1) // 2`` and ``n // 2``.  Only the medians reach the driver.
     """
-    data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    names = [f"c{i}" for i in range(len(columns))]
-
-    def present(c):
-        return F.col(c).isNotNull() & ~F.isnan(F.col(c))
-
-    first = data.agg(*[F.count_if(present(c)).alias(c) for c in names]).first()
-    state = {}
-    for c in names:
-        n = first[c]
-        if n:
-            state[c] = {"lo": None, "hi": None, "below": 0, "k1": (n - 1) // 2, "k2": n // 2, "m": n}
-    out: dict[str, float | None] = {col: None for col in columns}
-
-    for _ in range(max_rounds):
-        if not state:
-            break
-
-        def in_win(c):
-            s = state[c]
-            cond = present(c)
-            if s["lo"] is not None:
-                cond = cond & (F.col(c) >= F.lit(s["lo"])) & (F.col(c) <= F.lit(s["hi"]))
-            return cond
-
-        small = [c for c, s in state.items() if s["m"] <= candidate_limit]
-        large = [c for c, s in state.items() if s["m"] > candidate_limit]
-        aggs = [F.sort_array(F.collect_list(F.when(in_win(c), F.col(c)))).alias(f"{c}__vals") for c in small]
-        for c in large:
-            s = state[c]
-            p1 = max(0.0, (s["k1"] - s["below"]) / s["m"] - 0.001)
-            p2 = min(1.0, (s["k2"] - s["below"]) / s["m"] + 0.001)
-            aggs.append(F.percentile_approx(F.when(in_win(c), F.col(c)), [p1, p2], accuracy).alias(f"{c}__q"))
-        row = data.agg(*aggs).first()
-        for c in small:
-            s, vals = state.pop(c), row[f"{c}__vals"]
-            a, b = vals[s["k1"] - s["below"]], vals[s["k2"] - s["below"]]
-            out[columns[names.index(c)]] = a if s["k1"] == s["k2"] else (a + b) / 2.0
-        if large:
-            wins = {c: row[f"{c}__q"] for c in large}
-            cnt = data.agg(*[x for c in large for x in (
-                F.count_if(in_win(c) & (F.col(c) < F.lit(wins[c][0]))).alias(f"{c}__below"),
-                F.count_if(in_win(c) & (F.col(c) >= F.lit(wins[c][0])) & (F.col(c) <= F.lit(wins[c][1]))).alias(f"{c}__m"))]).first()
-            for c in large:
-                s = state[c]
-                s["below"] += cnt[f"{c}__below"]
-                s["lo"], s["hi"] = wins[c]
-                s["m"] = cnt[f"{c}__m"]
-    if state:
-        raise RuntimeError("median search did not converge; raise candidate_limit")
-    return out
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)])))
+    counts = (stacked.where(F.col("v").isNotNull() & ~F.isnan("v"))
+              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    ranked = prefix_scan(counts, ["c"], ["v"], {"upto": ("sum", F.col("n"))}, ranges)
+    total = ranked.groupBy("c").agg(F.max("upto").alias("total"))
+    middle = ranked.join(broadcast_if_small(total), "c")
+    holds = lambda rank: (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+    rows = middle.groupBy("c").agg(
+        F.max(F.when(holds(F.floor((F.col("total") - 1) / 2)), F.col("v"))).alias("lo"),
+        F.max(F.when(holds(F.floor(F.col("total") / 2)), F.col("v"))).alias("hi")).collect()
+    found = {columns[r.c]: r.lo if r.lo == r.hi else (r.lo + r.hi) / 2.0 for r in rows}
+    return {c: found.get(c) for c in columns}
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:

@@ -48,12 +48,19 @@ def test_unknown_when_no_value(spark):
     assert {r["s"] for r in out.collect()} == {"Unknown"}
 
 
-def test_exact_median_narrowing_path(spark):
+def test_exact_median_with_many_equal_values(spark):
+    df = spark.createDataFrame([(5.0,)] * 150 + [(float(i),) for i in range(50)], "v double")
+    assert missing.exact_medians(df, ["v"], ranges=7) == {"v": 5.0}
+    empty = spark.createDataFrame([(None,)], "v double")
+    assert missing.exact_medians(empty, ["v"]) == {"v": None}
+
+
+def test_exact_median_over_many_ranges(spark):
     rnd = random.Random(1)
     vals = [rnd.gauss(0, 1) for _ in range(2001)] + [5.0] * 700        # heavy duplicate
     vals2 = vals[:-1]
     df = spark.createDataFrame([(v, w) for v, w in zip(vals, vals2 + [None])], "v double, w double")
-    got = missing.exact_medians(df, ["v", "w"], candidate_limit=50, accuracy=1000)
+    got = missing.exact_medians(df, ["v", "w"], ranges=40)
     assert got["v"] == statistics.median(vals)
     assert got["w"] == statistics.median(vals2)
 
