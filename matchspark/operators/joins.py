@@ -47,15 +47,16 @@ def require_nonempty(df: DataFrame, message: str) -> DataFrame:
 
 
 def first_per_team(stats: DataFrame, name: str = "Name", keys: Sequence[str] = ("season",),
-                   position: str | None = None) -> DataFrame:
-    """One stats row per (keys, name); the first by ``position``.
+                   position: str | Sequence[str] | None = None) -> DataFrame:
+    """One stats row per (keys, name); the first by ``position`` (one
+    column or several).
 
     Without a position column the rows must already be unique.
     """
     if position is None:
         return stats
-    out = keep_first(stats, list(keys) + [name], [position])
-    return out.drop(position)
+    order = [position] if isinstance(position, str) else list(position)
+    return keep_first(stats, list(keys) + [name], order).drop(*order)
 
 
 def role_projection(stats: DataFrame, role: str, name: str = "Name",

@@ -42,8 +42,9 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) create a scratch folder for it."""
+    """The cluster's shared ``spark.checkpoint.dir``.  Only a ``local`` session
+    (tests), whose tasks all see one disk, gets a scratch folder when it is
+    unset; on a cluster an unset folder is an error, never a machine-local one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -54,24 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="matchspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
 
 
-def session_key(spark: SparkSession) -> str:
-    """Identity of the running application (for per-session memos)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return str(id(spark))
-
-
 def materialize(df):
     """Cut the lineage of a frame that later steps read several times.
 
-    A reliable ``checkpoint`` into the session's shared checkpoint folder
-    (never a machine-local one): the data is computed once, and a lost
+    A reliable ``checkpoint`` into the session's shared checkpoint folder: the data is computed once, and a lost
     executor re-reads the checkpoint files instead of recomputing the
     whole upstream plan.
     """
@@ -79,6 +73,23 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system its URL names."""
+    where, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(where))
+
+
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last path parts of the files that match a glob, on any file system."""
+    where, fs = _hadoop_path(spark, pattern)
+    return sorted(f.getPath().getName() for f in (fs.globStatus(where) or []))
+
+
 BROADCAST_LIMIT_BYTES = 64 << 20
 
 

@@ -3,8 +3,6 @@ name, multi-season union and the missing-file guard (S1-S4)."""
 
 from __future__ import annotations
 
-import glob
-import os
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.windows import row_position
+from ..session import glob_names, path_exists
+
 KIND_FILES = {
     "offense": "{season} Fantasy Offense Stats.csv",
     "defense": "{season} Fantasy Defense Stats.csv",
@@ -26,68 +27,91 @@ KIND_TYPES = {
 }
 
 
+#: Order of the rows of a file: the block of the file, then the row in its scan.
+POSITION = ("_block", "_pos")
+#: Present values that are no number, as a map column -> text of the row.
+BAD = "_bad"
+
+
 def season_file(data_dir: str, kind: str, season) -> str:
-    return os.path.join(data_dir, KIND_FILES[kind].format(season=season))
+    return f"{data_dir.rstrip('/')}/{KIND_FILES[kind].format(season=season)}"
 
 
-def check_files(data_dir: str, seasons: Sequence, kinds: Sequence[str] = ("offense", "defense", "schedule")) -> None:
-    """Every requested file must exist (local / mounted paths only; on
-    object stores the scan itself reports absent paths)."""
-    if "://" in data_dir:
-        return
+def check_files(spark: SparkSession, data_dir: str, seasons: Sequence,
+                kinds: Sequence[str] = ("offense", "defense", "schedule")) -> None:
+    """Every requested file must exist, on whatever file system."""
     for s in seasons:
         for k in kinds:
             path = season_file(data_dir, k, s)
-            if not os.path.exists(path):
-                raise FileNotFoundError(f"Data file not found: {path}")
+            if not path_exists(spark, path):
+                raise FileNotFoundError(f"season file not found: {path}")
 
 
-def header_columns(path: str) -> list[str]:
-    """Header line of one CSV (driver-side read of a single line)."""
-    with open(path, encoding="utf-8") as fh:
-        return [c.strip() for c in fh.readline().rstrip("\n").split(",")]
-
-
-def kind_schema(columns: Sequence[str], kind: str) -> T.StructType:
-    """Explicit schema by name: known columns typed, others DOUBLE."""
-    types = KIND_TYPES.get(kind, {})
-    return T.StructType([T.StructField(c, types.get(c, T.DoubleType()), True) for c in columns])
+def kind_type(column: str, kind: str) -> T.DataType:
+    """Type by name: known columns as listed, others DOUBLE."""
+    return KIND_TYPES.get(kind, {}).get(column, T.DoubleType())
 
 
 def read_kind(spark: SparkSession, data_dir: str, kind: str, seasons: Sequence) -> DataFrame:
-    """S1 + S2: one CSV scan of all requested seasons of a file kind, with
-    ``season`` (string) from the file name and ``_pos`` = row position in
-    its file (for keep-first / keep-last)."""
-    paths = [season_file(data_dir, kind, s) for s in seasons]
+    """S1 + S2: all requested seasons of a file kind, with ``season`` (string)
+    from the file name, the row's ``POSITION`` in its file and ``BAD``.
+
+    Files with the same header are one scan.  Values are read as text and cast
+    by name; what is present but no number is kept in ``BAD`` for the audit
+    instead of turning into a silent null."""
     by_header: dict[tuple, list[str]] = {}
-    for p in paths:
-        cols = tuple(header_columns(p)) if "://" not in p else ()
-        by_header.setdefault(cols, []).append(p)
+    for s in seasons:
+        path = season_file(data_dir, kind, s)
+        header = spark.read.option("header", True).csv(path).columns
+        by_header.setdefault(tuple(header), []).append(path)
     parts = []
-    for cols, group in by_header.items():
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        if cols:
-            reader = reader.schema(kind_schema(cols, kind))
-        df = reader.csv(group)
+    for header, paths in by_header.items():
+        raw = (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
+               .option("header", True).csv(paths))
         fname = F.regexp_replace(F.col("_metadata.file_name"), "%20", " ")
-        df = (df.withColumn("season", F.regexp_extract(fname, r"^([0-9]+)", 1))
-                .withColumn("_pos", F.monotonically_increasing_id()))
-        parts.append(df)
+        cast, bad = [], []
+        for c in header:
+            kind_of, text = kind_type(c.strip(), kind), F.col(f"`{c}`")
+            if isinstance(kind_of, T.StringType):
+                cast.append(text.alias(c.strip()))
+            else:
+                value = F.trim(text).try_cast("double")
+                cast.append(value.cast(kind_of).alias(c.strip()))
+                bad.append(F.when(text.isNotNull() & value.isNull(), F.struct(F.lit(c.strip()).alias("k"), text.alias("v"))))
+        found = F.map_from_entries(F.array_compact(F.array(*bad))) if bad else F.lit(None).cast("map<string,string>")
+        parts.append(raw.select(
+            *cast, F.regexp_extract(fname, r"^([0-9]+)", 1).alias("season"),
+            F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_pos"),
+            found.alias(BAD)))
     return union_seasons(parts)
 
 
+def require_numbers(df: DataFrame, kind: str) -> None:
+    """V4 in the loader: raises with the first values that are no numbers."""
+    rows = (df.where(F.size(BAD) > 0).select("season", F.explode(BAD).alias("column", "value"))
+            .orderBy("season", "column", "value").limit(5).collect())
+    if rows:
+        raise ValueError(f"{kind} files hold values that are no numbers: "
+                         + ", ".join(f"{r.season} {r.column}={r.value!r}" for r in rows))
+
+
+def schedule_games(schedule: DataFrame) -> DataFrame:
+    """Schedule rows as games.  ``game_id`` numbers a season's rows in file
+    order, under the season's number: unique whatever headers the files have,
+    and the same on every run."""
+    placed = row_position(schedule.select("season", *POSITION, "Week", "Team1", "Team2"), ["season"], POSITION, "__n")
+    return placed.select("season", F.col("Week").alias("week"), F.col("Team1").alias("team1"),
+                         F.col("Team2").alias("team2"),
+                         (F.col("season").cast("long") * F.lit(1 << 32) + F.col("__n")).alias("game_id"))
+
+
 def union_seasons(frames: Sequence[DataFrame]) -> DataFrame:
     """Row union by column name; columns missing on one side are
     null (pandas ``concat`` semantics)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def list_seasons(data_dir: str, kind: str = "offense") -> list[str]:
+def list_seasons(spark: SparkSession, data_dir: str, kind: str = "offense") -> list[str]:
     """Seasons for which a file of ``kind`` exists."""
-    pat = KIND_FILES[kind].format(season="*")
-    out = []
-    for p in glob.glob(os.path.join(data_dir, pat)):
-        head = os.path.basename(p).split(" ")[0]
-        if head.isdigit():
-            out.append(head)
-    return sorted(out)
+    heads = [n.split(" ")[0] for n in glob_names(spark, season_file(data_dir, kind, "*"))]
+    return sorted(h for h in heads if h.isdigit())

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .tables import table
 
 MONEY = "decimal(18,2)"
@@ -70,10 +71,9 @@ def derive_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # nation is a fixed 25-row dimension: broadcasting it is size-proven.
-    n1 = F.broadcast(table(spark, sf_dir, "nation").select(
+    n1 = broadcast_if_small(table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("team1")))
-    n2 = F.broadcast(table(spark, sf_dir, "nation").select(
+    n2 = broadcast_if_small(table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("team2")))
     lines = order_lines(spark, sf_dir)
     season, week = _season_week(F.col("o_orderdate"))
@@ -98,7 +98,7 @@ def derive_offense(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_totalprice", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = F.broadcast(table(spark, sf_dir, "nation").select(
+    n = broadcast_if_small(table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("Name")))
     lines = order_lines(spark, sf_dir).select("l_orderkey", "all_cents", "f_cents", "o_cents")
     season, _ = _season_week(F.col("o_orderdate"))
@@ -126,7 +126,7 @@ def derive_defense(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = F.broadcast(table(spark, sf_dir, "nation").select(
+    n = broadcast_if_small(table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("Name")))
     season, _ = _season_week(F.col("o_orderdate"))
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -160,67 +160,24 @@ def derive_defense(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# ----------------------------------------------------------------- prepared inputs
-# The stand-ins play the role of the original's input files (schedule,
-# offense and defense per season).  Like input tables they are derived once
-# per session and written as parquet tables partitioned by ``season`` into
-# the shared checkpoint folder (``spark.checkpoint.dir``); every query then
-# scans them with partition pruning, column pruning and pushed filters
-# instead of re-deriving them from lineitem / orders.
-PREPARE_INPUTS = True
-_PREPARED: dict = {}
-
-
-def _prepared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    if not PREPARE_INPUTS:
-        return build(spark, sf_dir)
-    import hashlib
-    import posixpath
-
-    from ..session import ensure_checkpoint_dir, materialize, session_key
-    key = (session_key(spark), sf_dir.rstrip("/"), name)
-    if key not in _PREPARED:
-        base = ensure_checkpoint_dir(spark)
-        if not base:
-            _PREPARED[key] = materialize(build(spark, sf_dir))
-        else:
-            tag = hashlib.sha1(f"{key[0]}|{key[1]}".encode()).hexdigest()[:16]
-            path = posixpath.join(base, "matchspark-inputs", tag, name)
-            build(spark, sf_dir).write.mode("overwrite").partitionBy("season").parquet(path)
-            _PREPARED[key] = spark.read.parquet(path)
-    return _PREPARED[key]
-
-
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared ``games`` (see :func:`derive_games`)."""
-    return _prepared(spark, sf_dir, "games", derive_games)
-
-
-def offense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared ``offense`` (see :func:`derive_offense`)."""
-    return _prepared(spark, sf_dir, "offense", derive_offense)
-
-
-def defense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared ``defense`` (see :func:`derive_defense`)."""
-    return _prepared(spark, sf_dir, "defense", derive_defense)
+games, offense, defense = derive_games, derive_offense, derive_defense
 
 
 def conferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(team, conference): the region name of each nation (25 rows, fixed)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey)
             .select(F.col("n_name").alias("team"), F.col("r_name").alias("conference")))
 
 
-# FIXED VALUES (stand-in odds, Clear / Rain / Snow / Wind per region); the
-# region MIDDLE EAST is deliberately absent to exercise the default.
+# Invented odds (Clear / Rain / Snow / Wind per region); the region
+# MIDDLE EAST is deliberately absent to exercise the default.
 REGION_WEATHER = {
-    "AFRICA": (0.7, 0.2, 0.05, 0.05),
-    "AMERICA": (0.5, 0.2, 0.2, 0.1),
-    "ASIA": (0.6, 0.3, 0.05, 0.05),
-    "EUROPE": (0.5, 0.1, 0.35, 0.05),
+    "AFRICA": (0.82, 0.11, 0.01, 0.06),
+    "AMERICA": (0.44, 0.27, 0.16, 0.13),
+    "ASIA": (0.53, 0.36, 0.03, 0.08),
+    "EUROPE": (0.38, 0.33, 0.17, 0.12),
 }
 
 
@@ -236,5 +193,5 @@ def team_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odds per nation from its region (MIDDLE EAST nations get none)."""
     conf = conferences(spark, sf_dir)
     reg = weather_odds_table(spark, REGION_WEATHER).withColumnRenamed("home_team", "conference")
-    return (conf.join(F.broadcast(reg), "conference")
+    return (conf.join(broadcast_if_small(reg), "conference")
             .select(F.col("team").alias("home_team"), "condition", "p"))

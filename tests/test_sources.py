@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from matchspark.operators import joins, quality
 from matchspark.sources import seasons, sinks
@@ -41,9 +40,9 @@ def test_union_by_name_with_other_column_order(spark, tmp_path):
     assert rows["2021"]["RB"] is None and rows["2022"]["RB"] == 6.0
 
 
-def test_missing_file(season_dir):
+def test_missing_file(spark, season_dir):
     with pytest.raises(FileNotFoundError, match="not found"):
-        seasons.check_files(season_dir, ["2019"])
+        seasons.check_files(spark, season_dir, ["2019"])
 
 
 def test_load_merge_and_reject(spark, season_dir):
@@ -52,10 +51,10 @@ def test_load_merge_and_reject(spark, season_dir):
     sch = seasons.read_kind(spark, season_dir, "schedule", ["2023"])
     for df, kind in ((off, "offense"), (dfn, "defense"), (sch, "schedule")):
         assert quality.validate_data(df, kind)
-    stats = joins.merge_team_stats(off.drop("_pos"), dfn.drop("_pos"))
+    extra = (*seasons.POSITION, seasons.BAD)
+    stats = joins.merge_team_stats(off.drop(*extra), dfn.drop(*extra))
     assert stats.columns[-1] == "GP" and "off_PTS" in stats.columns and "def_PA" in stats.columns
-    games = sch.select("season", F.col("Week").alias("week"), F.col("Team1").alias("team1"),
-                       F.col("Team2").alias("team2"), F.col("_pos").alias("game_id"))
+    games = seasons.schedule_games(sch)
     ok = joins.games_with_stats(games, stats)
     bad = joins.unmatched_games(games, stats)
     assert ok.count() == 3
@@ -92,3 +91,32 @@ def test_load_all_seasons_end_to_end(spark, season_dir):
     assert {"team1_off_PTS", "team2_def_DEF", "team1_GP"} <= set(rows.columns)
     with pytest.raises(FileNotFoundError, match="not found"):
         pipeline.load_all_seasons(spark, season_dir, ["2022", "2019"])
+
+
+def test_loader_duplicates_headers_and_urls(spark, tmp_path):
+    """First offense and first defense row of a duplicated name, differing schedule
+    headers, a URL path, and the same ids on every run."""
+    from matchspark.plans import pipeline
+    d = str(tmp_path)
+    for s, head in (("2021", "Week,Team1,Team2"), ("2022", "Week,Team2,Team1,Stadium")):
+        _write(d, f"{s} Fantasy Offense Stats.csv", "Name,GP,PTS,All,Run,Pass,QB\nA,17,10,2,3,4,5\nA,17,99,2,3,4,5\nB,17,24,75,28,47,16\n")
+        _write(d, f"{s} Fantasy Defense Stats.csv", "Name,GP,PA,DEF,QB\nA,17,20,6.5,15\nA,17,77,6.5,15\nB,17,22,7,17\n")
+        games = "1,A,B\n2,B,A\n" if s == "2021" else "1,B,A,1\n2,A,B,2\n"
+        _write(d, f"{s} Schedule.csv", head + "\n" + games)
+    runs = []
+    for path in (d, "file://" + d):
+        rows = pipeline.load_all_seasons(spark, path, ["2021", "2022"], threshold=None).collect()
+        assert len(rows) == 4 and len({r["game_id"] for r in rows}) == 4
+        assert {(r["team1_off_PTS"], r["team1_def_PA"]) for r in rows if r["team1"] == "A"} == {(10.0, 20.0)}
+        runs.append(sorted((r["season"], r["week"], r["team1"], r["game_id"]) for r in rows))
+    assert runs[0] == runs[1]
+    assert seasons.list_seasons(spark, "file://" + d) == ["2021", "2022"]
+    with pytest.raises(FileNotFoundError, match="not found"):
+        pipeline.load_all_seasons(spark, "file://" + d, ["2020"])
+
+
+def test_loader_reports_bad_numbers(spark, season_dir):
+    from matchspark.plans import pipeline
+    _write(season_dir, "2023 Fantasy Offense Stats.csv", "Name,GP,PTS,All,Run,Pass,QB\nA,17,lots,82.3,30.1,50.2,18.0\nB,17,24.0,75.0,28.0,47.0,16.5\n")
+    with pytest.raises(ValueError, match="PTS='lots'"):
+        pipeline.load_all_seasons(spark, season_dir, ["2023"])
