@@ -17,6 +17,7 @@ from ..functions.draw import arithmetic_uniform
 from ..operators import features, joins, metrics, missing, quality, results, scaling, split, vote, windows
 from ..session import materialize
 from ..sources import standins
+from ..sources.tables import table
 from . import common
 from .sqlparts import metrics_sql, off_def_sql, rating_select, rnd, with_ctes
 
@@ -95,9 +96,9 @@ _ROLL_OUT = [f"{r}_{s}_rolling_3games" for r in ("team1", "team2") for s in ROLL
 
 @register("rolling_features", _rolling_sql())
 def q_rolling(spark, sf):
-    df = materialize(common.game_ratios(spark, sf))
-    df = materialize(features.rolling_features(df, window=3, roles=["team1"]))
-    df = features.rolling_features(df, window=3, roles=["team2"])
+    df = materialize(common.game_ratios(spark, sf).select(
+        *common.KEYS, *[f"{r}_{s}" for r in ("team1", "team2") for s in ROLLING_STEMS]))
+    df = features.rolling_features(df, window=3)
     return common.round_cols(df.select(*common.KEYS, *_ROLL_OUT), _ROLL_OUT)
 
 
@@ -306,7 +307,6 @@ _V4_COLS = ["p_size", "p_retailprice", "p_brand", "p_type", "p_mixed"]
 
 
 def _part_strings(spark, sf):
-    from ..sources.tables import table
     p = table(spark, sf, "part")
     return p.select(
         F.col("p_size").cast("string").alias("p_size"),
@@ -413,21 +413,15 @@ def q_split_assign(spark, sf):
     return _split_games(spark, sf).select(*common.KEYS, "split")
 
 
-@register("split_counts", with_ctes("games") + f"""
-  SELECT count_if(sp = 'train') AS train, count_if(sp = 'val') AS val, count_if(sp = 'test') AS test,
-         count(*) AS total FROM (SELECT {_SPLIT_CASE} AS sp FROM games) x""")
+@register("split_counts", with_ctes("games") + """
+  SELECT count_if(season IN (1996, 1997)) AS train, count_if(season = 1998) AS val,
+         count_if(season = 1999) AS test, count(*) AS total FROM games""")
 def q_split_counts(spark, sf):
     g = standins.games(spark, sf)
-    # only 1996-1998 listed: total still counts every game (A2)
+    # 1996-1999 are listed: total still counts every game (A2)
     return split.split_counts(split.split_data(g, ["1996", "1997"], ["1998"], ["1999"]))
 
 
-q_split_counts_sql = with_ctes("games") + """
-  SELECT count_if(season IN (1996, 1997)) AS train, count_if(season = 1998) AS val,
-         count_if(season = 1999) AS test, count(*) AS total FROM games"""
-REGISTRY["split_counts"] = (q_split_counts, q_split_counts_sql)
-
-
 @register("distinct_seasons", with_ctes("games") + "SELECT DISTINCT season FROM games")
 def q_distinct_seasons(spark, sf):
     return standins.games(spark, sf).select("season").distinct()
@@ -491,7 +485,6 @@ def q_label_positives(spark, sf):
 @register("confusion_labels", metrics_sql(
     "(SELECT 'quality' AS model, quality AS y, 1 - toxic AS prediction FROM labels)"))
 def q_confusion_labels(spark, sf):
-    from ..sources.tables import table
     lab = table(spark, sf, "labels").select(F.lit("quality").alias("model"), F.col("quality").alias("y"),
                                             (F.lit(1) - F.col("toxic")).alias("prediction"))
     m = metrics.add_metrics(metrics.confusion(lab))
@@ -569,8 +562,8 @@ def q_preview(spark, sf):
   FROM games""")
 def q_chrono(spark, sf):
     g = standins.games(spark, sf).select(*common.KEYS)
-    # a season is a seventh of all games: number it with the chunked scan
-    pos = windows.row_position(g, ["season"], ["week", "game_id"], ["week"], "season_position")
+    # a season is a seventh of all games: number it with the range-partitioned scan
+    pos = windows.row_position(g, ["season"], ["week", "game_id"], "season_position")
     return pos.withColumn("season_position", F.col("season_position").cast("int"))
 
 
@@ -597,7 +590,6 @@ def q_union_seasons(spark, sf):
   SELECT c_nationkey, 'last', c_custkey, c_name FROM (
     SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS r FROM customer) y WHERE r = 1""")
 def q_keep_first_last(spark, sf):
-    from ..sources.tables import table
     c = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_name")
     first = windows.keep_first(c, "c_nationkey", ["c_custkey"]).withColumn("pick", F.lit("first"))
     last = windows.keep_first(c, "c_nationkey", ["c_custkey"], last=True).withColumn("pick", F.lit("last"))
@@ -611,9 +603,8 @@ def q_keep_first_last(spark, sf):
            AS value_rolling_3
   FROM events""")
 def q_rolling_events(spark, sf):
-    from ..sources.tables import table
-    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value").withColumn("day", F.to_date("ts"))
-    r = windows.rolling_mean(e, ["user_id"], ["ts", "event_id"], ["day"], {"value_rolling_3": "value"}, window=3)
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    r = windows.rolling_mean(e, ["user_id"], ["ts", "event_id"], {"value_rolling_3": "value"}, window=3)
     return common.round_cols(r.select("event_id", "user_id", "value_rolling_3"), ["value_rolling_3"])
 
 
@@ -626,11 +617,10 @@ def q_rolling_events(spark, sf):
                           OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island
               FROM events) a) b""")
 def q_streak_events(spark, sf):
-    from ..sources.tables import table
     e = table(spark, sf, "events").select(
-        "event_id", "user_id", "ts", F.to_date("ts").alias("day"),
+        "event_id", "user_id", "ts",
         F.when(F.col("event_type") == "purchase", "win").otherwise("loss").alias("result"))
-    st = windows.win_streak(e, team="user_id", order_by=["ts", "event_id"], chunk_by=["day"])
+    st = windows.win_streak(e, team="user_id", order_by=["ts", "event_id"])
     return st.select("event_id", "user_id", "win_streak", "streak_before")
 
 
@@ -720,12 +710,13 @@ _TRAINED: dict = {}
 
 
 def _trained(spark, sf):
-    """Train once per data folder and session (the three model queries
-    share one run)."""
+    """Train once per data folder and application (the model queries share one
+    run), over the small grids: the full ones are 3,360 fits."""
+    from ..operators.models import SMALL_GRIDS
     from . import pipeline
-    key = (sf, id(spark))
+    key = (sf, spark.sparkContext.applicationId)
     if key not in _TRAINED:
-        _TRAINED[key] = pipeline.train_pipeline(common.game_rows(spark, sf), parallelism=4)
+        _TRAINED[key] = pipeline.train_pipeline(common.game_rows(spark, sf), grids=SMALL_GRIDS, parallelism=4)
     return _TRAINED[key]
 
 
@@ -781,8 +772,8 @@ def _analytics_sql() -> str:
     return (with_ctes("games", "ratings") + _draw_sql() + f"""
   , sc AS (SELECT w.season, w.team1, w.team2, {s1} AS s1, {s2} AS s2
            FROM wx w
-           JOIN ratings r1 ON r1.season = w.season AND r1."Name" = w.team1
-           JOIN ratings r2 ON r2.season = w.season AND r2."Name" = w.team2)
+           JOIN ratings r1 ON r1.season = w.season AND r1."Name" = w.team1 AND r1.has_defense
+           JOIN ratings r2 ON r2.season = w.season AND r2."Name" = w.team2 AND r2.has_defense)
   , res AS (SELECT season, team1 AS team,
                    CASE WHEN s1 > s2 THEN 'win' WHEN s2 > s1 THEN 'loss' ELSE 'tie' END AS result FROM sc
             UNION ALL
@@ -811,6 +802,197 @@ def q_team_analytics(spark, sf):
     return out["standings"].select("season", "team", "wins", "losses", "ties", "conference", "conference_rank")
 
 
+# ---------------------------------------------------------------- orders of other kinds
+@register("rolling_string_order", f"""
+  SELECT event_id, user_id,
+         {rnd("avg(value) OVER (PARTITION BY user_id ORDER BY CAST(event_id AS VARCHAR) ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", 6)}
+           AS value_rolling_3
+  FROM events""")
+def q_rolling_string_order(spark, sf):
+    """W1 along a text order (ids as strings sort differently from numbers)."""
+    e = table(spark, sf, "events").select("event_id", "user_id", F.col("event_id").cast("string").alias("name"), "value")
+    r = windows.rolling_mean(e, ["user_id"], ["name"], {"value_rolling_3": "value"}, window=3)
+    return common.round_cols(r.select("event_id", "user_id", "value_rolling_3"), ["value_rolling_3"])
+
+
+@register("position_tied_ts", """
+  SELECT event_id, event_type, CAST(row_number() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE), event_id) AS BIGINT) AS n
+  FROM events""")
+def q_position_tied(spark, sf):
+    """Position with many rows per order value and a few hot keys."""
+    e = table(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
+    return windows.row_position(e, ["event_type"], ["day", "event_id"], "n").select("event_id", "event_type", "n")
+
+
+@register("streak_orders", """
+  SELECT o_orderkey, CAST(win_streak AS BIGINT) AS win_streak,
+         CAST(coalesce(lag(win_streak) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), 0) AS BIGINT) AS streak_before
+  FROM (SELECT *, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY o_custkey, island ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS win_streak
+        FROM (SELECT *, sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END)
+                          OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS island
+              FROM orders) a) b""")
+def q_streak_orders(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.when(F.col("o_orderstatus") == "F", "win").otherwise("loss").alias("result"))
+    return windows.win_streak(o, team="o_custkey", order_by=["o_orderdate", "o_orderkey"]).select(
+        "o_orderkey", "win_streak", "streak_before")
+
+
+# ---------------------------------------------------------------- medians with ties
+@register("median_ties", """
+  SELECT 'quantity' AS col, median(CASE WHEN l_orderkey % 7 <> 0 THEN CAST(l_quantity AS DOUBLE) END) AS med FROM lineitem
+  UNION ALL
+  SELECT 'tied', median(CASE WHEN l_linenumber <= 3 THEN 5.0 ELSE CAST(l_quantity AS DOUBLE) END) FROM lineitem
+  UNION ALL
+  SELECT 'tax', median(CAST(l_tax AS DOUBLE)) FROM lineitem""")
+def q_median_ties(spark, sf):
+    """M3 where most rows share a value, and with masked nulls."""
+    q = F.col("l_quantity").cast("double")
+    li = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 7 != 0, q).alias("quantity"),
+        F.when(F.col("l_linenumber") <= 3, F.lit(5.0)).otherwise(q).alias("tied"),
+        F.col("l_tax").cast("double").alias("tax"))
+    found = missing.exact_medians(li, ["quantity", "tied", "tax"])
+    return spark.createDataFrame(list(found.items()), "col string, med double")
+
+
+# ---------------------------------------------------------------- first rows of duplicated names
+@register("stats_first_row", """
+  SELECT a.c_nationkey AS season, a.c_mktsegment AS "Name", a.c_name AS off_first, b.c_name AS def_first
+  FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS r FROM customer) a
+  JOIN (SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey DESC) AS r FROM customer) b
+    ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment
+  WHERE a.r = 1 AND b.r = 1""")
+def q_stats_first_row(spark, sf):
+    """W6 + J1: duplicated names on both sides keep the first row of each side."""
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("season"), F.col("c_mktsegment").alias("Name"),
+                                            F.col("c_name").alias("first"), F.col("c_custkey").alias("_pos"))
+    off = joins.first_per_team(c, position="_pos")
+    dfn = joins.first_per_team(c.withColumn("_pos", -F.col("_pos")), position="_pos")
+    return joins.merge_team_stats(off, dfn)
+
+
+# ---------------------------------------------------------------- requests scored by themselves
+@register("adhoc_features", with_ctes("game_feats") + "SELECT game_id, " + ", ".join(
+    f'CAST("{r}_{s}" AS DOUBLE) AS "{r}_{s}_rolling_3games"' for r in ("team1", "team2") for s in ROLLING_STEMS)
+    + """, CAST(0.5 AS DOUBLE) AS head_to_head_win_pct, CAST(0.0 AS DOUBLE) AS head_to_head_avg_point_diff
+  FROM game_feats""")
+def q_adhoc_features(spark, sf):
+    """features of requests, each from its own row only."""
+    f = features.independent_features(common.game_rows(spark, sf))
+    return f.select("game_id", *_ROLL_OUT, "head_to_head_win_pct", "head_to_head_avg_point_diff")
+
+
+# ---------------------------------------------------------------- folds and closed-form scores
+@register("cv_folds", with_ctes("games") + """
+  SELECT game_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY game_id) - 1) % 5 AS INTEGER) AS fold
+  FROM (SELECT game_id, CAST(team1_score > team2_score AS INTEGER) AS label FROM games) x""")
+def q_cv_folds(spark, sf):
+    """stratified fold of every row, whatever its key looks like."""
+    from ..operators.models import add_folds
+    g = standins.games(spark, sf).select("game_id", (F.col("team1_score") > F.col("team2_score")).cast("int").alias("label"))
+    return add_folds(g)
+
+
+_LOGIT = {"team1_points_per_game": 1e-6, "team2_points_per_game": -1e-6, "team1_yards_per_game": 2e-7}
+
+
+@register("logistic_scores", with_ctes("game_feats") + f"""
+  SELECT game_id, CAST(p > 0.5 AS INTEGER) AS logistic_regression_prediction, {rnd("p", 6)} AS logistic_regression_team1_win_prob,
+         {rnd("greatest(p, 1 - p)", 6)} AS confidence
+  FROM (SELECT game_id, 1 / (1 + exp(-(0.1 + {" + ".join(f'CAST({v!r} AS DOUBLE) * "{c}"' for c, v in _LOGIT.items())}))) AS p
+        FROM game_feats) x""")
+def q_logistic_scores(spark, sf):
+    """F10 + F12 from fixed coefficients, through the scoring of fitted models."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    from ..operators import models as M
+    names = list(_LOGIT)
+    # a one-step fit gives the model object, whose numbers are then fixed
+    two = spark.createDataFrame([(Vectors.dense([0.0] * 3), 0.0), (Vectors.dense([1.0] * 3), 1.0)], ["features", "label"])
+    shape = LogisticRegression(maxIter=1).fit(two)
+    fixed = spark._sc._gateway.new_array(spark._jvm.double, len(names))
+    for k, c in enumerate(names):
+        fixed[k] = _LOGIT[c]
+    jvm = spark._jvm.org.apache.spark.ml
+    model = type(shape)(jvm.classification.LogisticRegressionModel("fixed", jvm.linalg.Vectors.dense(fixed), 0.1))
+    out = M.score(common.game_ratios(spark, sf).select("game_id", *names), {"logistic_regression": model}, names)
+    p, y = F.col("logistic_regression_team1_win_prob"), F.col("logistic_regression_prediction")
+    out = out.withColumn("confidence", vote.confidence(y, p))
+    return common.round_cols(out.select("game_id", y.alias("logistic_regression_prediction"),
+                                        p.alias("logistic_regression_team1_win_prob"), "confidence"),
+                             ["logistic_regression_team1_win_prob", "confidence"])
+
+
+# ---------------------------------------------------------------- teams without a game, other branches
+@register("standings_all_teams", with_ctes("results") + f"""
+  , st AS ({_STANDINGS_SQL})
+  , names AS (SELECT n_name AS team FROM nation UNION ALL SELECT r_name FROM region)
+  SELECT names.team, coalesce(wins, 0) AS wins, coalesce(losses, 0) AS losses, coalesce(ties, 0) AS ties
+  FROM names LEFT JOIN st ON st.team = names.team""")
+def q_standings_all(spark, sf):
+    """A1 over a team list: regions play the teams that have no game."""
+    names = (table(spark, sf, "nation").select(F.col("n_name").alias("team"))
+             .union(table(spark, sf, "region").select("r_name")))
+    return results.standings(results.results_long(standins.games(spark, sf)), teams=names)
+
+
+@register("one_hot_weather", with_ctes("games") + """
+  , w AS (SELECT game_id, CASE game_id % 6 WHEN 0 THEN 'Clear' WHEN 1 THEN 'rain' WHEN 2 THEN 'SNOW' WHEN 3 THEN 'Wind'
+                                           WHEN 4 THEN 'Fog' END AS weather FROM games)
+  SELECT game_id, CAST(coalesce(lower(weather) = 'clear', false) AS INTEGER) AS weather_clear,
+         CAST(coalesce(lower(weather) = 'rain', false) AS INTEGER) AS weather_rain,
+         CAST(coalesce(lower(weather) = 'snow', false) AS INTEGER) AS weather_snow,
+         CAST(coalesce(lower(weather) = 'wind', false) AS INTEGER) AS weather_wind FROM w""")
+def q_one_hot(spark, sf):
+    """E11 with a weather column: every case, an unknown condition and nulls."""
+    k = F.col("game_id") % 6
+    w = F.when(k == 0, "Clear").when(k == 1, "rain").when(k == 2, "SNOW").when(k == 3, "Wind").when(k == 4, "Fog")
+    g = standins.games(spark, sf).select("game_id", w.alias("weather"))
+    return features.categorical_features(g).select("game_id", "weather_clear", "weather_rain", "weather_snow", "weather_wind")
+
+
+@register("rest_days", with_ctes("games") + """
+  SELECT game_id, CAST(game_id % 11 - game_id % 7 AS BIGINT) AS rest_days_difference FROM games""")
+def q_rest_days(spark, sf):
+    """E13 with both rest-day columns."""
+    g = standins.games(spark, sf).select("game_id", (F.col("game_id") % 11).alias("team1_rest_days"),
+                                         (F.col("game_id") % 7).alias("team2_rest_days"))
+    return features.categorical_features(g).select("game_id", F.col("rest_days_difference").cast("long").alias("rest_days_difference"))
+
+
+_OVERLAP_SQL = """
+  , s AS (SELECT game_id, season, CASE WHEN season <= 1997 THEN 'train' WHEN season = 1998 THEN 'val' ELSE 'test' END AS split FROM games
+          UNION ALL SELECT game_id, season, 'val' FROM games WHERE season = 1997
+          UNION ALL SELECT game_id, season, 'test' FROM games WHERE season = 1998 AND game_id % 2 = 0)"""
+
+
+def _overlapping(spark, sf):
+    """A deliberately overlapping split: 1997 also in val, half of 1998 also in test."""
+    g = standins.games(spark, sf).select("game_id", "season")
+    base = g.withColumn("split", F.when(F.col("season") <= 1997, "train").when(F.col("season") == 1998, "val").otherwise("test"))
+    return (base.union(g.where("season = 1997").withColumn("split", F.lit("val")))
+            .union(g.where("season = 1998 AND game_id % 2 = 0").withColumn("split", F.lit("test"))))
+
+
+@register("season_overlap_found", with_ctes("games") + _OVERLAP_SQL + """
+  SELECT DISTINCT a.split AS split_a, b.split AS split_b, CAST(a.season AS VARCHAR) AS season
+  FROM (SELECT DISTINCT split, season FROM s) a JOIN (SELECT DISTINCT split, season FROM s) b
+    ON a.season = b.season AND (a.split, b.split) IN (('train', 'val'), ('train', 'test'), ('val', 'test'))""")
+def q_season_overlap_found(spark, sf):
+    """U2 over all three pairs on a split that does overlap."""
+    return split.season_overlaps(_overlapping(spark, sf))
+
+
+@register("leakage_found", with_ctes("games") + _OVERLAP_SQL + """
+  SELECT game_id, count(DISTINCT split) AS n_splits FROM s GROUP BY game_id HAVING count(DISTINCT split) > 1""")
+def q_leakage_found(spark, sf):
+    """U4 on a split that does overlap."""
+    return split.overlap_audit(_overlapping(spark, sf))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

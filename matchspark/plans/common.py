@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, joins
-from ..session import materialize
+from ..session import broadcast_if_small
 from ..sources import standins
 
 KEYS = ["game_id", "season", "week", "team1", "team2"]
@@ -42,8 +42,8 @@ MASKED_COLUMNS = ["season", "Name", "conference", "GP", "off_PTS", "off_Run", "o
 def masked_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import table
     st = team_stats(spark, sf_dir)
-    nk = F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_name").alias("Name"), "n_nationkey"))
-    conf = F.broadcast(standins.conferences(spark, sf_dir).withColumnRenamed("team", "Name"))
+    nk = broadcast_if_small(table(spark, sf_dir, "nation").select(F.col("n_name").alias("Name"), "n_nationkey"))
+    conf = broadcast_if_small(standins.conferences(spark, sf_dir).withColumnRenamed("team", "Name"))
     j = st.join(nk, "Name").join(conf, "Name")
     k = F.col("n_nationkey")
 

@@ -9,7 +9,6 @@ and model objects.  Row data never goes through the driver.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from ..functions.constants import FEATURE_NAMES, MISSING_THRESHOLD
 from ..functions.draw import hash_uniform
 from ..operators import features, joins, metrics, missing, models, results, scaling, split, vote
 from ..session import materialize
-from ..sources import sinks
+from ..sources import lookups, sinks
 
 
 @dataclass
@@ -52,18 +51,19 @@ def load_all_seasons(spark: SparkSession, data_dir: str, seasons, threshold: flo
     from ..operators import quality
     from ..sources import seasons as S
     seasons = [str(x) for x in seasons]
-    S.check_files(data_dir, seasons)
+    S.check_files(spark, data_dir, seasons)
     off = S.read_kind(spark, data_dir, "offense", seasons)
     dfn = S.read_kind(spark, data_dir, "defense", seasons)
     sch = S.read_kind(spark, data_dir, "schedule", seasons)
     for df, kind in ((off, "offense"), (dfn, "defense"), (sch, "schedule")):
         quality.validate_data(df, kind)
-    stats = joins.merge_team_stats(off.drop("_pos"), dfn.withColumnRenamed("_pos", "_dpos"))
-    stats = joins.require_nonempty(
-        stats, "Merge resulted in empty DataFrame. Check that team names match between offense and defense files.")
-    stats = joins.first_per_team(stats, position="def__dpos")   # merge prefixed it
-    games = sch.select("season", F.col("Week").alias("week"), F.col("Team1").alias("team1"),
-                       F.col("Team2").alias("team2"), F.col("_pos").alias("game_id"))
+        S.require_numbers(df, kind)
+    off, dfn = off.drop(S.BAD), dfn.drop(S.BAD)
+    # the first merged row of a team is its first offense and first defense row
+    off, dfn = (joins.first_per_team(d, position=S.POSITION) for d in (off, dfn))
+    stats = joins.require_nonempty(joins.merge_team_stats(off, dfn),
+                                   "the merge is empty: no team name is in both the offense and the defense files")
+    games = S.schedule_games(sch)
     rows = prepare_games(games, stats, threshold)
     if with_rejects:
         return rows, joins.unmatched_games(games, stats)
@@ -93,8 +93,7 @@ def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | N
                                   grids=grids, seed=seed, parallelism=parallelism)
     fitted = {n: t[0] for n, t in trained.items()}
     evaluated = models.score(scaled.where(F.col("split").isin("val", "test")), fitted, FEATURE_NAMES)
-    long = models.predictions_long(evaluated.withColumnRenamed("label", "y"), list(fitted), y="y")
-    long = long.join(evaluated.select("game_id", "split"), "game_id")
+    long = models.predictions_long(evaluated.withColumnRenamed("label", "y"), list(fitted), y="y", extra=["split"])
     per_split = (metrics.add_metrics(metrics.confusion(long, by=("split", "model")))
                  .withColumnRenamed("model", "model_name"))
     res = TrainResult(models=fitted, scaler=scaler, train_seasons=lists["train"], val_seasons=lists["val"],
@@ -109,7 +108,7 @@ def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | N
 def save_run(spark: SparkSession, res: TrainResult, out_dir: str) -> None:
     """S6 + S7: models, scaler statistics and the metadata document."""
     models.save_models(res.models, out_dir)
-    res.scaler.save(os.path.join(out_dir, "scaler"))
+    res.scaler.save(f"{out_dir.rstrip('/')}/scaler")
     seasons = res.train_seasons + res.val_seasons + res.test_seasons
     sinks.write_metadata(spark, {
         "training_date": _dt.datetime.now(_dt.timezone.utc).isoformat(),
@@ -119,14 +118,35 @@ def save_run(spark: SparkSession, res: TrainResult, out_dir: str) -> None:
         "split_counts": {k: int(v) for k, v in res.split_counts.items()},
         "cv_scores": res.cv_scores,
         "best_params": {m: {k: str(v) for k, v in p.items()} for m, p in res.best_params.items()},
-    }, os.path.join(out_dir, "metadata"))
+    }, f"{out_dir.rstrip('/')}/metadata")
 
 
 def load_run(spark: SparkSession, out_dir: str) -> tuple[dict, scaling.Scaler]:
-    """Models and scaler of a saved run (absent files raise)."""
+    """Models and scaler of a saved run (absent files raise); the scaler has
+    the feature list that was saved with them."""
     fitted = models.load_models(out_dir)
-    scaler = scaling.Scaler.load(spark, os.path.join(out_dir, "scaler"), FEATURE_NAMES)
-    return fitted, scaler
+    names = sinks.read_metadata(spark, f"{out_dir.rstrip('/')}/metadata")["feature_names"]
+    return fitted, scaling.Scaler.load(spark, f"{out_dir.rstrip('/')}/scaler", names)
+
+
+def evaluate_run(spark: SparkSession, out_dir: str, games: DataFrame) -> DataFrame:
+    """A8 of a saved run on its own test seasons, read from its metadata:
+    ``model_name``, confusion counts and rates per model."""
+    fitted, scaler = load_run(spark, out_dir)
+    seasons = sinks.read_metadata(spark, f"{out_dir.rstrip('/')}/metadata")["test_seasons"]
+    feats = features.build_features(games).where(F.col("season").cast("string").isin(seasons))
+    scored = models.score(scaler.transform(feats), fitted, scaler.columns)
+    long = models.predictions_long(scored.withColumnRenamed("label", "y"), list(fitted), y="y")
+    return metrics.add_metrics(metrics.confusion(long, by=("model",))).withColumnRenamed("model", "model_name")
+
+
+def score_season_files(spark: SparkSession, data_dir: str, season, fitted: dict,
+                       scaler: scaling.Scaler) -> tuple[DataFrame, DataFrame]:
+    """Entry 2 from the three files of a season: existence checks, the shared
+    preparation of training (merge, first row per team), predictions for games
+    of known teams and the rejected games."""
+    games, rejects = load_all_seasons(spark, data_dir, [season], threshold=None, with_rejects=True)
+    return predict_season(games, fitted, scaler), rejects
 
 
 def predict_season(games: DataFrame, fitted: dict, scaler: scaling.Scaler) -> DataFrame:
@@ -135,7 +155,7 @@ def predict_season(games: DataFrame, fitted: dict, scaler: scaling.Scaler) -> Da
     winner name and the projection ``week, team1, team2, consensus_winner,
     *_prediction``."""
     if scaler is None or not scaler.is_fitted:
-        raise ValueError("Scaler must be fitted before transforming. Call fit_scaler first.")
+        raise ValueError("Scaler must be fitted: it holds no statistics yet")
     g = games.drop("team1_score", "team2_score")
     feats = features.build_features(g, with_label=False)
     scored = models.score(scaler.transform(feats), fitted, FEATURE_NAMES)
@@ -145,14 +165,15 @@ def predict_season(games: DataFrame, fitted: dict, scaler: scaling.Scaler) -> Da
 def predict_matchups(requests: DataFrame, fitted: dict, scaler: scaling.Scaler) -> DataFrame:
     """F11 over a table of requests (any number of games with given stats):
     per model winner, confidence and team1 probability; consensus with the
-    first model winning ties (the single-game rule, F14)."""
+    first model winning ties (the single-game rule, F14).  Every request is
+    scored by itself: its features follow from its own row."""
     req = requests
     if "game_id" not in req.columns:
         req = req.withColumn("game_id", F.monotonically_increasing_id())
     for c, v in (("season", "2024"), ("week", 1)):
         if c not in req.columns:
             req = req.withColumn(c, F.lit(v))
-    feats = features.build_features(req, with_label=False, checkpoint=False)
+    feats = features.independent_features(req)
     scored = models.score(scaler.transform(feats), fitted, FEATURE_NAMES)
     t1, t2 = F.col("team1"), F.col("team2")
     cols = {}
@@ -169,8 +190,8 @@ def predict_matchups(requests: DataFrame, fitted: dict, scaler: scaling.Scaler)
     return out.select(*keep)
 
 
-def team_analytics(offense: DataFrame, defense: DataFrame, schedule: DataFrame, odds: DataFrame,
-                   conferences: DataFrame, seed: int = 0, use_weather: bool = False,
+def team_analytics(offense: DataFrame, defense: DataFrame, schedule: DataFrame, odds: DataFrame | None = None,
+                   conferences: DataFrame | None = None, seed: int = 0, use_weather: bool = False,
                    keys=("season",), position: str | None = None, uniform=None) -> dict[str, DataFrame]:
     """Entry 3: ratings (J4, E16-E20), expected-wins order (K3), a season of
     games scored once with seeded weather draws (J6, E25, E22, E23), the
@@ -178,8 +199,12 @@ def team_analytics(offense: DataFrame, defense: DataFrame, schedule: DataFrame,
 
     The original feeds each game's streak into the next score (a sequential
     simulator, not built); here every game is scored from the ratings and
-    the record follows from the results.
+    the record follows from the results.  Without ``odds`` or ``conferences``
+    the fixed stadium and conference tables are used.
     """
+    spark = schedule.sparkSession
+    odds = lookups.stadium_odds(spark) if odds is None else odds
+    conferences = lookups.conference_table(spark) if conferences is None else conferences
     od = joins.offense_with_defense(offense, defense, keys=keys, position=position)
     ratings = results.team_ratings(od)
     rejected = ratings.where(~F.col("has_defense"))

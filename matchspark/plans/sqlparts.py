@@ -232,7 +232,7 @@ def rating_sql() -> dict[str, str]:
 
 
 def rating_select(src: str) -> str:
-    return ("SELECT *, " + ", ".join(f'{e} AS "{n}"' for n, e in rating_sql().items())
+    return ("SELECT *, " + ", ".join(f'CASE WHEN has_defense THEN {e} END AS "{n}"' for n, e in rating_sql().items())
             + f" FROM {src}")
 
 

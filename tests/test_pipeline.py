@@ -23,9 +23,33 @@ def test_train_save_load_and_score_season(spark, tmp_path):
     assert meta["num_features"] == 36 and meta["test_seasons"] == res.test_seasons
 
     fitted, scaler = pipeline.load_run(spark, out)
+    assert scaler.columns == meta["feature_names"]
+    again = {r["model_name"]: r["accuracy"] for r in pipeline.evaluate_run(spark, out, games).collect()}
+    assert again == {n: r["accuracy"] for (s, n), r in m.items() if s == "test"}
     season = games.where(games.season.cast("string").isin(res.test_seasons))
     pred = pipeline.predict_season(season, fitted, scaler)
     rows = pred.collect()
     assert len(rows) == season.count()
     assert pred.columns[:4] == ["week", "team1", "team2", "consensus_winner"]
     assert all(r["consensus_winner"] in (r["team1"], r["team2"]) for r in rows)
+
+
+def test_requests_do_not_contaminate_each_other(spark):
+    """A request alone and among 1,000 others of the same team has the same features."""
+    from pyspark.sql import functions as F
+
+    from matchspark.functions.constants import FEATURE_NAMES
+    from matchspark.operators import features
+    one = common.game_rows(spark, SF_SMALL).limit(1).drop("game_id", "week", "team1_score", "team2_score")
+    many = one.crossJoin(spark.range(1000)).withColumn("team1_off_PTS", F.col("team1_off_PTS") + F.col("id"))
+    alone = features.independent_features(one).select(*FEATURE_NAMES).collect()
+    batch = features.independent_features(many).where("id = 0").select(*FEATURE_NAMES).collect()
+    assert alone == batch
+
+
+def test_default_lookup_tables(spark):
+    from matchspark.sources import lookups
+    conf = lookups.conference_table(spark)
+    assert conf.count() == 32 and {r["count"] for r in conf.groupBy("conference").count().collect()} == {16}
+    odds = lookups.stadium_odds(spark).groupBy("home_team").agg({"p": "sum"}).collect()
+    assert len(odds) == 32
