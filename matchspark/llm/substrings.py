@@ -248,7 +248,8 @@ def _segments(texts: DataFrame, window: int) -> DataFrame:
             for lo, hi, w in batch_words(batch.column(1)):
                 seen: set[bytes] = set()
                 out = {n: [] for n in schema.names}
-                for i in range(lo, hi):
+                # by doc_id, so that the row with the words has the first place of its segment here
+                for i in sorted(range(lo, hi), key=ids.__getitem__):
                     first = int(w.first[i - lo])
                     last = int(w.first[i - lo + 1])
                     for s in sorted(spans[i].as_py(), key=lambda s: s["start"]):
