@@ -10,7 +10,10 @@ SF = "/root/testdata/sf0.001"
 def test_stages_keep_the_columns_and_drop_what_they_must(spark, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "MinHash near-dedup", "benchmark decontamination",
                                                       "secret scans", "best-fit packing"]
-    source = docs = table(spark, SF, "documents")
+    source = table(spark, SF, "documents")
+    first = source.orderBy("doc_id").first()
+    leak = " ".join(sorted(first.text.split())) + ' token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'
+    source = docs = source.union(spark.createDataFrame([(10**6, leak, "en", "s", len(leak))], source.schema))
     n, sizes = source.count(), []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, SF)
@@ -22,7 +25,7 @@ def test_stages_keep_the_columns_and_drop_what_they_must(spark, tmp_path):
     assert n >= sizes[0] >= sizes[1] >= sizes[2] == sizes[3] == sizes[4] > 0.5 * n
     same = {r.doc_id: r.text for r in source.collect()}
     texts = {r.doc_id: r.text for r in spark.read.parquet(str(tmp_path / "3")).collect()}
-    assert any("[SECRET]" in t for t in texts.values())
+    assert texts[10**6].endswith('[SECRET]" end')
     assert all(t == same[d] or "[SECRET]" in t for d, t in texts.items())
 
 
