@@ -9,12 +9,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchspark.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["components", "counter_rows", "materialize", "parts_for", "record_batch", "sum_counters", "written"]
+__all__ = ["components", "counter_rows", "materialize", "parts_for", "record_batch", "sum_counters", "uniform", "written"]
 
 
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -28,6 +28,12 @@ def parts_for(total: int, per_part: int, least: int = 1) -> int:
     return max(least, math.ceil((total or 0) / per_part))
 
 
+def uniform(*cols: str) -> Column:
+    """A number in [0, 1) from the hash of the columns: a bounded sample of a
+    table of known size is a filter on it, without a sort or a shuffle."""
+    return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
+
+
 COUNTER_CHUNK = 1 << 14
 COUNTERS = "chunk long, counts binary"
 

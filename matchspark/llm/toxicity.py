@@ -11,8 +11,8 @@ Grades: labels only say toxic or not, so the training grade of a toxic
 document follows from how dense its marker words are (words whose smoothed
 log-odds for toxic exceed ``MARKER``): 1 up to ``GRADE_CUTS[0]`` of its words,
 2 up to ``GRADE_CUTS[1]``, 3 above; 0 is not toxic.  The sample is bounded:
-``PER_LABEL`` documents of either label, those with the smallest hash of
-doc_id, equal texts once.
+about ``PER_LABEL`` documents of either label, picked by the hash of doc_id,
+equal texts once.
 
 Defined results: a null or empty text has no features and the grade of the
 thresholds alone; without labels of both kinds every document has severity 0;
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import record_batch
+from matchspark.llm.common import record_batch, uniform
 from matchspark.llm.words import NON_ALNUM, batch_words
 
 PER_LABEL = 4000
@@ -132,11 +132,12 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, id_col
           text_col: str = "text", label_col: str = "toxic") -> Model:
     marks = (labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id"))
              .agg(F.max(F.col(label_col).cast("int")).alias("label")))
-    picked = None
+    sizes = {r.label: r["count"] for r in marks.groupBy("label").count().collect()}
+    keep = F.lit(False)
     for label in (0, 1):
-        part = marks.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_label)
-        picked = part if picked is None else picked.union(part)
-    # at most two times per_label rows
+        keep = keep | ((F.col("label") == label) & (uniform("id") < min(1.0, per_label / max(1, sizes.get(label, 1)))))
+    # about two times per_label rows of two numbers
+    picked = marks.filter(keep)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(picked), "id").select("id", "label", "text")
     schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("words", pa.binary())])
