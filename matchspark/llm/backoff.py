@@ -20,7 +20,7 @@ score is the sum of their logarithms, its first word counting ``c(w) / N``.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  Defined results: null
 texts and texts without words have 0 words, sum 0 and mean 0; repeated
-doc_ids are one document (their sums are added); an empty table gives an
+doc_ids, and null ones, are one document (their sums are added); an empty table gives an
 empty result; texts of any length are scored whole; other columns are ignored.
 """
 
@@ -42,6 +42,8 @@ VOCABULARY = 1 << 20
 HOT = 1 << 10
 BUCKET_WORDS = 6_000_000
 _SHIFT = np.uint64(32)
+#: Stands for a null doc_id inside the job.
+NO_ID = -(1 << 63)
 
 
 class Vocabulary:
@@ -110,7 +112,7 @@ PACKED = "bucket long, docs binary, keys binary, doc binary, n binary"
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score`` of every document."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
     words = vocabulary(texts)
     shared = spark.sparkContext.broadcast(words)
 
@@ -197,5 +199,5 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     parts = (packed.groupBy("bucket").applyInArrow(score, "doc_id long, part double")
              .select("doc_id", F.lit(0).cast("long").alias("n_words"), "part"))
     own = rows.filter("bucket is null").select("doc_id", "n_words", "part")
-    return (own.unionByName(parts).groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
+    return (own.unionByName(parts).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id")).agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
             .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(0.0)))

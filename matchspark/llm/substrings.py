@@ -22,7 +22,7 @@ start) is removed.
    intervals to remove; they are merged per document.
 
 Defined results: null texts have no words; documents of fewer words than a
-window keep all; equal rows of one doc_id are texts of one document id in
+window keep all, and so do rows without a doc_id; equal rows of one doc_id are texts of one document id in
 arbitrary but fixed order; an empty table gives an empty result; other input
 columns are ignored; texts of any length are read whole.
 """
@@ -298,6 +298,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """``doc_id, start, words``: word intervals made of windows that also start earlier."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     gram = min(GRAM, window)
+    texts = texts.filter("doc_id is not null")
     anchors = _anchors(texts, window, gram)
     shared = anchors.groupBy("anchor").agg(F.sum("places").alias("n")).filter("n > 1").select("anchor")
     spans = (anchors.join(shared, "anchor", "left_semi").groupBy("doc_id")

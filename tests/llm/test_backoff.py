@@ -44,3 +44,8 @@ def test_equals_brute_force(spark, monkeypatch, size, hot, bucket):
 
 def test_empty_table(spark):
     assert backoff.scores(empty(spark)).count() == 0
+
+
+def test_null_and_large_ids(spark):
+    df = spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "a b c"), (2, None)], "doc_id long, text string")
+    assert {r.doc_id: r.n_words for r in backoff.scores(df).collect()} == {None: 2, (1 << 60) + 1: 3, 2: 0}

@@ -28,6 +28,13 @@ def test_equals_brute_force(spark, window, shard, monkeypatch):
     assert got == plain(source, window)
 
 
+def test_null_ids_keep_all(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(None, text), (1 << 60, text), ((1 << 60) + 1, text)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(df).collect()}
+    assert got == {None: 0, 1 << 60: 0, (1 << 60) + 1: 40}
+
+
 def test_empty_table(spark):
     assert substrings.remove_repeats(empty(spark)).count() == 0
 
