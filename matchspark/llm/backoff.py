@@ -14,7 +14,7 @@ score is the sum of their logarithms, its first word counting ``c(w) / N``.
 * All other pairs are partitioned by key hash, with their document and count.
   A bucket holds every place of its pairs, so the task that counts them joins
   the counts back to the documents' pairs and adds up a partial score for each
-  document.  Rows are packed per slice of documents and bucket (sorted keys as
+  document, one packed row per slice and bucket; a slice's rows are then added.  Rows are packed per slice of documents and bucket (sorted keys as
   differences, in byte planes); the number of buckets follows the word count.
 * Partial scores are summed per document.
 
@@ -26,6 +26,7 @@ empty result; texts of any length are scored whole; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,7 +107,7 @@ def _unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-PACKED = "bucket long, docs binary, keys binary, doc binary, n binary"
+PACKED = "bucket long, slice long, docs binary, keys binary, doc binary, n binary"
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,7 +129,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     hot_counts = spark.sparkContext.broadcast(
         sum_counters(texts.select("text").mapInArrow(count_hot, COUNTERS), HOT * HOT))
     buckets = parts_for(words.total, BUCKET_WORDS)
-    schema = pa.schema([("bucket", pa.int64()), ("docs", pa.binary()), ("keys", pa.binary()), ("doc", pa.binary()),
+    schema = pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("docs", pa.binary()), ("keys", pa.binary()), ("doc", pa.binary()),
                         ("n", pa.binary()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("part", pa.float64())])
 
     def explode(batches):
@@ -156,11 +157,12 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 key, d = key[new], d[new]
                 bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
                 out = {f.name: [] for f in schema}
+                number = int.from_bytes(hashlib.blake2b(ids[lo:hi].tobytes(), digest_size=8).digest(), "little", signed=True)
                 for k in np.unique(bucket):
                     pick = bucket == k
                     used, local = np.unique(d[pick], return_inverse=True)
                     keys = np.diff(key[pick], prepend=np.uint64(0))
-                    for name, value in (("bucket", int(k)), ("docs", ids[lo + used].tobytes()), ("keys", _planes(keys)),
+                    for name, value in (("bucket", int(k)), ("slice", number), ("docs", ids[lo + used].tobytes()), ("keys", _planes(keys)),
                                         ("doc", _planes(local.astype(np.uint32))),
                                         ("n", _planes(count[pick].astype(np.uint32)))):
                         out[name].append(value)
@@ -168,14 +170,14 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 none = [None] * rows
                 yield record_batch(schema, **{**out, "doc_id": none, "n_words": none, "part": none})
                 none = [None] * size
-                yield record_batch(schema, bucket=none, docs=none, keys=none, doc=none, n=none, doc_id=ids[lo:hi],
+                yield record_batch(schema, bucket=none, slice=none, docs=none, keys=none, doc=none, n=none, doc_id=ids[lo:hi],
                                    n_words=np.diff(w.first), part=part)
     fields = PACKED + ", doc_id long, n_words long, part double"
 
     def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, packed = shared.value, []
         for batch in batches:
-            packed += zip(*(batch.column(c).to_pylist() for c in ("docs", "keys", "doc", "n")))
+            packed += zip(*(batch.column(c).to_pylist() for c in ("docs", "keys", "doc", "n", "slice")))
         keys = [np.cumsum(_unplanes(p[1], np.uint64), dtype=np.uint64) for p in packed]
         counts = [_unplanes(p[3], np.uint32) for p in packed]
         every = np.concatenate(keys)
@@ -191,12 +193,25 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             ids = np.frombuffer(p[0], np.int64)
             sums = np.bincount(_unplanes(p[2], np.uint32), value[of[at:at + len(k)]] * n, len(ids))
             at += len(k)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums)], names=["doc_id", "part"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[4]], pa.int64()), pa.array([p[0]], pa.binary()), pa.array([sums.tobytes()], pa.binary())],
+                names=["slice", "docs", "sums"])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of the documents of one slice over its buckets."""
+        ids, sums = [], []
+        for batch in batches:
+            ids += [np.frombuffer(x, np.int64) for x in batch.column("docs").to_pylist()]
+            sums += [np.frombuffer(x, np.float64) for x in batch.column("sums").to_pylist()]
+        used, at = np.unique(np.concatenate(ids), return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.bincount(at, np.concatenate(sums), len(used)))],
+                                         names=["doc_id", "part"])
     rows = texts.mapInArrow(explode, fields)
     # one pass makes both kinds of rows; its output is kept for the two uses
     rows = written(rows)
     packed = rows.filter("bucket is not null").select(*(c.split()[0] for c in PACKED.split(", ")))
-    parts = (packed.groupBy("bucket").applyInArrow(score, "doc_id long, part double")
+    parts = (packed.groupBy("bucket").applyInArrow(score, "slice long, docs binary, sums binary")
+             .groupBy("slice").applyInArrow(add, "doc_id long, part double")
              .select("doc_id", F.lit(0).cast("long").alias("n_words"), "part"))
     own = rows.filter("bucket is null").select("doc_id", "n_words", "part")
     return (own.unionByName(parts).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id")).agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
