@@ -1,22 +1,30 @@
-"""Stupid-backoff language-model scores (operator 1), order 2.
-
-The score of a word w after v is ``c(v w) / c(v)`` where the pair occurs at
-least ``MIN_COUNT`` times in the corpus, else ``ALPHA * c(w) / N``; a document's
-score is the sum of their logarithms, its first word counting ``c(w) / N``.
-
-* Word counts cover all documents.  The ``VOCABULARY`` most frequent words get
-  a number (a parameter of the model that bounds the broadcast to 16 MB); all
-  other words are scored as one unknown word.  Pairs of numbers are exact keys.
-* Pairs of two of the ``HOT`` most frequent words (the unknown word included) are
-  counted in one dense table of fixed size, summed on executors, and scored
-  where they are read: the pairs that a large part of all documents holds are
-  never shuffled.
-* All other pairs are partitioned by key hash, with their document and count.
-  A bucket holds every place of its pairs, so the task that counts them joins
-  the counts back to the documents' pairs and adds up a partial score for each
-  document, one packed row per slice and bucket; a slice's rows are then added.  Rows are packed per slice of documents and bucket (sorted keys as
-  differences, in byte planes); the number of buckets follows the word count.
-* Partial scores are summed per document.
+"""Stupid-backoff language-model scores (operator 1).
+
+``whole_scores`` (the query) is of order 3 and has no vocabulary: a word after u v
+scores ``c(u v w) / c(u v)``, the second word of a document ``c(v w) / c(v)``, the
+first ``c(w) / N``; the document's score is the sum of their logarithms.  All
+counts are of the scored corpus, so every gram has a count above 0 and nothing
+backs off.  The sum telescopes to
+
+    sum log c(trigrams) - sum log c(pairs that neither begin nor end the text) - log N
+
+(shorter texts: the logarithm of their only gram's count, less ``log N``).
+
+* Grams are keyed by a 63-bit hash and a type bit; at 30 GB less than one pair of
+  different grams is expected to share a key.
+* Grams that a sample shows to be frequent (at most ``HOT_GRAMS``) are counted exactly
+  in one array over the whole table and scored where they are read: the keys that
+  a large part of all documents holds are never shuffled.  The sample decides
+  only which way a gram goes, not its count.
+* All other grams are partitioned by ranges of the key, with their documents and
+  counts.  A bucket holds every place of its grams, so the task that counts them
+  adds up a partial score for each document, one packed row per slice and bucket;
+  a slice's rows are then added.  The number of buckets follows the word count.
+* Texts of one word are joined to exact word counts.
+
+``scores`` is an older, capped model of order 2 that no query uses: the ``VOCABULARY``
+most frequent words have a number, all others are one unknown word, and pairs
+seen less than ``MIN_COUNT`` times score ``ALPHA * c(w) / N``.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  Defined results: null
 texts and texts without words have 0 words, sum 0 and mean 0; repeated
@@ -34,14 +42,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import COUNTERS, counter_rows, parts_for, record_batch, sum_counters, written
-from matchspark.llm.words import Words, batch_words, mix
+from matchspark.llm.common import (COUNTER_CHUNK, COUNTERS, counter_rows, parts_for, record_batch, sum_counters, uniform,
+                                   written)
+from matchspark.llm.words import Words, batch_words, grams, mix
 
 ALPHA = 0.4
 MIN_COUNT = 2
 VOCABULARY = 1 << 20
 HOT = 1 << 10
 BUCKET_WORDS = 6_000_000
+# Which grams are counted without a shuffle: at most so many, seen so often in a sample of about so many documents.
+HOT_GRAMS = 1 << 18
+HOT_DOCS = 4000
+HOT_SEEN = 4
+GRAM_BUCKET = 2_500_000
+WORD_MARKS = 1 << 20
+GRAM_SLICE = 1 << 20
+ONE_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
 _SHIFT = np.uint64(32)
 #: Stands for a null doc_id inside the job.
 NO_ID = -(1 << 63)
@@ -216,3 +233,196 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     own = rows.filter("bucket is null").select("doc_id", "n_words", "part")
     return (own.unionByName(parts).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id")).agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
             .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(0.0)))
+
+
+def _events(w: Words):
+    """Every pair and trigram of a slice: its document, key (type in the last bit,
+    1 for pairs) and, for pairs, its weight in the score plus 1."""
+    doc, size = w.doc_of_word().astype(np.int32), np.diff(w.first)
+    at3, at2 = np.flatnonzero(doc[2:] == doc[:-2]), np.flatnonzero(doc[1:] == doc[:-1])
+    place, of = at2 - w.first[doc[at2]], size[doc[at2]]
+    extra = np.where(of == 2, 2, (place == 0) | (place == of - 2)).astype(np.uint8)
+    key = np.concatenate((grams(w.hash, 3)[at3] << np.uint64(1), (grams(w.hash, 2)[at2] << np.uint64(1)) | np.uint64(1)))
+    return np.concatenate((doc[at3], doc[at2])), key, np.concatenate((np.zeros(len(at3), np.uint8), extra))
+
+
+def _weight(key: np.ndarray, n: np.ndarray, extra: np.ndarray) -> np.ndarray:
+    return np.where((key & np.uint64(1)) == 0, n, extra.astype(np.int64) - n)
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of the key, so that differences inside a bucket are small."""
+    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _hot_grams(texts: DataFrame) -> np.ndarray:
+    """Sorted keys of grams that are frequent in a sample of the documents."""
+    def run(batches):
+        schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+        for batch in batches:
+            for _, _, w in batch_words(batch.column(0), lower=True, limit=GRAM_SLICE):
+                d, key, _ = _events(w)
+                order = np.lexsort((d, key))
+                key, d = key[order], d[order]
+                key = key[np.concatenate(([True], (key[1:] != key[:-1]) | (d[1:] != d[:-1])))[:len(key)]]
+                key, n = np.unique(key, return_counts=True)
+                yield record_batch(schema, key=key.view(np.int64), n=n)
+    share = min(1.0, HOT_DOCS / max(1, texts.count()))
+    seen = (texts.filter(uniform("doc_id") < share).select("text").mapInArrow(run, "key long, n long")
+            .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_SEEN))
+    top = seen.orderBy(F.desc("n"), "key").limit(HOT_GRAMS).toArrow()
+    return np.sort(top.column("key").to_numpy().astype(np.int64).view(np.uint64))
+
+
+GRAMS = "bucket long, slice long, docs binary, keys binary, doc binary, n binary, extra binary, words binary, own binary"
+SUMS = "slice long, docs binary, words binary, sums binary"
+
+
+def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_words, log_score, mean_log_score`` of every document, order 3, all words."""
+    spark = docs.sparkSession
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+    hot_keys = spark.sparkContext.broadcast(_hot_grams(texts))
+    size = HOT_GRAMS + COUNTER_CHUNK  # the last counter is the number of words
+
+    def places(key: np.ndarray):
+        hot = hot_keys.value
+        if not len(hot):
+            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+        return at, hot[at] == key
+
+    def count_hot(batches):
+        table = np.zeros(size, np.int64)
+        for batch in batches:
+            for _, _, w in batch_words(batch.column(0), lower=True, limit=GRAM_SLICE):
+                at, hot = places(_events(w)[1])
+                table += np.bincount(at[hot], minlength=size)
+                table[-1] += len(w)
+        yield counter_rows(table)
+    counted = sum_counters(texts.select("text").mapInArrow(count_hot, COUNTERS), size)
+    total = int(counted[-1])
+    hot_log = spark.sparkContext.broadcast(np.log(np.maximum(counted[:HOT_GRAMS], 1)))
+    buckets = parts_for(2 * total, GRAM_BUCKET)
+    schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.binary()) for c in GRAMS.split(", ")])
+
+    def explode(batches):
+        """Packed grams for each bucket, and one row of what each document scores here."""
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi, w in batch_words(batch.column(1), lower=True, limit=GRAM_SLICE):
+                d, key, extra = _events(w)
+                at, hot = places(key)
+                n_words = np.diff(w.first)
+                own = np.where(n_words > 0, -np.log(max(1, total)), 0.0)
+                own += np.bincount(d[hot], _weight(key[hot], 1, extra[hot]) * hot_log.value[at[hot]], hi - lo)
+                d, key, extra = d[~hot], key[~hot], extra[~hot]
+                order = np.lexsort((d, key))
+                d, key, extra = d[order], key[order], extra[order]
+                del at, hot, order
+                number = int.from_bytes(hashlib.blake2b(ids[lo:hi].tobytes(), digest_size=8).digest(), "little", signed=True)
+                out = {f.name: [] for f in schema}
+
+                def put(**row):
+                    for name in out:
+                        out[name].append(row.get(name))
+                put(bucket=number % buckets, slice=number, docs=ids[lo:hi].tobytes(), words=n_words.astype(np.int64).tobytes(),
+                    own=own.tobytes())
+                if len(key):
+                    new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (d[1:] != d[:-1]))))
+                    n, extra = np.diff(np.append(new, len(key))), np.add.reduceat(extra, new, dtype=np.int64)
+                    key, d = key[new], d[new]
+                    bucket = _bucket(key, buckets)
+                    cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(key)]))
+                    for a, b in zip(cuts[:-1], cuts[1:]):
+                        put(bucket=int(bucket[a]), slice=number, keys=_planes(np.diff(key[a:b], prepend=np.uint64(0))),
+                            doc=_planes(d[a:b].astype(np.uint32)),
+                            n=_planes(n[a:b].astype(np.uint32)), extra=_planes(extra[a:b].astype(np.uint32)))
+                yield record_batch(schema, **out)
+
+    def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed, keys, counts = [], [], []
+        for batch in batches:
+            for r in zip(*(batch.column(c) for c in ("slice", "docs", "keys", "doc", "n", "extra", "words", "own"))):
+                number, ids, k, doc, n, extra, n_words, own = (x.as_py() for x in r)
+                if k is None:
+                    yield _sums(number, ids, n_words, own)
+                else:
+                    packed.append((number, doc, extra))
+                    keys.append(np.cumsum(_unplanes(k, np.uint64), dtype=np.uint64))
+                    counts.append(_unplanes(n, np.uint32))
+        if not packed:
+            return
+        sizes = [len(k) for k in keys]
+        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(keys, kind="stable")
+        new = keys[order]
+        new = np.concatenate(([True], new[1:] != new[:-1]))
+        value = np.log(np.add.reduceat(counts[order], np.flatnonzero(new), dtype=np.int64))
+        of = np.empty(len(order), np.uint32)
+        of[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+        del order, new
+        at = 0
+        for (number, doc, extra), size in zip(packed, sizes):
+            here = slice(at, at + size)
+            weight = _weight(keys[here], counts[here].astype(np.int64), _unplanes(extra, np.uint32))
+            used, local = np.unique(_unplanes(doc, np.uint32), return_inverse=True)
+            sums = np.bincount(local, value[of[here]] * weight, len(used))
+            at += size
+            yield _sums(number, _planes(used), None, _planes(sums))
+
+    def _sums(number, ids, n_words, sums) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in (ids, n_words, sums))],
+                                          names=["slice", "docs", "words", "sums"])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words and sums of the documents of one slice over its buckets.  The slice's own
+        row has the ids, a bucket's row places in them (equal slices have equal ids)."""
+        ids, n_words, places, sums = None, 0, [], []
+        for batch in batches:
+            for i, n, x in zip(*(batch.column(c).to_pylist() for c in ("docs", "words", "sums"))):
+                if n is None:
+                    places.append(_unplanes(i, np.uint32))
+                    sums.append(_unplanes(x, np.float64))
+                else:
+                    ids, n_words = np.frombuffer(i, np.int64), n_words + np.frombuffer(n, np.int64)
+                    places.append(np.arange(len(ids)))
+                    sums.append(np.frombuffer(x, np.float64))
+        part = np.bincount(np.concatenate(places), np.concatenate(sums), len(ids))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n_words), pa.array(part)], names=["doc_id", "n_words", "part"])
+    parts = (texts.mapInArrow(explode, GRAMS).groupBy("bucket").applyInArrow(score, SUMS)
+             .groupBy("slice").applyInArrow(add, "doc_id long, n_words long, part double"))
+    return (parts.unionByName(_single_words(texts)).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"))
+            .agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
+            .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(0.0)))
+
+
+def _single_words(texts: DataFrame) -> DataFrame:
+    """What the only word of a text of one word scores, less ``- log N``.
+
+    Only words whose hash is marked (by a word of such a text, in an array of fixed size) are counted."""
+    def mark(batches):
+        table = np.zeros(WORD_MARKS, np.int64)
+        for batch in batches:
+            table[batch.column(0).to_numpy().view(np.uint64) % np.uint64(WORD_MARKS)] = 1
+        yield counter_rows(table)
+
+    def count(batches):
+        schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
+        for batch in batches:
+            for _, _, w in batch_words(batch.column(0), lower=True, limit=GRAM_SLICE):
+                word, n = np.unique(w.hash[marked.value[w.hash % np.uint64(WORD_MARKS)]], return_counts=True)
+                yield record_batch(schema, word=word.view(np.int64), n=n)
+
+    def single(batches):
+        schema = pa.schema([("doc_id", pa.int64()), ("word", pa.int64())])
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi, w in batch_words(batch.column(1), lower=True, limit=GRAM_SLICE):
+                one = np.flatnonzero(np.diff(w.first) == 1)
+                yield record_batch(schema, doc_id=ids[lo + one], word=w.hash[w.first[one]].view(np.int64))
+    singles = texts.filter(F.col("text").rlike(ONE_WORD)).mapInArrow(single, "doc_id long, word long")
+    marked = texts.sparkSession.sparkContext.broadcast(
+        sum_counters(singles.select("word").mapInArrow(mark, COUNTERS), WORD_MARKS) > 0)
+    counts = written(texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    return singles.join(counts, "word").select("doc_id", F.lit(0).cast("long").alias("n_words"), F.log("n").alias("part"))

@@ -143,4 +143,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_lm_scoring")
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.scores(table(spark, sf_dir, "documents"))
+    return backoff.whole_scores(table(spark, sf_dir, "documents"))

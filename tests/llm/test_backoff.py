@@ -49,3 +49,49 @@ def test_empty_table(spark):
 def test_null_and_large_ids(spark):
     df = spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "a b c"), (2, None)], "doc_id long, text string")
     assert {r.doc_id: r.n_words for r in backoff.scores(df).collect()} == {None: 2, (1 << 60) + 1: 3, 2: 0}
+
+
+def plain_whole(source):
+    texts = [(d, words(t, lower=True)) for d, t in source]
+    count = [Counter(tuple(t[i:i + n]) for _, t in texts for i in range(len(t) - n + 1)) for n in (1, 2, 3)]
+    total, out = sum(count[0].values()), {}
+    for d, t in texts:
+        s = 0.0
+        for i in range(len(t)):
+            gram = tuple(t[max(0, i - 2):i + 1])
+            s += math.log(count[len(gram) - 1][gram] / (count[len(gram) - 2][gram[:-1]] if i else total))
+        n, old = out.get(d, (0, 0.0))
+        out[d] = (n + len(t), old + s)
+    return out
+
+
+@pytest.mark.parametrize("hot,bucket", [(1 << 14, 10**6), (1 << 14, 500), (0, 500)])
+def test_whole_scores_equal_brute_force(spark, monkeypatch, hot, bucket):
+    monkeypatch.setattr(backoff, "HOT_GRAMS", hot)
+    monkeypatch.setattr(backoff, "GRAM_BUCKET", bucket)
+    tail = rows()[0][2:]
+    extra = [(900, "word", *tail), (900, "once Only rare", *tail), (901, "two words two", *tail)]
+    got = {r.doc_id: r for r in backoff.whole_scores(docs(spark, extra)).collect()}
+    want = plain_whole([(r[0], r[1]) for r in [*rows(), *extra]])
+    assert got.keys() == want.keys()
+    for d, (n, s) in want.items():
+        assert got[d].n_words == n and got[d].log_score == pytest.approx(s, abs=1e-8)
+        assert got[d].mean_log_score == (pytest.approx(s / n, abs=1e-8) if n else 0.0)
+
+
+def test_rare_words_keep_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(backoff, "VOCABULARY", 4)
+    monkeypatch.setattr(backoff.vocabulary, "__defaults__", (4,))
+    source = [(i, f"common text rare{i} end{i}") for i in range(40)]
+    df = spark.createDataFrame(source, "doc_id long, text string")
+    from matchspark.llm import queries
+    monkeypatch.setattr(queries, "table", lambda *a: df)
+    want = plain_whole(source)
+    got = {r.doc_id: r.log_score for r in queries.op1_lm_scoring(spark, "").collect()}
+    assert got == {d: pytest.approx(s) for d, (_, s) in want.items()}
+
+
+def test_whole_scores_of_empty_table_and_null_ids(spark):
+    assert backoff.whole_scores(empty(spark)).count() == 0
+    df = spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "a b c"), (2, None)], "doc_id long, text string")
+    assert {r.doc_id: r.n_words for r in backoff.whole_scores(df).collect()} == {None: 2, (1 << 60) + 1: 3, 2: 0}
