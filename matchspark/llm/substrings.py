@@ -9,8 +9,10 @@ start) is removed.
    of windows with one anchor is a segment (document, first word, windows).
 2. The places of anchors are counted over all documents (map-side combined);
    segments whose anchor has one place hold no repeated window and end here.
-3. The words of the other segments are dealt by anchor to shards of bounded
-   size.  Equal segments are indexed once, with their first place: rows of a
+3. The words of the other segments are dealt by anchor to shards of about equal
+   size.  Anchors with more than ``ANCHOR_WORDS`` words of different segments do not go
+   to a shard: their segments are cut into single windows, and the first place of
+   every window is a map-side combined minimum by the hash of the whole window.  Equal segments are indexed once, with their first place: rows of a
    passage that many documents share are combined before the shuffle.
 4. Each shard builds an FM-index of its segments: Burrows-Wheeler transform
    over word codes, kept as a wavelet tree of packed bits with sampled ranks.
@@ -37,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import parts_for, record_batch, written
+from matchspark.llm.common import COUNTERS, counter_rows, parts_for, record_batch, sum_counters, written
 from matchspark.llm.words import Words, batch_words, grams, slices
 
 WINDOW, GRAM = 20, 4
 #: Words of one FM-index, about; longer segments are cut at this many windows.
 SHARD_WORDS = 1_000_000
 SEGMENT_WINDOWS = 64
+#: Words of one anchor in a shard; they are counted by the anchor's hash in so many slots.
+ANCHOR_WORDS, ANCHOR_SLOTS = 250_000, 1 << 18
 RANK_STEP = 64
 #: Segments streamed through an index at once.
 LANES = 1 << 16
@@ -294,6 +298,34 @@ def _index_shard(window: int):
     return run
 
 
+def _hot_slots(bare: DataFrame, slot, window: int) -> list[int]:
+    """Slots of anchors that together have more than ``ANCHOR_WORDS`` words."""
+    def count(batches):
+        table = np.zeros(ANCHOR_SLOTS, np.int64)
+        for batch in batches:
+            at, size = (batch.column(c).to_numpy() for c in (0, 1))
+            np.add.at(table, at, size + (window - 1))
+        yield counter_rows(table)
+    words = bare.select(slot, F.col("windows").cast("long")).mapInArrow(count, COUNTERS)
+    return np.flatnonzero(sum_counters(words, ANCHOR_SLOTS) > ANCHOR_WORDS).tolist()
+
+
+def _window_runs(bare: DataFrame, window: int) -> DataFrame:
+    """(content, j, doc, start): the first place of window j of every segment, without a shard."""
+    def split(batches):
+        schema = pa.schema([("key", pa.binary()), ("content", pa.binary()), ("j", pa.int32()), ("doc", pa.int64()), ("start", pa.int64())])
+        for batch in batches:
+            for c, d, s, text in zip(*(batch.column(n).to_pylist() for n in ("content", "doc_id", "start", "words"))):
+                words = text.split(b" ")
+                n = len(words) - window + 1
+                yield record_batch(schema, key=[hashlib.blake2b(b" ".join(words[j:j + window]), digest_size=16).digest() for j in range(n)],
+                                   content=[c] * n, j=list(range(n)), doc=[d] * n, start=list(range(s, s + n)))
+    cut = written(bare.mapInArrow(split, "key binary, content binary, j int, doc long, start long"))
+    first = cut.groupBy("key").agg(F.min(F.struct("doc", "start")).alias("p"))
+    return (cut.select("key", "content", "j").distinct().join(first, "key")
+            .select("content", "j", F.col("p.doc").alias("doc"), F.col("p.start").alias("first")))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, start, words``: word intervals made of windows that also start earlier."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -306,13 +338,22 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     segments = written(_segments(texts.join(spans, "doc_id").select("doc_id", "text", "spans"), window))
     bare = segments.filter("words is not null")
     total = bare.agg(F.sum(F.col("windows") + window - 1)).first()[0]
+    slot = F.pmod(F.xxhash64("anchor"), F.lit(ANCHOR_SLOTS))
+    hot = _hot_slots(bare, slot, window)
     shard = F.pmod(F.xxhash64("anchor"), F.lit(parts_for(total, SHARD_WORDS)))
-    runs = bare.withColumn("shard", shard).groupBy("shard").applyInArrow(_index_shard(window), RUNS)
+    cold = bare.filter(~slot.isin(hot)) if hot else bare
+    runs = cold.withColumn("shard", shard).groupBy("shard").applyInArrow(_index_shard(window), RUNS)
     found = (segments.select("doc_id", "start", "content").join(runs, "content")
              .select("doc_id", "start", F.explode("runs").alias("r"))
              .filter("r.doc < doc_id or (r.doc = doc_id and r.start < start + r.j)"))
-    return found.select("doc_id", (F.col("start") + F.col("r.j")).alias("start"),
-                        (F.col("r.n") + (window - 1)).alias("words"))
+    out = found.select("doc_id", (F.col("start") + F.col("r.j")).alias("start"),
+                       (F.col("r.n") + (window - 1)).alias("words"))
+    if hot:
+        places = segments.filter(slot.isin(hot)).select("doc_id", F.col("start").alias("at"), "content")
+        single = (places.join(_window_runs(bare.filter(slot.isin(hot)), window), "content")
+                  .filter("doc < doc_id or (doc = doc_id and first < at + j)"))
+        out = out.unionByName(single.select("doc_id", (F.col("at") + F.col("j")).alias("start"), F.lit(window).alias("words")))
+    return out
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

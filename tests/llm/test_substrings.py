@@ -1,4 +1,5 @@
 import random
+from collections.abc import Iterator
 
 import numpy as np
 import pytest
@@ -60,3 +61,39 @@ def test_rank_of_the_wavelet_tree():
     a, b = tree.rank(c, lo, hi)
     assert a.tolist() == [int((codes[:x] == k).sum()) for k, x in zip(c, lo)]
     assert b.tolist() == [int((codes[:x] == k).sum()) for k, x in zip(c, hi)]
+
+
+def test_hot_anchor_does_not_fill_a_shard(spark, monkeypatch):
+    """A frequent four-word sequence of low hash, each time with other words around it."""
+    import pyarrow as pa
+
+    from matchspark.llm.words import batch_words, grams
+    r = random.Random(2)
+    sequences = [" ".join(f"s{r.randint(0, 10**6)}" for _ in range(4)) for _ in range(3000)]
+    hashes = [int(grams(next(iter(batch_words(pa.array([s]))))[2].hash, 4)[0]) for s in sequences]
+    common = sequences[hashes.index(min(hashes))]
+    own = lambda i, k: " ".join(f"d{i}x{k}y{j}" for j in range(30))
+    source = [(i, f"{own(i, 0)} {common} {own(i, 1)}") for i in range(60)]
+    source += [(100 + i, f"{own(100 + i, 0)} {own(5, 0)} {common} {own(5, 1)}") for i in range(3)]
+    real = substrings._index_shard
+
+    def bounded(window):
+        inner = real(window)
+
+        def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            batches = list(batches)
+            assert sum(len(x.split(b" ")) for b in batches for x in b.column("words").to_pylist()) <= 1000
+            yield from inner(key, iter(batches))
+        return run
+    monkeypatch.setattr(substrings, "_index_shard", bounded)
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 400)
+    monkeypatch.setattr(substrings, "ANCHOR_WORDS", 400, raising=False)
+    df = spark.createDataFrame(source, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(df).collect()}
+    assert got == plain(source, 20) and got[101][1] == 64
+
+
+def test_windows_of_hot_anchors_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "ANCHOR_WORDS", 30, raising=False)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(docs(spark), 20).collect()}
+    assert got == plain([(r[0], r[1]) for r in rows()], 20)
