@@ -57,3 +57,16 @@ def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (2, 1), (9, 8), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in common.components(edges).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8, 7: 7}
+
+
+def test_stage_links_from_a_similarity_of_080(spark):
+    from matchspark.llm import queries
+    base = [f"w{i}" for i in range(204)]                   # 200 shingles
+    near = [*base[:184], *[f"x{i}" for i in range(20)]]    # 180 of 220 shared: 0.818
+    far = [f"{w}z" for w in base]
+    less = [*far[:179], *[f"y{i}" for i in range(25)]]     # 175 of 225 shared: 0.778
+    source = [(k, " ".join(w)) for k, w in enumerate((base, near, far, less))]
+    s = sets_of(source)
+    assert 0.80 < len(s[0] & s[1]) / len(s[0] | s[1]) < 0.85 and len(s[2] & s[3]) / len(s[2] | s[3]) < 0.80
+    df = spark.createDataFrame(source, "doc_id long, text string")
+    assert sorted(r.doc_id for r in queries.stage_near_dedup(spark, df, "").collect()) == [0, 2, 3]
