@@ -84,6 +84,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(where))
 
 
+def file_or_folder(spark: SparkSession, path: str) -> tuple[str, str]:
+    """(folder, file name) of a path that names one file, (path, "") of a folder: streams read folders."""
+    where, fs = _hadoop_path(spark, path)
+    if fs.getFileStatus(where).isDirectory():
+        return path, ""
+    return where.getParent().toString(), where.getName()
+
+
 def glob_names(spark: SparkSession, pattern: str) -> list[str]:
     """Last path parts of the files that match a glob, on any file system."""
     where, fs = _hadoop_path(spark, pattern)
