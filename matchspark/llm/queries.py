@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import backoff, language, licenses, neardup, packing, quality, secrets, substrings, tiling, toxicity
+from matchspark.llm import backoff, copies, language, licenses, neardup, packing, quality, secrets, substrings, tiling, toxicity
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_lm_scoring")
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.whole_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op11_exact_dedup")
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.exact_duplicates(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+ORACLE_SQL["op11_exact_dedup"] = copies.ORACLE
