@@ -42,6 +42,8 @@ STATE = {
     # one budget for all state of an executor instead of one for each partition
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # no space reserved ahead for the logs of many small partitions
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 ROWS = "doc_id long, digest binary, file string, row long"
 
