@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm import backoff, copies, language, licenses, neardup, packing, quality, secrets, substrings, tiling, toxicity
+from matchspark.llm import (backoff, collocations, copies, language, licenses, neardup, packing, quality, secrets, substrings,
+                            tiling, toxicity, whitening)
 from matchspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +155,16 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op11_exact_dedup"] = copies.ORACLE
+
+
+@query("op12_phrase_collocations")
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_phrase_collocations"] = collocations.ORACLE
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
