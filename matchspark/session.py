@@ -73,20 +73,21 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system that its URL names."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system its URL names."""
-    where, fs = _hadoop_path(spark, path)
+    where, fs = hadoop_path(spark, path)
     return bool(fs.exists(where))
 
 
 def file_or_folder(spark: SparkSession, path: str) -> tuple[str, str]:
     """(folder, file name) of a path that names one file, (path, "") of a folder: streams read folders."""
-    where, fs = _hadoop_path(spark, path)
+    where, fs = hadoop_path(spark, path)
     if fs.getFileStatus(where).isDirectory():
         return path, ""
     return where.getParent().toString(), where.getName()
@@ -94,13 +95,22 @@ def file_or_folder(spark: SparkSession, path: str) -> tuple[str, str]:
 
 def glob_names(spark: SparkSession, pattern: str) -> list[str]:
     """Last path parts of the files that match a glob, on any file system."""
-    where, fs = _hadoop_path(spark, pattern)
+    where, fs = hadoop_path(spark, pattern)
     return sorted(f.getPath().getName() for f in (fs.globStatus(where) or []))
 
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 
 
+def size_estimate(df, most: int = 1 << 50) -> int:
+    """The optimizer's estimate of a plan's bytes, read without running a job (0 where it has none)."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return 0
+    return size if size < most else 0
+
+
 def broadcast_if_small(df, max_bytes: int = BROADCAST_LIMIT_BYTES):
     """Broadcast hint only behind a size check: the optimizer's estimate of
     the plan's output (exact for in-memory tables, file sizes for scans),
