@@ -8,10 +8,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 from .windows import keep_first
 
 
+#: Cells (rows x columns) of a lookup that a task may hold; copies of a larger one, and so tasks for each of its keys.
+LOOKUP_CELLS = 4_000_000
+SALTS = 16
+
+
+class Lookup:
+    """An aggregated side whose few keys hold many rows of the other side (a team
+    of a season holds a share of all its games).
+
+    It is computed once (a checkpoint) and its rows are counted.  Up to ``cells`` it is
+    broadcast, and the big side stays where it is; beyond that it is replicated over
+    ``salts`` and the big side is dealt by (keys, salt), so that a hot key is spread
+    over that many tasks."""
+
+    def __init__(self, df: DataFrame, cells: int = LOOKUP_CELLS, salts: int = SALTS):
+        self.frame = materialize(df)
+        self.small = self.frame.count() * len(df.columns) <= cells
+        self.salts = salts
+
+    def join(self, big: DataFrame, projected: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+        """``big`` joined to a projection of the lookup, unique by ``keys``."""
+        keys = list(keys)
+        if self.small:
+            return big.join(F.broadcast(projected), keys, how)
+        salted = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(self.salts)).cast("int"))
+        copies = projected.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+        return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+
+
 def prefix_stats(df: DataFrame, prefix: str, keep: Sequence[str] = ("Name", "GP"),
                  keys: Sequence[str] = ("season",)) -> DataFrame:
     """Every column but ``keep`` and ``keys`` gets ``prefix``."""
@@ -75,14 +104,14 @@ def games_with_stats(schedule: DataFrame, stats: DataFrame, name: str = "Name",
     no statistics are dropped (see :func:`unmatched_games`).
 
     ``stats`` must be unique per (keys, name) — use :func:`first_per_team`.
-    The two joins are plain equi-joins; AQE turns them into broadcast joins
-    at run time when the statistics are small and keeps sort-merge joins
-    when they are not.
+    They are measured first (:class:`Lookup`): games are never dealt by their
+    few (season, team) keys alone.
     """
     keys = list(keys)
-    s1 = role_projection(stats, team1, name, keys)
-    s2 = role_projection(stats, team2, name, keys)
-    return schedule.join(s1, on=keys + [team1], how="inner").join(s2, on=keys + [team2], how="inner")
+    lookup = Lookup(stats)
+    s1 = role_projection(lookup.frame, team1, name, keys)
+    s2 = role_projection(lookup.frame, team2, name, keys)
+    return lookup.join(lookup.join(schedule, s1, keys + [team1]), s2, keys + [team2])
 
 
 def unmatched_games(schedule: DataFrame, stats: DataFrame, name: str = "Name",

@@ -13,6 +13,7 @@ from ..functions.constants import WEATHER_CONDITIONS
 from ..functions.draw import weighted_choice
 from ..session import broadcast_if_small
 from . import windows
+from .joins import Lookup
 
 
 def results_long(games: DataFrame, team1="team1", team2="team2", score1="team1_score",
@@ -103,11 +104,12 @@ def game_scores(games: DataFrame, ratings: DataFrame, name="Name", keys: Sequenc
     ``use_weather`` the E21 factors of ``condition`` scale efficiency and
     net production (the original computes but ignores them)."""
     keys = list(keys)
-    rs = ratings.select(*keys, F.col(name).alias("__n"), "team_efficiency", "net_production",
-                        "production_allowed")
+    lookup = Lookup(ratings.select(*keys, F.col(name).alias("__n"), "team_efficiency", "net_production",
+                                   "production_allowed"))
+    rs = lookup.frame
     r1 = rs.select(*keys, F.col("__n").alias("team1"), *[F.col(c).alias(f"__1_{c}") for c in rs.columns[len(keys) + 1:]])
     r2 = rs.select(*keys, F.col("__n").alias("team2"), *[F.col(c).alias(f"__2_{c}") for c in rs.columns[len(keys) + 1:]])
-    j = games.join(r1, keys + ["team1"]).join(r2, keys + ["team2"])
+    j = lookup.join(lookup.join(games, r1, keys + ["team1"]), r2, keys + ["team2"])
     e1, e2 = F.col("__1_team_efficiency"), F.col("__2_team_efficiency")
     n1, n2 = F.col("__1_net_production"), F.col("__2_net_production")
     if use_weather and condition is not None:
