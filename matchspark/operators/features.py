@@ -4,6 +4,7 @@ categorical flags, default fill and the 36-column feature pipeline (F1)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import FEATURE_NAMES, ROLES, ROLLING_STEMS, WEATHER_CONDITIONS
 from ..functions.ratios import efficiency_columns, turnover_columns
 from ..session import materialize
-from . import windows
+from . import carried, windows
 
 ORDER = ("season", "week", "game_id")
 
@@ -95,23 +96,38 @@ def label(df: DataFrame, a: str = "team1_points_per_game", b: str = "team2_point
     return df.withColumn(name, F.coalesce(F.col(a) > F.col(b), F.lit(False)).cast("int"))
 
 
-def build_features(games: DataFrame, window: int = 3, with_label: bool = True) -> DataFrame:
+def build_features(games: DataFrame, window: int = 3, with_label: bool = True, history=None) -> DataFrame:
     """F1 without scaling: efficiency -> turnover -> rolling -> matchup ->
-    categorical -> fill, plus the raw-value label (fixes T1).
-
-    The window passes see only what they need (one role and its rolled values,
-    or the pair and its scores); their few result columns are joined back on
-    ``game_id``, so the full-width rows are never range-partitioned."""
-    df = materialize(turnover_features(efficiency_features(games)))
-    out = df
+    categorical -> fill, plus the raw-value label (fixes T1).  The raw statistics
+    columns, which end in the ratios, are not carried on.
+
+    The lineage is cut once, after the ratios, without the raw columns.  The window
+    passes see only what they need (one role and its rolled values, or the pair and
+    its scores); their results are folded to one row per ``game_id``, which must be unique,
+    and joined back once.  ``history`` (``carried.History``) is what earlier games
+    left; without it every team and pair starts anew."""
+    raw = [c for c in games.columns if any(c.startswith((f"{r}_off_", f"{r}_def_")) or c == f"{r}_GP" for r in ROLES)]
+    df = materialize(turnover_features(efficiency_features(games)).drop(*raw))
+    found = []
     for role in ROLES:
-        stems = [f"{role}_{s}" for s in ROLLING_STEMS if f"{role}_{s}" in df.columns]
-        rolled = rolling_features(df.select(*dict.fromkeys([*ORDER, role, *stems])), window=window, roles=[role])
-        out = out.join(rolled.select("game_id", *[c for c in rolled.columns if c.endswith(f"_rolling_{window}games")]),
-                       "game_id")
+        stems = [s for s in ROLLING_STEMS if f"{role}_{s}" in df.columns]
+        part = df.select(*dict.fromkeys([*ORDER, role, *(f"{role}_{s}" for s in stems)]))
+        names = {f"{role}_{s}_rolling_{window}games": f"{role}_{s}" for s in stems}
+        if history is None:
+            rolled = windows.rolling_mean(part, [role], list(ORDER), names, window=window)
+        else:
+            rolled = carried.continue_rolling(part, history.rolling[role], role, ORDER, names, window)
+        found.append(rolled.select("game_id", *names))
     pair = [c for c in ("team1", "team2", "team1_score", "team2_score") if c in df.columns]
-    met = matchup_features(df.select(*ORDER, *pair))
-    out = out.join(met.select("game_id", "head_to_head_win_pct", "head_to_head_avg_point_diff"), "game_id")
+    pairs = history.pairs if history is not None else None
+    if len(pair) == 4 or pairs is not None:
+        met = windows.head_to_head(df.select(*ORDER, *pair), order_by=ORDER, history=pairs)
+        found.append(met.select("game_id", "head_to_head_win_pct", "head_to_head_avg_point_diff"))
+    folded = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), found)
+    folded = folded.groupBy("game_id").agg(*[F.max(c).alias(c) for c in folded.columns if c != "game_id"])
+    out = df.join(folded, "game_id")
+    if "head_to_head_win_pct" not in out.columns:
+        out = matchup_features(out)
     out = fill_features(categorical_features(out))
     return label(out) if with_label else out
 

@@ -19,7 +19,8 @@ from .quality import NUMERIC
 from .windows import prefix_scan
 
 
-def _is_missing(df: DataFrame, c: str):
+def is_missing(df: DataFrame, c: str):
+    """Null, or NaN in a floating-point column."""
     x = F.col(f"`{c}`")
     if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
         return x.isNull() | F.isnan(x)          # pandas treats NaN as missing
@@ -29,7 +30,7 @@ def _is_missing(df: DataFrame, c: str):
 def null_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """M1: one row per column with its share of missing values."""
     cols = list(columns or df.columns)
-    row = df.agg(*[F.avg(_is_missing(df, c).cast("double")).alias(c) for c in cols])
+    row = df.agg(*[F.avg(is_missing(df, c).cast("double")).alias(c) for c in cols])
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("null_fraction")) for c in cols])))
 
@@ -64,6 +65,44 @@ def exact_medians(df: DataFrame, columns: Sequence[str], ranges: int | None = No
     return {c: found.get(c) for c in columns}
 
 
+#: Size of a quantile sketch.  A sketch of size k is off by at most ``2.3 / k ** 0.9`` of all ranks (99 of 100 times).
+SKETCH_K = 4096
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Share of ranks by which a sketched quantile may be off."""
+    return 2.296 / k ** 0.9021
+
+
+def quantile_state(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """M3 as a state: ``by.., column, n, sketch`` of the present values, all columns in one
+    aggregate with sketches combined before the shuffle.  A state is a table of its own: states of
+    seasons are kept and merged without their rows."""
+    value = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.count(value(c)).alias(f"__n{i}"), F.kll_sketch_agg_double(value(c), F.lit(k)).alias(f"__s{i}")]
+    grouped = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    return grouped.select(*by, F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"__n{i}").alias("n"), F.col(f"__s{i}").alias("sketch")) for i, c in enumerate(columns)])))
+
+
+def merge_quantile_states(states: DataFrame) -> DataFrame:
+    """``column, n, sketch`` of all rows of a state together."""
+    return states.groupBy("column").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(state: DataFrame, share: float = 0.5) -> DataFrame:
+    """``column, n, value``: a value whose rank is ``share`` within :func:`rank_error` (null without values)."""
+    return state.select("column", "n", F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(float(share)))).alias("value"))
+
+
+def sketch_medians(df: DataFrame, columns: Sequence[str], k: int = SKETCH_K) -> dict[str, float | None]:
+    """Approximate medians of all columns in one pass (:func:`exact_medians` shuffles every distinct value)."""
+    found = {r["column"]: r["value"] for r in sketch_quantiles(quantile_state(df, columns, k=k)).collect()}
+    return {c: found.get(c) for c in columns}
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Most frequent value per column; the smallest value wins ties.
 
@@ -83,10 +122,10 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     return {c: found.get(c) for c in columns}
 
 
-def handle_missing_values(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> DataFrame:
+def handle_missing_values(df: DataFrame, threshold: float = MISSING_THRESHOLD, medians=exact_medians) -> DataFrame:
     """M1-M5: drop columns with more than ``threshold`` missing, fill numeric
-    columns with their median and others with their mode (``'Unknown'``
-    when a column has no value), then drop rows still incomplete."""
+    columns with their median (``medians=sketch_medians``: with an approximate one) and others with their mode
+    (``'Unknown'`` when a column has no value), then drop rows still incomplete."""
     fr = {r["column"]: r["null_fraction"] for r in null_fractions(df).collect()}
     dropped = [c for c, f in fr.items() if f is not None and f > threshold]
     kept = df.drop(*dropped)
@@ -95,7 +134,7 @@ def handle_missing_values(df: DataFrame, threshold: float = MISSING_THRESHOLD) -
     other = [c for c in todo if c not in numeric]
     fills = {}
     if numeric:
-        for c, m in exact_medians(kept, numeric).items():
+        for c, m in medians(kept, numeric).items():
             if m is not None:
                 x = F.col(f"`{c}`")
                 miss = x.isNull() | F.isnan(x) if isinstance(kept.schema[c].dataType, (T.DoubleType, T.FloatType)) else x.isNull()

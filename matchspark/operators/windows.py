@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 _CHUNK_AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 _OFFSET_AGG = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -174,14 +174,22 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
                  score1: str = "team1_score", score2: str = "team2_score",
                  order_by: Sequence = ("season", "week", "game_id"),
                  win_pct: str = "head_to_head_win_pct",
-                 avg_diff: str = "head_to_head_avg_point_diff", ranges: int | None = None) -> DataFrame:
+                 avg_diff: str = "head_to_head_avg_point_diff", ranges: int | None = None,
+                 history: DataFrame | None = None) -> DataFrame:
     """Share of earlier meetings of the same (unordered) pair won by this
     row's ``team1`` and the mean earlier point difference seen from
     ``team1``; ``0.5`` / ``0.0`` when the pair has not met before.
 
     Only earlier meetings with known scores count; when no result is known
-    (scores null) every row gets the constants.
+    (scores null) every row gets the constants.  ``history`` are pair totals of
+    games before all of these (``carried.pair_state``); without score columns they
+    are all that is known.
     """
+    if score1 not in games.columns or score2 not in games.columns:
+        none = F.lit(None).cast("double")
+        known = head_to_head(games.withColumns({score1: none, score2: none}), team1, team2, score1, score2, order_by,
+                             win_pct, avg_diff, ranges, history)
+        return known.drop(score1, score2)
     t1, t2 = F.col(team1), F.col(team2)
     lo = F.least(t1, t2)
     s1, s2 = F.col(score1), F.col(score2)
@@ -198,6 +206,13 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
             "__whi": ("sum", F.coalesce(hi_won, F.lit(False)).cast("long"), False),
             "__d": ("sum", diff_lo, False),
         }, ranges)
+    if history is not None:
+        old = history.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col("meetings").alias("__n0"),
+                             F.col("lo_wins").alias("__w0"), F.col("hi_wins").alias("__w1"), F.col("lo_diff").alias("__d0"))
+        add = lambda a, b: F.coalesce(F.col(a), F.lit(0)) + F.coalesce(F.col(b), F.lit(0))
+        scanned = (scanned.join(broadcast_if_small(old), ["__lo", "__hi"], "left")
+                   .withColumns({"__n": add("__n", "__n0"), "__wlo": add("__wlo", "__w0"), "__whi": add("__whi", "__w1"),
+                                 "__d": add("__d", "__d0")}).drop("__n0", "__w0", "__w1", "__d0"))
     n = F.col("__n").cast("double")
     wins = F.when(F.col(team1) == F.col("__lo"), F.col("__wlo")).otherwise(F.col("__whi"))
     dsum = F.coalesce(F.col("__d").cast("double"), F.lit(0.0))
@@ -210,13 +225,16 @@ def head_to_head(games: DataFrame, team1: str = "team1", team2: str = "team2",
 
 def win_streak(results: DataFrame, team: str = "team", result: str = "result",
                order_by: Sequence = ("season", "week", "game_id"),
-               streak: str = "win_streak", before: str = "streak_before", ranges: int | None = None) -> DataFrame:
+               streak: str = "win_streak", before: str = "streak_before", ranges: int | None = None,
+               history: DataFrame | None = None) -> DataFrame:
     """Consecutive wins up to and including each game; a loss or a tie
     resets the streak to 0.  ``before`` is the streak entering the game.
 
     ``cw`` are the running wins and ``m`` the running maximum of ``cw`` at
     other results; the streak is ``cw - m``.  Both are local to a range; what
     earlier ranges add follows from their number of wins and their last ``m``.
+    ``history`` holds the trailing wins of each team before all of these games
+    (``carried.streak_state``): they last until its first other result here.
     """
     is_win = F.coalesce(F.col(result) == "win", F.lit(False))
     base = ordered_ranges(results, [team], order_by, ranges)
@@ -232,8 +250,12 @@ def win_streak(results: DataFrame, team: str = "team", result: str = "result",
     marks = _before(parts.withColumn("__mark", F.col("__wb") + F.col("__mark")), [team], {"__mb": F.max("__mark")})
     offsets = _join_null_safe(parts.select(*keys, "__wb"), marks, keys)
     out = _join_null_safe(local, offsets, keys)
-    cw = F.col("__wb") + F.col("__cw")
-    reset = lambda m: F.coalesce(F.greatest(F.col("__mb"), F.col("__wb") + F.col(m)), F.lit(0))
+    cw, none = F.col("__wb") + F.col("__cw"), F.lit(0)
+    if history is not None:
+        old = history.select(F.col("team").alias(f"__jk_{team}"), F.col("trailing").alias("__h"))
+        out = out.join(broadcast_if_small(old), out[team].eqNullSafe(old[f"__jk_{team}"]), "left").drop(f"__jk_{team}")
+        none = -F.coalesce(F.col("__h"), F.lit(0))
+    reset = lambda m: F.coalesce(F.greatest(F.col("__mb"), F.col("__wb") + F.col(m)), none)
     return (out.withColumn(streak, (cw - reset("__m")).cast("long"))
             .withColumn(before, (cw - is_win.cast("long") - reset("__mp")).cast("long"))
-            .drop("__cw", "__m", "__mp", "__wb", "__mb", RANGE))
+            .drop("__cw", "__m", "__mp", "__wb", "__mb", "__h", RANGE))

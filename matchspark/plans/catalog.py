@@ -993,6 +993,9 @@ def q_leakage_found(spark, sf):
     return split.overlap_audit(_overlapping(spark, sf))
 
 
+from . import incremental  # noqa: E402, F401 - registers its queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -9,6 +9,7 @@ and model objects.  Row data never goes through the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FEATURE_NAMES, MISSING_THRESHOLD
 from ..functions.draw import hash_uniform
-from ..operators import features, joins, metrics, missing, models, results, scaling, split, vote
-from ..session import materialize
-from ..sources import lookups, sinks
+from ..operators import (carried, features, joins, metrics, missing, models, observed, quality, results, scaling, search,
+                         split, vote)
+from ..session import ensure_checkpoint_dir, materialize
+from ..sources import lookups, season_table, sinks
+from ..sources import seasons as S
 
 
 @dataclass
@@ -42,23 +45,37 @@ def prepare_games(schedule: DataFrame, stats: DataFrame, threshold: float | None
     return missing.handle_missing_values(games, threshold) if threshold is not None else games
 
 
+def load_kind(spark: SparkSession, data_dir: str, kind: str, seasons, folder: str) -> tuple[DataFrame, observed.Audit]:
+    """One file kind of all seasons as a table partitioned by season, checked by what was counted
+    while it was written: V1, V2, V3, V4 and whole rows need no scan of their own."""
+    raw = S.read_kind(spark, data_dir, kind, seasons)
+    quality.validate_columns(raw, kind)
+    quality.validate_types(raw, kind)
+    values = [c for c in raw.columns if c not in (*S.POSITION, S.BAD, S.REJECT, "season")]
+    table, audit = observed.write_audited(
+        raw, f"{folder}/{kind}", columns=values, flags={"bad": F.size(S.BAD) > 0, "rejected": F.col(S.REJECT).isNotNull()},
+        counted={"season": seasons}, partition_by=["season"])
+    if not audit.rows:
+        raise ValueError(f"DataFrame for {kind} is empty")
+    # only a failed check reads the table again, for its message
+    if audit.flagged["rejected"]:
+        S.require_whole_rows(table, kind)
+    if audit.flagged["bad"]:
+        S.require_numbers(table, kind)
+    return table.drop(S.BAD, S.REJECT), audit
+
+
 def load_all_seasons(spark: SparkSession, data_dir: str, seasons, threshold: float | None = MISSING_THRESHOLD,
-                     with_rejects: bool = False):
+                     with_rejects: bool = False, folder: str | None = None):
     """Entry 1's loader over season CSV files: S4 file check -> S1/S2 one
-    scan per file kind for all seasons -> V1-V3 -> P1/P2/J1 merge per season
-    -> V6 -> W6 first stats row per team -> J2 both teams per game (J3 rejects
-    kept aside) -> M1-M5.  Returns the game rows (and the rejects)."""
-    from ..operators import quality
-    from ..sources import seasons as S
+    scan per file kind for all seasons, written to ``folder`` with the audits V1-V4 taken meanwhile
+    -> P1/P2/J1 merge per season -> V6 -> W6 first stats row per team -> J2 both teams per game (J3 rejects
+    kept aside) -> M1-M5.  Returns the game rows (and the rejects).  Without ``folder`` the
+    tables go under the session's checkpoint folder."""
     seasons = [str(x) for x in seasons]
     S.check_files(spark, data_dir, seasons)
-    off = S.read_kind(spark, data_dir, "offense", seasons)
-    dfn = S.read_kind(spark, data_dir, "defense", seasons)
-    sch = S.read_kind(spark, data_dir, "schedule", seasons)
-    for df, kind in ((off, "offense"), (dfn, "defense"), (sch, "schedule")):
-        quality.validate_data(df, kind)
-        S.require_numbers(df, kind)
-    off, dfn = off.drop(S.BAD), dfn.drop(S.BAD)
+    folder = folder or f"{ensure_checkpoint_dir(spark)}/seasons-{uuid.uuid4().hex}"
+    off, dfn, sch = (load_kind(spark, data_dir, k, seasons, folder)[0] for k in ("offense", "defense", "schedule"))
     # the first merged row of a team is its first offense and first defense row
     off, dfn = (joins.first_per_team(d, position=S.POSITION) for d in (off, dfn))
     stats = joins.require_nonempty(joins.merge_team_stats(off, dfn),
@@ -71,7 +88,8 @@ def load_all_seasons(spark: SparkSession, data_dir: str, seasons, threshold: flo
 
 
 def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | None = None,
-                   scaler_fit_on: str = "train", seed: int = 42, parallelism: int = 4) -> TrainResult:
+                   scaler_fit_on: str = "train", seed: int = 42, parallelism: int = 4, label_on: str = "raw",
+                   ledger: str | None = None, names=models.MODEL_NAMES) -> TrainResult:
     """Entry 1 on prepared game rows (with ``team1_score`` / ``team2_score``
     known or not — the label uses raw points per game, fixing T1).
 
@@ -79,7 +97,12 @@ def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | N
     F2 scaler fitted on the train split (``scaler_fit_on="all"`` reproduces
     the original leak, T2) -> F3 -> F6-F9 -> F10 on val and test -> A8
     per split and model -> S6 / S7 when ``out_dir`` is given.
+
+    ``label_on="scaled"`` compares the scaled points instead (the original's label, T1).  With
+    ``ledger``, a folder, the search writes every fit there and goes on from it when called again.
     """
+    if label_on not in ("raw", "scaled"):
+        raise ValueError(f"label_on is raw or scaled, not {label_on!r}")
     spark = games.sparkSession
     policy = split.split_policy(games).collect()          # one row per season
     lists = {k: sorted(r["season"] for r in policy if r["split"] == k) for k in split.SPLITS}
@@ -88,9 +111,14 @@ def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | N
     counts = split.split_counts(feats).first().asDict()
     fit_rows = feats if scaler_fit_on == "all" else feats.where(F.col("split") == "train")
     scaler = scaling.Scaler(FEATURE_NAMES).fit(fit_rows)
-    scaled = materialize(scaler.transform(feats))
-    trained = models.train_models(scaled.where(F.col("split") == "train"), FEATURE_NAMES,
-                                  grids=grids, seed=seed, parallelism=parallelism)
+    scaled = scaler.transform(feats)
+    scaled = materialize(features.label(scaled) if label_on == "scaled" else scaled)
+    train = scaled.where(F.col("split") == "train")
+    if ledger:
+        found = search.search(train, FEATURE_NAMES, ledger, grids=grids, names=names, seed=seed, parallelism=parallelism)
+        trained = {n: (found.models[n], *found.best[n]) for n in names}
+    else:
+        trained = models.train_models(train, FEATURE_NAMES, grids=grids, seed=seed, parallelism=parallelism, names=names)
     fitted = {n: t[0] for n, t in trained.items()}
     evaluated = models.score(scaled.where(F.col("split").isin("val", "test")), fitted, FEATURE_NAMES)
     long = models.predictions_long(evaluated.withColumnRenamed("label", "y"), list(fitted), y="y", extra=["split"])
@@ -140,24 +168,42 @@ def evaluate_run(spark: SparkSession, out_dir: str, games: DataFrame) -> DataFra
     return metrics.add_metrics(metrics.confusion(long, by=("model",))).withColumnRenamed("model", "model_name")
 
 
-def score_season_files(spark: SparkSession, data_dir: str, season, fitted: dict,
-                       scaler: scaling.Scaler) -> tuple[DataFrame, DataFrame]:
+def score_season_files(spark: SparkSession, data_dir: str, season, fitted: dict, scaler: scaling.Scaler,
+                       history: carried.History | None = None, write: bool = False) -> tuple[DataFrame, DataFrame]:
     """Entry 2 from the three files of a season: existence checks, the shared
     preparation of training (merge, first row per team), predictions for games
-    of known teams and the rejected games."""
+    of known teams and the rejected games.  ``write`` leaves the predictions beside the
+    schedule as ``<schedule>_predictions.csv``, whole or not at all."""
     games, rejects = load_all_seasons(spark, data_dir, [season], threshold=None, with_rejects=True)
-    return predict_season(games, fitted, scaler), rejects
+    found = predict_season(games, fitted, scaler, history)
+    if write:
+        found = materialize(found)
+        sinks.write_single_csv(found, sinks.predictions_file(S.season_file(data_dir, "schedule", season)), ["week", "team1", "team2"])
+    return found, rejects
+
+
+def add_season(spark: SparkSession, games: DataFrame, table: str, state: str, into: str, window: int = 3) -> DataFrame:
+    """Features of new seasons, whose results are known, from the carried state of all earlier ones
+    (``state``): their folders of the partitioned feature table are (re)written, the merged state is
+    saved as ``into``.  No other season is read.  Returns the new feature rows."""
+    past = carried.History.load(spark, state, window)
+    ratios = materialize(features.turnover_features(features.efficiency_features(games)))
+    rows = materialize(features.build_features(ratios, window, history=past))
+    season_table.write_seasons(rows, table)
+    past.merge(carried.History.of(ratios, window)).save(into)
+    return rows
 
 
-def predict_season(games: DataFrame, fitted: dict, scaler: scaling.Scaler) -> DataFrame:
-    """Entry 2: features without fitting (no results known -> head-to-head
-    constants), stored scaler, every model, majority vote (tie -> team2),
+def predict_season(games: DataFrame, fitted: dict, scaler: scaling.Scaler,
+                   history: carried.History | None = None) -> DataFrame:
+    """Entry 2: features without fitting, stored scaler, every model, majority vote (tie -> team2),
     winner name and the projection ``week, team1, team2, consensus_winner,
-    *_prediction``."""
+    *_prediction``.  The season's own results are not known; rolling means and head-to-head shares go
+    on from ``history``, and start anew without it."""
     if scaler is None or not scaler.is_fitted:
         raise ValueError("Scaler must be fitted: it holds no statistics yet")
     g = games.drop("team1_score", "team2_score")
-    feats = features.build_features(g, with_label=False)
+    feats = features.build_features(g, with_label=False, history=history)
     scored = models.score(scaler.transform(feats), fitted, FEATURE_NAMES)
     return vote.season_predictions(scored, [f"{n}_prediction" for n in fitted])
 

@@ -31,6 +31,9 @@ KIND_TYPES = {
 POSITION = ("_block", "_pos")
 #: Present values that are no number, as a map column -> text of the row.
 BAD = "_bad"
+#: Text of a row that has more fields than its header, null for all others.
+REJECT = "_reject"
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'   # outside quotes
 
 
 def season_file(data_dir: str, kind: str, season) -> str:
@@ -58,7 +61,9 @@ def read_kind(spark: SparkSession, data_dir: str, kind: str, seasons: Sequence)
 
     Files with the same header are one scan.  Values are read as text and cast
     by name; what is present but no number is kept in ``BAD`` for the audit
-    instead of turning into a silent null."""
+    instead of turning into a silent null.  A row with more fields than the header keeps
+    its text in ``REJECT`` (its values cannot be told apart, so none is used);
+    missing fields at the end of a row are null."""
     by_header: dict[tuple, list[str]] = {}
     for s in seasons:
         path = season_file(data_dir, kind, s)
@@ -66,12 +71,15 @@ def read_kind(spark: SparkSession, data_dir: str, kind: str, seasons: Sequence)
         by_header.setdefault(tuple(header), []).append(path)
     parts = []
     for header, paths in by_header.items():
-        raw = (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
-               .option("header", True).csv(paths))
+        # all fields are parsed, whatever is selected: a pruned scan would not notice further fields
+        raw = (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*header, REJECT]]))
+               .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT)
+               .option("columnPruning", False).csv(paths))
+        long = F.col(REJECT).isNotNull() & (F.regexp_count(REJECT, F.lit(_COMMA)) >= len(header))
         fname = F.regexp_replace(F.col("_metadata.file_name"), "%20", " ")
         cast, bad = [], []
         for c in header:
-            kind_of, text = kind_type(c.strip(), kind), F.col(f"`{c}`")
+            kind_of, text = kind_type(c.strip(), kind), F.when(~long, F.col(f"`{c}`"))
             if isinstance(kind_of, T.StringType):
                 cast.append(text.alias(c.strip()))
             else:
@@ -82,10 +90,24 @@ def read_kind(spark: SparkSession, data_dir: str, kind: str, seasons: Sequence)
         parts.append(raw.select(
             *cast, F.regexp_extract(fname, r"^([0-9]+)", 1).alias("season"),
             F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_pos"),
-            found.alias(BAD)))
+            # refers to a value too: Spark reads no file for the text of malformed rows alone
+            found.alias(BAD), F.when(long & F.col(f"`{header[0]}`").isNull(), F.col(REJECT)).when(long, F.col(REJECT)).alias(REJECT)))
     return union_seasons(parts)
 
 
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """``season, line``: rows with more fields than their header, as they stand in the file."""
+    return df.where(F.col(REJECT).isNotNull()).select("season", F.col(REJECT).alias("line"))
+
+
+def require_whole_rows(df: DataFrame, kind: str) -> None:
+    """Raises with the first rows that have more fields than the header."""
+    rows = rejected_rows(df).orderBy("season", "line").limit(5).collect()
+    if rows:
+        raise ValueError(f"{kind} files have rows with more fields than the header: "
+                         + "; ".join(f"{r.season}: {r.line}" for r in rows))
+
+
 def require_numbers(df: DataFrame, kind: str) -> None:
     """V4 in the loader: raises with the first values that are no numbers."""
     rows = (df.where(F.size(BAD) > 0).select("season", F.explode(BAD).alias("column", "value"))

@@ -40,7 +40,8 @@ def test_requests_do_not_contaminate_each_other(spark):
 
     from matchspark.functions.constants import FEATURE_NAMES
     from matchspark.operators import features
-    one = common.game_rows(spark, SF_SMALL).limit(1).drop("game_id", "week", "team1_score", "team2_score")
+    from matchspark.session import materialize
+    one = materialize(common.game_rows(spark, SF_SMALL).orderBy("game_id").limit(1).drop("game_id", "week", "team1_score", "team2_score"))
     many = one.crossJoin(spark.range(1000)).withColumn("team1_off_PTS", F.col("team1_off_PTS") + F.col("id"))
     alone = features.independent_features(one).select(*FEATURE_NAMES).collect()
     batch = features.independent_features(many).where("id = 0").select(*FEATURE_NAMES).collect()

@@ -51,7 +51,7 @@ def test_load_merge_and_reject(spark, season_dir):
     sch = seasons.read_kind(spark, season_dir, "schedule", ["2023"])
     for df, kind in ((off, "offense"), (dfn, "defense"), (sch, "schedule")):
         assert quality.validate_data(df, kind)
-    extra = (*seasons.POSITION, seasons.BAD)
+    extra = (*seasons.POSITION, seasons.BAD, seasons.REJECT)
     stats = joins.merge_team_stats(off.drop(*extra), dfn.drop(*extra))
     assert stats.columns[-1] == "GP" and "off_PTS" in stats.columns and "def_PA" in stats.columns
     games = seasons.schedule_games(sch)
@@ -120,3 +120,48 @@ def test_loader_reports_bad_numbers(spark, season_dir):
     _write(season_dir, "2023 Fantasy Offense Stats.csv", "Name,GP,PTS,All,Run,Pass,QB\nA,17,lots,82.3,30.1,50.2,18.0\nB,17,24.0,75.0,28.0,47.0,16.5\n")
     with pytest.raises(ValueError, match="PTS='lots'"):
         pipeline.load_all_seasons(spark, season_dir, ["2023"])
+
+
+def test_rows_with_too_many_fields_are_reported_not_cut(spark, season_dir):
+    from matchspark.plans import pipeline
+    _write(season_dir, "2023 Fantasy Offense Stats.csv", 'Name,GP,PTS,All,Run,Pass,QB\nA,17,1,2,3,4,5,6\n"B, jr",17,1,2,3,4,5\n'
+                                                         'C,17,1,2\nD,17,1,2,3,4,5,\n"E, sr",17,1,2,3,4,"5,5",9\n')
+    off = seasons.read_kind(spark, season_dir, "offense", ["2022", "2023"])
+    got = sorted((r.season, r.line) for r in seasons.rejected_rows(off).collect())
+    assert got == [("2023", '"E, sr",17,1,2,3,4,"5,5",9'), ("2023", "A,17,1,2,3,4,5,6"), ("2023", "D,17,1,2,3,4,5,")]
+    whole = {r.Name: r for r in off.where("season = '2023' and Name is not null").collect()}
+    assert set(whole) == {"B, jr", "C"} and whole["C"].Run is None and whole["B, jr"].QB == 5.0
+    assert off.where("season = '2022'").count() == 3
+    with pytest.raises(ValueError, match="more fields than the header.*A,17,1,2,3,4,5,6"):
+        pipeline.load_all_seasons(spark, season_dir, ["2022", "2023"])
+
+
+def test_loader_scans_each_kind_once(spark, season_dir, tmp_path):
+    """All audits of a kind come with the one job that writes its table."""
+    from matchspark.plans import pipeline
+    table, audit = pipeline.load_kind(spark, season_dir, "offense", ["2022", "2023"], str(tmp_path / "kinds"))
+    assert audit.rows == 6 and audit.by_value["season"] == {"2022": 3, "2023": 3} and audit.flagged == {"bad": 0, "rejected": 0}
+    assert audit.missing["QB"] == 0 and "csv" not in table._jdf.queryExecution().executedPlan().toString().lower()
+    assert {f for f in os.listdir(tmp_path / "kinds" / "offense") if f.startswith("season=")} == {"season=2022", "season=2023"}
+    with pytest.raises(ValueError, match="empty"):
+        _write(season_dir, "2024 Schedule.csv", "Week,Team1,Team2\n")
+        pipeline.load_kind(spark, season_dir, "schedule", ["2024"], str(tmp_path / "none"))
+
+
+def test_season_is_scored_into_one_file(spark, season_dir):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    from matchspark.functions.constants import FEATURE_NAMES
+    from matchspark.operators import scaling
+    from matchspark.plans import pipeline
+    n = len(FEATURE_NAMES)
+    two = spark.createDataFrame([(Vectors.dense([0.0] * n), 0.0), (Vectors.dense([1.0] * n), 1.0)], ["features", "label"])
+    fitted = {"logistic_regression": LogisticRegression(maxIter=1).fit(two)}
+    zero = spark.createDataFrame([tuple([0.0, 1.0] * n)], ", ".join(f"{c}__mean double, {c}__std double" for c in FEATURE_NAMES))
+    scaler = scaling.Scaler(FEATURE_NAMES)
+    scaler.stats = zero
+    found, rejects = pipeline.score_season_files(spark, season_dir, "2023", fitted, scaler, write=True)
+    path = os.path.join(season_dir, "2023 Schedule_predictions.csv")
+    assert spark.read.option("header", True).csv(path).count() == found.count() == 3 and rejects.count() == 1
+    assert sorted(f for f in os.listdir(season_dir) if "predictions" in f and not f.startswith(".")) == ["2023 Schedule_predictions.csv"]
