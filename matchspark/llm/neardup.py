@@ -10,7 +10,7 @@ at Jaccard 0.85 shares at least one of the 64 tables with probability
 Steps, all joins and map-side combined aggregates:
 
 1. per document: distinct shingles -> digest of the set, partial keys and a
-   parity bitmap; equal sets collapse to their smallest doc_id;
+   parity bitmap; equal sets collapse to one node, whatever the doc_ids of their rows;
 2. table keys of the remaining sets; buckets with two members or more;
 3. every member is compared with the most central member of its buckets
    (the one that meets most others), so a group of n near copies costs n
@@ -26,9 +26,10 @@ are then verified on their full shingle sets.
 
 Defined results: a null text, or one without words, has no shingles and is
 linked with nothing; fewer words than a shingle make one whole-sequence
-shingle; equal texts share a component; repeated doc_ids count as equal
-rows and give one row each; an empty table gives an empty result; other
-input columns are ignored.
+shingle; equal texts share a component; rows that repeat a doc_id, with the same or
+another text, give one row each and each its own text's component (nodes are sets, not ids);
+a null doc_id is linked like any other and never names a component, unless all its
+members' ids are null; an empty table gives an empty result; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -78,20 +79,20 @@ def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(bool)).view(np.int64)
 
 
-PROFILE = ("doc_id long, n_shingles long, digest binary, a array<long>, b array<long>, "
+PROFILE = ("doc_id long, key long, n_shingles long, digest binary, a array<long>, b array<long>, "
            + ", ".join(f"p{i} long" for i in range(PARITY_WORDS)))
 
 
 def profiles(docs: DataFrame, shingle: int, collections: int, rows: int) -> DataFrame:
-    """Set size, set digest, both key collections and the parity bitmap of every document."""
+    """Set size, set digest, both key collections and the parity bitmap of every document (doc_id, key, text)."""
     def run(batches):
         mult = _multipliers(2 * collections * rows)
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                             ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]
                            + [(f"p{i}", pa.int64()) for i in range(PARITY_WORDS)])
         for batch in batches:
-            ids = batch.column(0)
-            for lo, hi, w in batch_words(batch.column(1), lower=True):
+            ids, text_keys = batch.column(0), batch.column(1)
+            for lo, hi, w in batch_words(batch.column(2), lower=True):
                 n, digest, a, b, parity = [], [], [], [], []
                 for i in range(hi - lo):
                     s = shingle_set(w.hash[w.first[i]:w.first[i + 1]], shingle)
@@ -102,22 +103,25 @@ def profiles(docs: DataFrame, shingle: int, collections: int, rows: int) -> Data
                     b.append(keys[collections:])
                     parity.append(parity_bitmap(s))
                 parity = np.array(parity, np.int64).reshape(-1, PARITY_WORDS)
-                yield record_batch(schema, doc_id=ids.slice(lo, hi - lo).cast(pa.int64()), n_shingles=n,
+                yield record_batch(schema, doc_id=ids.slice(lo, hi - lo), key=text_keys.slice(lo, hi - lo), n_shingles=n,
                                    digest=digest, a=a, b=b,
                                    **{f"p{i}": parity[:, i] for i in range(PARITY_WORDS)})
     return docs.mapInArrow(run, PROFILE)
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, shingles``: sorted distinct 64-bit shingle hashes as bytes."""
+def shingle_sets(picked: DataFrame, shingle: int) -> DataFrame:
+    """``doc_id, shingles`` of rows (node, digest, text): sorted distinct 64-bit shingle hashes as bytes, under
+    the node's number, where the text does have that digest."""
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
         for batch in batches:
-            ids = batch.column(0)
-            for lo, hi, w in batch_words(batch.column(1), lower=True):
-                yield record_batch(schema, doc_id=ids.slice(lo, hi - lo).cast(pa.int64()), shingles=[
-                    shingle_set(w.hash[w.first[i]:w.first[i + 1]], shingle).tobytes() for i in range(hi - lo)])
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+            nodes, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, hi, w in batch_words(batch.column(2), lower=True):
+                out = [(nodes[lo + i], s) for i in range(hi - lo)
+                       if hashlib.blake2b(s := shingle_set(w.hash[w.first[i]:w.first[i + 1]], shingle).tobytes(),
+                                          digest_size=16).digest() == wanted[lo + i]]
+                yield record_batch(schema, doc_id=[n for n, _ in out], shingles=[s for _, s in out])
+    return picked.select("rep", "digest", "text").mapInArrow(run, "doc_id long, shingles binary")
 
 
 def _plausible(x: str, y: str, percent: int):
@@ -193,13 +197,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = 85, collections: int = COLLECTIONS, rows: int = ROWS) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # names a row by its id and text, in every scan alike
+    texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     parity = [f"p{i}" for i in range(PARITY_WORDS)]
     profile = materialize(profiles(texts, shingle, collections, rows))
 
-    # 1. equal sets collapse to their smallest doc_id
+    # 1. equal sets collapse to one node, numbered where it is stored; its text is that of one of its rows
     first = materialize(profile.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("a").alias("a"),
-        F.first("b").alias("b"), *(F.first(c).alias(c) for c in parity)))
+        F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("a").alias("a"),
+        F.first("b").alias("b"), *(F.first(c).alias(c) for c in parity)).withColumn("rep", F.monotonically_increasing_id()))
 
     # 2. tensored table keys; buckets of two or more, each with its size
     tables = (first.select("rep", F.posexplode("a").alias("i", "x"), "b")
@@ -220,8 +226,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (stars.join(slim.select(F.col("rep").alias("a"), *(F.col(c).alias("x" + c) for c in cols)), "a")
              .join(slim.select(F.col("rep").alias("b"), *(F.col(c).alias("y" + c) for c in cols)), "b")
              .filter(_plausible("x", "y", percent)).select("a", "b"))
-    members = central.select(F.col("rep").alias("doc_id"))
-    sets = materialize(shingle_sets(texts.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle))
+    members = first.select("rep", "digest", "key").join(central.select("rep"), "rep", "left_semi")
+    sets = shingle_sets(texts.select("key", "text").join(members, "key"), shingle)
+    if profile.groupBy("key").count().filter("count > 1").limit(1).count():   # rows equal in id and text
+        sets = sets.dropDuplicates(["doc_id"])
+    sets = materialize(sets)
     links = materialize(verify(materialize(pairs), sets, percent))
     label = components(links)
 
@@ -249,6 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = (label.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "full")
              .select(F.coalesce("node", "label").alias("rep"), F.coalesce("to", "label").alias("component_id")))
 
-    rep = profile.select("doc_id", "n_shingles", "digest").join(first.select("digest", "rep"), "digest", "left")
-    return rep.join(final, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
+    nodes = first.select("digest", "least", "rep").join(final, "rep", "left").withColumn("label", F.coalesce("component_id", "rep"))
+    smallest = nodes.groupBy("label").agg(F.min("least").alias("smallest"))
+    named = nodes.join(smallest, "label").select("digest", "smallest")
+    return profile.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -53,16 +53,16 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @query("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85).withColumn(
-        "kept", F.col("doc_id") == F.col("component_id"))
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each component of documents whose sets of five-word
     shingles have a similarity of 0.8 or more (two of exactly 0.8 meet in the index
-    with probability 0.998); columns unchanged."""
+    with probability 0.998); rows without a doc_id stay; columns unchanged."""
     marked = neardup.near_duplicates(docs, shingle=5, percent=80, collections=10)
-    kept = marked.filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    dropped = marked.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept")).filter("not kept")
+    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
 @query("op8_benchmark_decontamination")

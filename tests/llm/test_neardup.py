@@ -1,3 +1,4 @@
+import pytest
 from llm_fixtures import docs, empty, rows, words
 
 from matchspark.llm import common, neardup
@@ -53,6 +54,20 @@ def test_empty_and_repeated_rows(spark):
     assert got == [(2, 1, 2), (4, 1, 2), (4, 1, 2), (9, 0, 9)]
 
 
+@pytest.mark.parametrize("swapped", [False, True])
+def test_repeated_doc_ids_lose_no_link(spark, swapped):
+    """Two texts under one id, each with a near copy under another id, in either order of the rows."""
+    p, q = ([f"{c}{i}" for i in range(200)] for c in "pq")
+    near = lambda w, tag: " ".join([*w[:195], *[f"{tag}{i}" for i in range(5)]])
+    both = [(1, " ".join(p)), (1, " ".join(q))]
+    source = (both[::-1] if swapped else both) + [(2, near(p, "x")), (3, near(q, "y")), (3, near(q, "y")), (8, "p0 p1"),
+                                                  (None, near(p, "z")), (None, "alone here"), (None, "Alone here"), (None, None)]
+    df = spark.createDataFrame(source, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect()), key=repr)
+    assert got == sorted([(1, 196, 1), (1, 196, 1), (2, 196, 1), (3, 196, 1), (3, 196, 1), (8, 1, 8), (None, 196, 1),
+                          (None, 1, None), (None, 1, None), (None, 0, None)], key=repr)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (2, 1), (9, 8), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in common.components(edges).collect()}
