@@ -22,10 +22,6 @@ backs off.  The sum telescopes to
   a slice's rows are then added.  The number of buckets follows the word count.
 * Texts of one word are joined to exact word counts.
 
-``scores`` is an older, capped model of order 2 that no query uses: the ``VOCABULARY``
-most frequent words have a number, all others are one unknown word, and pairs
-seen less than ``MIN_COUNT`` times score ``ALPHA * c(w) / N``.
-
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  Defined results: null
 texts and texts without words have 0 words, sum 0 and mean 0; repeated
 doc_ids, and null ones, are one document (their sums are added); an empty table gives an
@@ -46,75 +42,20 @@ from matchspark.llm.common import (COUNTER_CHUNK, COUNTERS, counter_rows, parts_
                                    written)
 from matchspark.llm.words import Words, batch_words, grams, mix
 
-ALPHA = 0.4
-MIN_COUNT = 2
-VOCABULARY = 1 << 20
-HOT = 1 << 10
-BUCKET_WORDS = 6_000_000
 # Which grams are counted without a shuffle: at most so many, seen so often in a sample of about so many documents.
 HOT_GRAMS = 1 << 18
 HOT_DOCS = 4000
 HOT_SEEN = 4
-GRAM_BUCKET = 2_500_000
+#: Grams that one task counts at once, about, and buckets of a task; both numbers of buckets and of tasks follow the word count.
+GRAM_BUCKET = 800_000
+TASK_BUCKETS = 2
 WORD_MARKS = 1 << 20
 GRAM_SLICE = 1 << 20
 ONE_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
-_SHIFT = np.uint64(32)
 #: Stands for a null doc_id inside the job.
 NO_ID = -(1 << 63)
 
 
-class Vocabulary:
-    """Word numbers by falling count: 0 is the unknown word; ``counts`` by number."""
-
-    def __init__(self, rows: list[tuple[int, int]], total: int):
-        h = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-        c = np.array([r[1] for r in rows], np.int64)
-        order = np.lexsort((h, -c))
-        number = np.empty(len(h), np.int64)
-        number[order] = np.arange(1, len(h) + 1)
-        by_hash = np.argsort(h)
-        self.hash, self.number = h[by_hash], number[by_hash]
-        self.total = total
-        self.counts = np.concatenate(([total - c.sum()], c[order]))
-        self.log = np.log(np.maximum(self.counts, 1))
-
-    def numbers(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hash):
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        return np.where(self.hash[at] == h, self.number[at], 0)
-
-    def unigram(self, w: np.ndarray) -> np.ndarray:
-        return self.log[w] - np.log(max(1, self.total))
-
-    def value(self, v: np.ndarray, w: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Log score of each pair with its corpus count."""
-        return np.where(count >= MIN_COUNT, np.log(np.maximum(count, 1)) - self.log[v], np.log(ALPHA) + self.unigram(w))
-
-
-def _pairs(w: Words, vocabulary: Vocabulary):
-    """Numbers of all words of a slice; positions of pairs inside one document."""
-    n = vocabulary.numbers(w.hash)
-    doc = w.doc_of_word()
-    at = np.flatnonzero(doc[1:] == doc[:-1])
-    return n, doc, at
-
-
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    def run(batches):
-        schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
-        for batch in batches:
-            for _, _, w in batch_words(batch.column(0), lower=True):
-                word, n = np.unique(w.hash, return_counts=True)
-                yield record_batch(schema, word=word.view(np.int64), n=n)
-    counts = texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = written(counts)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(size).toArrow()
-    return Vocabulary(list(zip(top.column("word").to_pylist(), top.column("n").to_pylist())), total)
-
-
 def _planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
 
@@ -124,117 +65,6 @@ def _unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-PACKED = "bucket long, slice long, docs binary, keys binary, doc binary, n binary"
-
-
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_words, log_score, mean_log_score`` of every document."""
-    spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
-    words = vocabulary(texts)
-    shared = spark.sparkContext.broadcast(words)
-
-    def count_hot(batches):
-        table = np.zeros(HOT * HOT, np.int64)
-        for batch in batches:
-            for _, _, w in batch_words(batch.column(0), lower=True):
-                n, _, at = _pairs(w, shared.value)
-                a, b = n[at], n[at + 1]
-                hot = (a < HOT) & (b < HOT)
-                table += np.bincount(a[hot] * HOT + b[hot], minlength=HOT * HOT)
-        yield counter_rows(table)
-    hot_counts = spark.sparkContext.broadcast(
-        sum_counters(texts.select("text").mapInArrow(count_hot, COUNTERS), HOT * HOT))
-    buckets = parts_for(words.total, BUCKET_WORDS)
-    schema = pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("docs", pa.binary()), ("keys", pa.binary()), ("doc", pa.binary()),
-                        ("n", pa.binary()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("part", pa.float64())])
-
-    def explode(batches):
-        """Rows of two kinds: what a document scores here (doc_id, n_words, part), and
-        packed pairs for a bucket."""
-        v, hot_table = shared.value, hot_counts.value
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, w in batch_words(batch.column(1), lower=True):
-                size = hi - lo
-                n, doc, at = _pairs(w, v)
-                part = np.zeros(size)
-                begin = w.first[:-1][np.diff(w.first) > 0]
-                part[np.diff(w.first) > 0] = v.unigram(n[begin])
-                a, b, d = n[at], n[at + 1], doc[at]
-                hot = (a < HOT) & (b < HOT)
-                x, y = a[hot], b[hot]
-                part += np.bincount(d[hot], v.value(x, y, hot_table[x * HOT + y]), size)
-                key = (a[~hot].astype(np.uint64) << _SHIFT) | b[~hot].astype(np.uint64)
-                d = d[~hot]
-                order = np.lexsort((d, key))
-                key, d = key[order], d[order]
-                new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (d[1:] != d[:-1])))) if len(key) else []
-                count = np.diff(np.append(new, len(key)))
-                key, d = key[new], d[new]
-                bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
-                out = {f.name: [] for f in schema}
-                number = int.from_bytes(hashlib.blake2b(ids[lo:hi].tobytes(), digest_size=8).digest(), "little", signed=True)
-                for k in np.unique(bucket):
-                    pick = bucket == k
-                    used, local = np.unique(d[pick], return_inverse=True)
-                    keys = np.diff(key[pick], prepend=np.uint64(0))
-                    for name, value in (("bucket", int(k)), ("slice", number), ("docs", ids[lo + used].tobytes()), ("keys", _planes(keys)),
-                                        ("doc", _planes(local.astype(np.uint32))),
-                                        ("n", _planes(count[pick].astype(np.uint32)))):
-                        out[name].append(value)
-                rows = len(out["bucket"])
-                none = [None] * rows
-                yield record_batch(schema, **{**out, "doc_id": none, "n_words": none, "part": none})
-                none = [None] * size
-                yield record_batch(schema, bucket=none, slice=none, docs=none, keys=none, doc=none, n=none, doc_id=ids[lo:hi],
-                                   n_words=np.diff(w.first), part=part)
-    fields = PACKED + ", doc_id long, n_words long, part double"
-
-    def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, packed = shared.value, []
-        for batch in batches:
-            packed += zip(*(batch.column(c).to_pylist() for c in ("docs", "keys", "doc", "n", "slice")))
-        keys = [np.cumsum(_unplanes(p[1], np.uint64), dtype=np.uint64) for p in packed]
-        counts = [_unplanes(p[3], np.uint32) for p in packed]
-        every = np.concatenate(keys)
-        order = np.argsort(every, kind="stable")
-        new = np.concatenate(([True], every[order][1:] != every[order][:-1]))
-        total = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), np.flatnonzero(new))
-        of = np.empty(len(every), np.int64)
-        of[order] = np.cumsum(new) - 1
-        types = every[order][new]
-        value = v.value((types >> _SHIFT).astype(np.int64), (types & np.uint64(0xFFFFFFFF)).astype(np.int64), total)
-        at = 0
-        for p, k, n in zip(packed, keys, counts):
-            ids = np.frombuffer(p[0], np.int64)
-            sums = np.bincount(_unplanes(p[2], np.uint32), value[of[at:at + len(k)]] * n, len(ids))
-            at += len(k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[4]], pa.int64()), pa.array([p[0]], pa.binary()), pa.array([sums.tobytes()], pa.binary())],
-                names=["slice", "docs", "sums"])
-
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of the documents of one slice over its buckets."""
-        ids, sums = [], []
-        for batch in batches:
-            ids += [np.frombuffer(x, np.int64) for x in batch.column("docs").to_pylist()]
-            sums += [np.frombuffer(x, np.float64) for x in batch.column("sums").to_pylist()]
-        used, at = np.unique(np.concatenate(ids), return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.bincount(at, np.concatenate(sums), len(used)))],
-                                         names=["doc_id", "part"])
-    rows = texts.mapInArrow(explode, fields)
-    # one pass makes both kinds of rows; its output is kept for the two uses
-    rows = written(rows)
-    packed = rows.filter("bucket is not null").select(*(c.split()[0] for c in PACKED.split(", ")))
-    parts = (packed.groupBy("bucket").applyInArrow(score, "slice long, docs binary, sums binary")
-             .groupBy("slice").applyInArrow(add, "doc_id long, part double")
-             .select("doc_id", F.lit(0).cast("long").alias("n_words"), "part"))
-    own = rows.filter("bucket is null").select("doc_id", "n_words", "part")
-    return (own.unionByName(parts).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id")).agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
-            .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(0.0)))
-
-
 def _events(w: Words):
     """Every pair and trigram of a slice: its document, key (type in the last bit,
     1 for pairs) and, for pairs, its weight in the score plus 1."""
@@ -390,7 +220,8 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     sums.append(np.frombuffer(x, np.float64))
         part = np.bincount(np.concatenate(places), np.concatenate(sums), len(ids))
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n_words), pa.array(part)], names=["doc_id", "n_words", "part"])
-    parts = (texts.mapInArrow(explode, GRAMS).groupBy("bucket").applyInArrow(score, SUMS)
+    parts = (texts.mapInArrow(explode, GRAMS).repartition(parts_for(buckets, TASK_BUCKETS), "bucket")
+             .groupBy("bucket").applyInArrow(score, SUMS)
              .groupBy("slice").applyInArrow(add, "doc_id long, n_words long, part double"))
     return (parts.unionByName(_single_words(texts)).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"))
             .agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))

@@ -7,50 +7,6 @@ from llm_fixtures import docs, empty, rows, words
 from matchspark.llm import backoff
 
 
-def plain(source, size):
-    texts = {d: words(t, lower=True) for d, t in source}
-    count = Counter(w for t in texts.values() for w in t)
-    total = sum(count.values())
-    if size < len(count):
-        from matchspark.llm.words import batch_words
-        import pyarrow as pa
-        h = {w: int(next(iter(batch_words(pa.array([w]), lower=True)))[2].hash.view("int64")[0]) for w in count}
-        known = set(sorted(count, key=lambda w: (-count[w], h[w]))[:size])
-        texts = {d: [w if w in known else None for w in t] for d, t in texts.items()}
-        count = Counter(w for t in texts.values() for w in t)
-    pairs = Counter(p for t in texts.values() for p in zip(t, t[1:]))
-    out = {}
-    for d, t in texts.items():
-        s = math.log(count[t[0]] / total) if t else 0.0
-        for v, w in zip(t, t[1:]):
-            s += math.log(pairs[v, w] / count[v]) if pairs[v, w] >= 2 else math.log(0.4 * count[w] / total)
-        out[d] = (len(t), s)
-    return out
-
-
-@pytest.mark.parametrize("size,hot,bucket", [(1 << 20, 1 << 10, 10**6), (1 << 20, 128, 500), (100, 128, 10**6)])
-def test_equals_brute_force(spark, monkeypatch, size, hot, bucket):
-    monkeypatch.setattr(backoff, "VOCABULARY", size)
-    monkeypatch.setattr(backoff, "HOT", hot)
-    monkeypatch.setattr(backoff, "BUCKET_WORDS", bucket)
-    monkeypatch.setattr(backoff.vocabulary, "__defaults__", (size,))
-    got = {r.doc_id: r for r in backoff.scores(docs(spark)).collect()}
-    want = plain([(r[0], r[1]) for r in rows()], size)
-    assert got.keys() == want.keys()
-    for d, (n, s) in want.items():
-        assert got[d].n_words == n and got[d].log_score == pytest.approx(s)
-        assert got[d].mean_log_score == (pytest.approx(s / n) if n else 0.0)
-
-
-def test_empty_table(spark):
-    assert backoff.scores(empty(spark)).count() == 0
-
-
-def test_null_and_large_ids(spark):
-    df = spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "a b c"), (2, None)], "doc_id long, text string")
-    assert {r.doc_id: r.n_words for r in backoff.scores(df).collect()} == {None: 2, (1 << 60) + 1: 3, 2: 0}
-
-
 def plain_whole(source):
     texts = [(d, words(t, lower=True)) for d, t in source]
     count = [Counter(tuple(t[i:i + n]) for _, t in texts for i in range(len(t) - n + 1)) for n in (1, 2, 3)]
@@ -79,18 +35,6 @@ def test_whole_scores_equal_brute_force(spark, monkeypatch, hot, bucket):
         assert got[d].mean_log_score == (pytest.approx(s / n, abs=1e-8) if n else 0.0)
 
 
-def test_rare_words_keep_their_counts(spark, monkeypatch):
-    monkeypatch.setattr(backoff, "VOCABULARY", 4)
-    monkeypatch.setattr(backoff.vocabulary, "__defaults__", (4,))
-    source = [(i, f"common text rare{i} end{i}") for i in range(40)]
-    df = spark.createDataFrame(source, "doc_id long, text string")
-    from matchspark.llm import queries
-    monkeypatch.setattr(queries, "table", lambda *a: df)
-    want = plain_whole(source)
-    got = {r.doc_id: r.log_score for r in queries.op1_lm_scoring(spark, "").collect()}
-    assert got == {d: pytest.approx(s) for d, (_, s) in want.items()}
-
-
 def test_whole_scores_of_empty_table_and_null_ids(spark):
     assert backoff.whole_scores(empty(spark)).count() == 0
     df = spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "a b c"), (2, None)], "doc_id long, text string")
