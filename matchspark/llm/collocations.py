@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from matchspark.llm.common import materialize, parts_for, record_batch, written
 from matchspark.llm.words import _LOWER, Words, grams, mix, separator_table, slices
+from matchspark.session import size_estimate
 
 LEAST, TOP, SHARE = 30, 2000, 80
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -49,6 +50,8 @@ ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BITS = 1 << 26
 HELD = 3_000_000
 PART_WORDS = 4_000_000
+#: Bytes of input (as the optimizer estimates it) for each part of the words' counts.
+PART_BYTES = 16 << 20
 #: Pairs of a language that the first wave takes, as a multiple of ``top``, and its growth.
 FIRST, GROWTH = 3, 4
 #: A language's rows are ranked in so many parts before the parts' best are ranked together.
@@ -134,7 +137,7 @@ class Tally:
         self.parts, self.held = [], 0
 
 
-def count_words(texts: DataFrame) -> DataFrame:
+def count_words(texts: DataFrame, parts: int) -> DataFrame:
     """``w, lang, word, n`` of every word, and one row without a word for each language: all its words."""
     schema = pa.schema([("w", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
@@ -166,7 +169,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         if total:
             yield record_batch(schema, w=[0] * len(total), lang=list(total), word=[None] * len(total), n=list(total.values()))
     return (texts.mapInArrow(run, "w long, lang string, word string, n long")
-            .groupBy("w", "lang", "word").agg(F.sum("n").alias("n")))
+            .repartition(parts, "w").groupBy("w", "lang", "word").agg(F.sum("n").alias("n")))
 
 
 def bitmap(frame: DataFrame, words: list[str]):
@@ -310,7 +313,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     """``lang, rank, phrase, a, l, r, n, score``: the best ``top`` surviving phrases of each language."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counted = written(count_words(texts).filter((F.col("n") >= least) | F.col("word").isNull()))
+    counted = written(count_words(texts, parts_for(size_estimate(docs), PART_BYTES)).filter((F.col("n") >= least) | F.col("word").isNull()))
     totals = counted.filter("word is null").select("lang", F.col("n").alias("total"))
     words = counted.filter("word is not null")
     parts = parts_for(totals.agg(F.sum("total")).first()[0], PART_WORDS)
