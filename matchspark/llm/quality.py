@@ -9,12 +9,13 @@ functions, so nothing is shuffled or exploded.
 Rates derived from the counts (``METRICS``) are summarised per language and
 source by mergeable quantile sketches (``approx_percentile``, whose partial
 sketches combine on the map side: one small row per group and task, however
-large a source is).  A document fails where a rate lies beyond its group's
-upper or lower fence: quartile plus or minus ``FENCE`` times the quartile
-distance, which is taken as at least a floor, so that a group of equal
-documents has no fence of width 0.  Groups of fewer than ``MIN_GROUP``
-documents take the fences of their language, and those of a small language
-the fences of all documents.  Fixed rules (``base_failed``) stay besides.
+large a source is).  A group's upper fence is its ``TAIL`` quantile plus ``FENCE`` times
+that quantile's distance from the median (at least ``LEAST_WIDTH``), its lower fence likewise
+from the other tail.  The fences of a group are shrunk towards those of its
+language, and these towards those of all documents, with weight ``size / (size + PRIOR)``, so
+that small groups have no rule of their own and no size changes the rule.  A document fails
+where its count lies beyond the fence times its size by more than a few single events
+(``slack``: what a short document may show by chance).  Fixed rules (``base_failed``) stay besides.
 
 Defined results: a null or empty text has zero counts and fails the fixed
 rule; a null language or source is a group of its own; repeated rows are
@@ -34,15 +35,18 @@ A_WORD = r"[^\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-FENCE = 6.0
-MIN_GROUP = 200
+TAIL = 0.95
+FENCE = 3.0
+#: Least distance of a tail from the median: only against fences of width 0 where most documents have none of a thing.
+LEAST_WIDTH = 0.005
+PRIOR = 50.0
 ACCURACY = 2000
-# rate -> (floor of the quartile distance, lower fence used, upper fence used)
+# rate -> (count, size, events a document may have beyond its group's fence, lower fence used)
 METRICS = {
-    "mean_word": (0.5, True, True),
-    "symbol_rate": (0.02, False, True),
-    "dup_line_rate": (0.1, False, True),
-    "repeat_rate": (0.05, False, True),
+    "mean_word": ("word_chars", "n_words", None, True),   # its slack is the standard error of a mean of lengths
+    "symbol_rate": ("n_symbols", "word_chars", 3.0, False),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 2.0, False),
+    "repeat_rate": ("n_repeat_words", "n_words", 4.0 * WINDOW, False),
 }
 
 
@@ -108,11 +112,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def rates(counts: DataFrame) -> DataFrame:
     part = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
-    return (counts.withColumn("mean_word", part("word_chars", "n_words"))
-            .withColumn("symbol_rate", part("n_symbols", "word_chars"))
-            .withColumn("dup_line_rate", part("n_dup_lines", "n_lines"))
-            .withColumn("repeat_rate", part("n_repeat_words", "n_words"))
-            .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))))
+    return counts.withColumns({m: part(a, b) for m, (a, b, _, _) in METRICS.items()}).withColumn(
+        "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
 def fences(rated: DataFrame, by: list[str]) -> DataFrame:
@@ -120,16 +121,20 @@ def fences(rated: DataFrame, by: list[str]) -> DataFrame:
 
     Documents that already fail the fixed rules take no part."""
     passed = rated.filter(~F.col("base_failed"))
-    sketch = [F.percentile_approx(m, [0.25, 0.75], ACCURACY).alias(m) for m in METRICS]
+    sketch = [F.percentile_approx(m, [1 - TAIL, 0.5, TAIL], ACCURACY).alias(m) for m in METRICS]
     out = passed.groupBy(*by).agg(F.count("*").alias("size"), *sketch)
-    for m, (floor, low, high) in METRICS.items():
-        q1, q3 = F.get(F.col(m), F.lit(0)), F.get(F.col(m), F.lit(1))
-        spread = F.greatest(q3 - q1, F.lit(floor)) * FENCE
-        out = (out.withColumn(f"{m}_low", q1 - spread if low else F.lit(float("-inf")))
-               .withColumn(f"{m}_high", q3 + spread if high else F.lit(float("inf"))))
+    for m in METRICS:
+        low, middle, high = (F.get(F.col(m), F.lit(i)) for i in range(3))
+        out = out.withColumns({f"{m}_low": low - FENCE * F.greatest(middle - low, F.lit(LEAST_WIDTH)),
+                               f"{m}_high": high + FENCE * F.greatest(high - middle, F.lit(LEAST_WIDTH))})
     return out.drop(*METRICS)
 
 
+def _shrunk(size: str, own: str, wider: Column) -> Column:
+    weight = F.coalesce(F.col(size), F.lit(0)) / (F.coalesce(F.col(size), F.lit(0)) + PRIOR)
+    return F.coalesce(weight * F.col(own) + (1 - weight) * wider, wider)
+
+
 def quality(docs: DataFrame, **columns: str) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` per document row."""
     rated = materialize(rates(measures(docs, **columns)))
@@ -143,11 +148,14 @@ def quality(docs: DataFrame, **columns: str) -> DataFrame:
                   F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
             .join(named(lang, "l", ["lang"]), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
             .join(F.broadcast(named(total, "a", [])), F.lit(True), "left"))  # exactly one row
-    bound = lambda c: (F.when(F.col("g_size") >= MIN_GROUP, F.col(f"g_{c}"))
-                       .when(F.col("l_size") >= MIN_GROUP, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")))
+    bound = lambda c: _shrunk("g_size", f"g_{c}", _shrunk("l_size", f"l_{c}", F.col(f"a_{c}")))
     inside = F.lit(True)
-    for m in METRICS:
-        inside = inside & (F.col(m) >= F.coalesce(bound(f"{m}_low"), F.lit(float("-inf")))) & (
-            F.col(m) <= F.coalesce(bound(f"{m}_high"), F.lit(float("inf"))))
+    for m, (count, size, slack, lower) in METRICS.items():
+        n = F.col(size)
+        slack = F.lit(slack) if slack is not None else 9.0 * F.sqrt(n)
+        # no fence at all where no document passes the fixed rules
+        inside = inside & F.coalesce(F.col(count) <= bound(f"{m}_high") * n + slack, F.lit(True))
+        if lower:
+            inside = inside & F.coalesce(F.col(count) >= bound(f"{m}_low") * n - slack, F.lit(True))
     return wide.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"))
