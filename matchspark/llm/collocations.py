@@ -21,7 +21,7 @@ more (counts never grow with the phrase), so neighbours of one word suffice.
 
 Counts are exact, for phrases named by 64-bit hashes of their words and language.  Each
 task counts its own grams in sorted arrays before they are shuffled by the words; which
-grams are counted is read from bitmaps of fixed size (``BITS``): a wrong hit costs a
+grams are counted is read from bitmaps of fixed size (``common.BITS``): a wrong hit costs a
 row, no result.  Products are decimals of 38 digits.
 
 Defined results: a null text has no words, a null language is ``und``; repeated rows
@@ -40,14 +40,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import materialize, parts_for, record_batch, written
+from matchspark.llm.common import is_marked, marked_keys, materialize, parts_for, record_batch, written
 from matchspark.llm.words import _LOWER, Words, grams, mix, separator_table, slices
 from matchspark.session import size_estimate
 
 LEAST, TOP, SHARE = 30, 2000, 80
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
-#: Bits of a bitmap of grams; the most grams that a task holds; words of a shuffled part.
-BITS = 1 << 26
+#: The most grams that a task holds; words of a shuffled part.
 HELD = 3_000_000
 PART_WORDS = 4_000_000
 #: Bytes of input (as the optimizer estimates it) for each part of the words' counts.
@@ -173,21 +172,14 @@ def count_words(texts: DataFrame, parts: int) -> DataFrame:
 
 
 def bitmap(frame: DataFrame, words: list[str]):
-    """Broadcast bits of the grams in a frame, ``BITS`` whatever their number."""
+    """Broadcast bits of the grams in a frame."""
     m = len(words)
 
     def keys(batches):
         for batch in batches:
             h = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in range(m)], axis=1).ravel()
-            slot = (grams(h, m)[::m] if m > 1 else h) & np.uint64(BITS - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64) + 1)], names=["slot"])
-    slot = frame.select(*words).mapInArrow(keys, "slot long")
-    parts = slot.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
-    out = np.zeros(BITS // 8, np.uint8)
-    for p in parts:
-        out[(p.b - 1) * 4096:p.b * 4096] = np.frombuffer(p.bits, np.uint8)
-    return frame.sparkSession.sparkContext.broadcast(out.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array((grams(h, m)[::m] if m > 1 else h).view(np.int64))], names=["key"])
+    return marked_keys(frame.select(*words).mapInArrow(keys, "key long"))
 
 
 def count_grams(texts: DataFrame, m: int, parts: int, every: list, some: list = ()) -> DataFrame:
@@ -205,9 +197,8 @@ def count_grams(texts: DataFrame, m: int, parts: int, every: list, some: list =
             def hit(test, where):
                 b, size, first = test
                 if size not in made:
-                    made[size] = (grams(h, size) if size > 1 else h) & np.uint64(BITS - 1)
-                slot = made[size][where + first]
-                return (bits[id(b)][slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                    made[size] = grams(h, size) if size > 1 else h
+                return is_marked(bits[id(b)], made[size][where + first])
             for test in every:
                 at = at[hit(test, at)]
             if some:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from matchspark.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["components", "counter_rows", "materialize", "parts_for", "record_batch", "sum_counters", "uniform", "written"]
+__all__ = ["BITS", "components", "counter_rows", "is_marked", "marked_keys", "materialize", "parts_for", "record_batch", "sum_counters", "uniform", "written"]
 
 
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -34,6 +34,27 @@ def uniform(*cols: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
 
 
+#: Bits of a table that marks keys, whatever their number: a wrong hit is possible, a miss is not.
+BITS = 1 << 26
+
+
+def marked_keys(keys: DataFrame):
+    """Broadcast bits of the long keys in the only column of a frame (``BITS / 8`` bytes)."""
+    slot = F.col(keys.columns[0]).bitwiseAND(F.lit(BITS - 1)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(BITS // 8, np.uint8)
+    for p in parts:
+        out[(p.b - 1) * 4096:p.b * 4096] = np.frombuffer(p.bits, np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(out.tobytes())
+
+
+def is_marked(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which keys (uint64) have their bit set in the bytes of ``marked_keys``."""
+    slot = key & np.uint64(BITS - 1)
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 COUNTER_CHUNK = 1 << 14
 COUNTERS = "chunk long, counts binary"
 
@@ -62,13 +83,13 @@ def sum_counters(rows: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Cuts the lineage by a compressed table in the shared checkpoint folder (for
     wide rows, where ``checkpoint`` would store them uncompressed).  The folder of
     this run is removed when the driver ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     if not _WRITTEN:
         atexit.register(_remove_written)
     _WRITTEN.append((spark, path))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import materialize, parts_for, record_batch, written
+from matchspark.llm.common import is_marked, marked_keys, materialize, parts_for, record_batch, written
 from matchspark.llm.words import SPACES, Words, batch_words, grams, mix, slices
 from matchspark.session import broadcast_if_small
 
@@ -272,13 +272,18 @@ def _hashes(content: pa.Array) -> np.ndarray:
     return np.frombuffer(content.buffers()[2], np.uint8)[offset:offset + 16 * len(content)].copy().view(np.uint64).reshape(-1, 2)
 
 
-def _anchors(texts: DataFrame, window: int, gram: int) -> DataFrame:
+def _anchors(texts: DataFrame, window: int, gram: int, marked=None) -> DataFrame:
+    """One row per segment; with ``marked`` only of anchors whose bit is set."""
     def run(batches):
+        bits = None if marked is None else np.frombuffer(marked.value, np.uint8)
         schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("places", pa.int32())])
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, _, w in batch_words(batch.column(1)):
-                anchor, doc, start, size, places = anchor_segments(w, window, gram)
+                anchor, doc, start, size, places = found = anchor_segments(w, window, gram)
+                if bits is not None:
+                    keep = is_marked(bits, anchor.view(np.uint64))
+                    anchor, doc, start, size, places = (x[keep] for x in found)
                 yield record_batch(schema, anchor=anchor, key=keys[lo + doc] if len(doc) else doc,
                                    start=start.astype(np.int32), windows=size.astype(np.int32), places=places.astype(np.int32))
     return texts.select("key", "text").mapInArrow(run, "anchor long, key long, start int, windows int, places int")
@@ -385,12 +390,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """``key, start, words``: word intervals made of windows that also start earlier."""
     gram = min(GRAM, window)
     texts = _keyed(docs, id_col, text_col).filter("doc_id is not null")
-    anchors = _anchors(texts, window, gram)
-    shared = anchors.groupBy("anchor").agg(F.sum("places").alias("n")).filter("n > 1").select("anchor")
+    shared = materialize(_anchors(texts, window, gram).groupBy("anchor").agg(F.sum("places").alias("n"))
+                         .filter("n > 1").select("anchor"))
+    # most anchors have one place and end here, before a shuffle; the join below is exact
+    anchors = _anchors(texts, window, gram, marked_keys(shared))
     # a set: rows equal in id and text give each segment twice
     spans = (anchors.join(shared, "anchor", "left_semi").groupBy("key")
              .agg(F.collect_set(F.struct("anchor", "start", "windows")).alias("spans")))
-    segments = written(_segments(texts.join(spans, "key").select("doc_id", "key", "text", "spans"), window))
+    segments = written(_segments(texts.join(spans, "key").select("doc_id", "key", "text", "spans"), window), "zstd")
     bare = segments.filter("words is not null")
     size = F.sum(F.col("windows") + window - 1)
     total = bare.agg(size).first()[0]
