@@ -48,7 +48,9 @@ HOT_DOCS = 4000
 HOT_SEEN = 4
 #: Grams that one task counts at once, about, and buckets of a task; both numbers of buckets and of tasks follow the word count.
 GRAM_BUCKET = 800_000
-TASK_BUCKETS = 2
+TASK_BUCKETS = 16
+#: Partial sums that a task adds up before it gives them.
+HELD_SUMS = 4_000_000
 WORD_MARKS = 1 << 20
 GRAM_SLICE = 1 << 20
 ONE_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
@@ -205,6 +207,39 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in (ids, n_words, sums))],
                                           names=["slice", "docs", "words", "sums"])
 
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of the task's buckets added by document: what is shuffled grows with the tasks, not with the buckets."""
+        held: dict[int, list] = {}
+        size = 0
+
+        def add_up():
+            total = 0
+            for number, parts in held.items():
+                places, sums = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+                used, local = np.unique(places, return_inverse=True)
+                held[number] = [(used, np.bincount(local, sums, len(used)))]
+                total += len(used)
+            return total
+
+        def give():
+            for number, [(used, sums)] in held.items():
+                yield _sums(number, _planes(used), None, _planes(sums))
+            held.clear()
+        for batch in batches:
+            for number, ids, n_words, sums in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if n_words is not None:
+                    yield _sums(number, ids, n_words, sums)
+                    continue
+                held.setdefault(number, []).append((_unplanes(ids, np.uint32), _unplanes(sums, np.float64)))
+                size += len(ids) // 4
+            if size > HELD_SUMS:
+                size = add_up()
+                if size > HELD_SUMS // 2:
+                    yield from give()
+                    size = 0
+        add_up()
+        yield from give()
+
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words and sums of the documents of one slice over its buckets.  The slice's own
         row has the ids, a bucket's row places in them (equal slices have equal ids)."""
@@ -221,7 +256,7 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         part = np.bincount(np.concatenate(places), np.concatenate(sums), len(ids))
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n_words), pa.array(part)], names=["doc_id", "n_words", "part"])
     parts = (texts.mapInArrow(explode, GRAMS).repartition(parts_for(buckets, TASK_BUCKETS), "bucket")
-             .groupBy("bucket").applyInArrow(score, SUMS)
+             .groupBy("bucket").applyInArrow(score, SUMS).mapInArrow(combine, SUMS)
              .groupBy("slice").applyInArrow(add, "doc_id long, n_words long, part double"))
     return (parts.unionByName(_single_words(texts)).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"))
             .agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))

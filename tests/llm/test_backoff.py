@@ -21,8 +21,9 @@ def plain_whole(source):
     return out
 
 
-@pytest.mark.parametrize("hot,bucket", [(1 << 14, 10**6), (1 << 14, 500), (0, 500)])
-def test_whole_scores_equal_brute_force(spark, monkeypatch, hot, bucket):
+@pytest.mark.parametrize("hot,bucket,held", [(1 << 14, 10**6, 10**6), (1 << 14, 500, 10**6), (0, 500, 10**6), (0, 100, 20)])
+def test_whole_scores_equal_brute_force(spark, monkeypatch, hot, bucket, held):
+    monkeypatch.setattr(backoff, "HELD_SUMS", held)
     monkeypatch.setattr(backoff, "HOT_GRAMS", hot)
     monkeypatch.setattr(backoff, "GRAM_BUCKET", bucket)
     tail = rows()[0][2:]
