@@ -706,64 +706,72 @@ def q_default_fill(spark, sf):
 
 
 # ---------------------------------------------------------------- models (rows-only checks)
-_TRAINED: dict = {}
+# Every query trains what it returns, at values of the original grids.
+def _prepared(spark, sf):
+    from . import pipeline
+    return pipeline.prepare_training(common.game_rows(spark, sf))
 
 
-def _trained(spark, sf):
-    """Train once per data folder and application (the model queries share one
-    run), over the small grids: the full ones are 3,360 fits."""
-    from ..operators.models import SMALL_GRIDS
-    from . import pipeline
-    key = (sf, spark.sparkContext.applicationId)
-    if key not in _TRAINED:
-        _TRAINED[key] = pipeline.train_pipeline(common.game_rows(spark, sf), grids=SMALL_GRIDS, parallelism=4)
-    return _TRAINED[key]
+def _fitted(prep, names=("random_forest", "logistic_regression", "xgboost")):
+    from ..operators import models, search
+    return search.fit_points(prep.train, FEATURE_NAMES, models.QUERY_GRIDS, names=names)
 
 
 @register("model_metrics", None)
 def q_model_metrics(spark, sf):
-    """F6-F10 + A8 per split: trained models evaluated on val and test."""
-    return _trained(spark, sf).metrics
+    """F6-F8, F10 + A8 per split: 100 trees, 1000 iterations, 100 boosting rounds, evaluated on val and test."""
+    from . import pipeline
+    prep = _prepared(spark, sf)
+    return pipeline.evaluate(prep, _fitted(prep))
 
 
 @register("cv_scores", None)
 def q_cv_scores(spark, sf):
-    """best cross-validated accuracy and parameters per model."""
-    res = _trained(spark, sf)
-    rows = [(n, float(res.cv_scores[n]), ", ".join(f"{k}={v}" for k, v in sorted(res.best_params[n].items())))
-            for n in res.models]
-    return spark.createDataFrame(rows, "model string, cv_accuracy double, best_params string")
+    """five-fold accuracy of a forest of 100 trees and a logistic model of up to 1000 iterations,
+    from the ledger of the search."""
+    import uuid
+
+    from ..operators import models, search
+    from ..session import ensure_checkpoint_dir
+    folder = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    names = ["random_forest", "logistic_regression"]
+    found = search.search(_prepared(spark, sf).train, FEATURE_NAMES, folder, grids=models.QUERY_GRIDS, names=names, refit=False)
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat_ws("=", e["key"], e["value"])), ", ")
+    return search.Ledger(spark, folder).points(found.run).select("model", "point", text.alias("params"), "cv_accuracy", "folds_done")
 
 
 @register("feature_importance", None)
 def q_feature_importance(spark, sf):
-    """F16 + K4: top 15 features of the forest with rank and bar share."""
+    """F16 + K4: top 15 features of a forest of 100 trees with rank and bar share."""
     from ..operators import models as M
-    res = _trained(spark, sf)
-    return M.feature_importance(spark, res.models["random_forest"], FEATURE_NAMES, top_n=15)
+    forest = _fitted(_prepared(spark, sf), ["random_forest"])["random_forest"]
+    return M.feature_importance(spark, forest, FEATURE_NAMES, top_n=15)
 
 
 @register("season_predictions", None)
 def q_season_predictions(spark, sf):
-    """Entry 2 / F10 + F13 + F15 + P6: score the last season's schedule
-    (results unknown) with the stored scaler and all models."""
+    """Entry 2 / F10 + F13 + F15 + P6: score the last season's schedule (results unknown) with the
+    stored scaler and all models; rolling means and head-to-head go on from the carried state of all earlier seasons."""
+    from ..operators import carried
     from . import pipeline
-    res = _trained(spark, sf)
-    g = common.game_rows(spark, sf).where(F.col("season").cast("string").isin(res.test_seasons))
-    return pipeline.predict_season(g, res.models, res.scaler)
+    games = materialize(common.game_rows(spark, sf))
+    prep = pipeline.prepare_training(games)
+    coming = F.col("season").cast("string").isin(prep.seasons["test"])
+    ratios = features.turnover_features(features.efficiency_features(games.where(~coming)))
+    return pipeline.predict_season(games.where(coming), _fitted(prep), prep.scaler, carried.History.of(materialize(ratios)))
 
 
 @register("adhoc_matchups", None)
 def q_adhoc(spark, sf):
-    """F11 + F12 + F14: one request per (team1, team2) pair of the last
-    season, with that season's statistics."""
+    """F11 + F12 + F14: one request per (season, team1, team2) pair that has met, with that season's statistics."""
     from . import pipeline
-    res = _trained(spark, sf)
-    g = common.game_rows(spark, sf).where(F.col("season").cast("string").isin(res.test_seasons))
-    req = g.drop("game_id", "week", "team1_score", "team2_score").dropDuplicates(["season", "team1", "team2"])
-    req = req.withColumn("game_id", F.xxhash64("team1", "team2"))
-    return pipeline.predict_matchups(req, res.models, res.scaler)
-
+    prep = _prepared(spark, sf)
+    stats = joins.Lookup(common.team_stats(spark, sf))
+    pairs = standins.games(spark, sf).select("season", "team1", "team2").distinct()
+    req = stats.join(pairs, joins.role_projection(stats.frame, "team1"), ["season", "team1"])
+    req = stats.join(req, joins.role_projection(stats.frame, "team2"), ["season", "team2"])
+    req = req.withColumn("game_id", F.xxhash64("season", "team1", "team2"))
+    return pipeline.predict_matchups(req, _fitted(prep), prep.scaler)
 
 
 def _analytics_sql() -> str:

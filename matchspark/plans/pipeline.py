@@ -87,23 +87,27 @@ def load_all_seasons(spark: SparkSession, data_dir: str, seasons, threshold: flo
     return rows
 
 
-def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | None = None,
-                   scaler_fit_on: str = "train", seed: int = 42, parallelism: int = 4, label_on: str = "raw",
-                   ledger: str | None = None, names=models.MODEL_NAMES) -> TrainResult:
-    """Entry 1 on prepared game rows (with ``team1_score`` / ``team2_score``
-    known or not — the label uses raw points per game, fixing T1).
+@dataclass
+class Prepared:
+    """Scaled features with their split, the fitted scaler and the seasons of each split."""
 
-    F5 split policy -> F1 features (materialized once) -> F4 split column ->
-    F2 scaler fitted on the train split (``scaler_fit_on="all"`` reproduces
-    the original leak, T2) -> F3 -> F6-F9 -> F10 on val and test -> A8
-    per split and model -> S6 / S7 when ``out_dir`` is given.
+    scaled: DataFrame
+    scaler: scaling.Scaler
+    seasons: dict[str, list]
+    counts: dict
 
-    ``label_on="scaled"`` compares the scaled points instead (the original's label, T1).  With
-    ``ledger``, a folder, the search writes every fit there and goes on from it when called again.
-    """
+    @property
+    def train(self) -> DataFrame:
+        return self.scaled.where(F.col("split") == "train")
+
+
+def prepare_training(games: DataFrame, scaler_fit_on: str = "train", label_on: str = "raw") -> Prepared:
+    """Entry 1 up to the models: F5 split policy -> F1 features (materialized once) -> F4 split column ->
+    F2 scaler fitted on the train split (``scaler_fit_on="all"`` reproduces
+    the original leak, T2) -> F3.  ``label_on="scaled"`` compares the scaled points (the
+    original's label, T1) instead of the raw ones."""
     if label_on not in ("raw", "scaled"):
         raise ValueError(f"label_on is raw or scaled, not {label_on!r}")
-    spark = games.sparkSession
     policy = split.split_policy(games).collect()          # one row per season
     lists = {k: sorted(r["season"] for r in policy if r["split"] == k) for k in split.SPLITS}
     feats = materialize(features.build_features(games))
@@ -112,20 +116,35 @@ def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | N
     fit_rows = feats if scaler_fit_on == "all" else feats.where(F.col("split") == "train")
     scaler = scaling.Scaler(FEATURE_NAMES).fit(fit_rows)
     scaled = scaler.transform(feats)
-    scaled = materialize(features.label(scaled) if label_on == "scaled" else scaled)
-    train = scaled.where(F.col("split") == "train")
+    return Prepared(materialize(features.label(scaled) if label_on == "scaled" else scaled), scaler, lists, counts)
+
+
+def evaluate(prep: Prepared, fitted: dict) -> DataFrame:
+    """F10 on val and test, A8 per split and model."""
+    scored = models.score(prep.scaled.where(F.col("split").isin("val", "test")), fitted, FEATURE_NAMES)
+    long = models.predictions_long(scored.withColumnRenamed("label", "y"), list(fitted), y="y", extra=["split"])
+    return metrics.add_metrics(metrics.confusion(long, by=("split", "model"))).withColumnRenamed("model", "model_name")
+
+
+def train_pipeline(games: DataFrame, grids: dict | None = None, out_dir: str | None = None,
+                   scaler_fit_on: str = "train", seed: int = 42, parallelism: int = 4, label_on: str = "raw",
+                   ledger: str | None = None, names=models.MODEL_NAMES) -> TrainResult:
+    """Entry 1 on prepared game rows (with ``team1_score`` / ``team2_score``
+    known or not — the label uses raw points per game, fixing T1): :func:`prepare_training` ->
+    F6-F9 -> F10 on val and test -> A8 per split and model -> S6 / S7 when ``out_dir`` is given.
+
+    With ``ledger``, a folder, the search writes every fit there and goes on from it when called again.
+    """
+    spark = games.sparkSession
+    prep = prepare_training(games, scaler_fit_on, label_on)
     if ledger:
-        found = search.search(train, FEATURE_NAMES, ledger, grids=grids, names=names, seed=seed, parallelism=parallelism)
+        found = search.search(prep.train, FEATURE_NAMES, ledger, grids=grids, names=names, seed=seed, parallelism=parallelism)
         trained = {n: (found.models[n], *found.best[n]) for n in names}
     else:
-        trained = models.train_models(train, FEATURE_NAMES, grids=grids, seed=seed, parallelism=parallelism, names=names)
+        trained = models.train_models(prep.train, FEATURE_NAMES, grids=grids, seed=seed, parallelism=parallelism, names=names)
     fitted = {n: t[0] for n, t in trained.items()}
-    evaluated = models.score(scaled.where(F.col("split").isin("val", "test")), fitted, FEATURE_NAMES)
-    long = models.predictions_long(evaluated.withColumnRenamed("label", "y"), list(fitted), y="y", extra=["split"])
-    per_split = (metrics.add_metrics(metrics.confusion(long, by=("split", "model")))
-                 .withColumnRenamed("model", "model_name"))
-    res = TrainResult(models=fitted, scaler=scaler, train_seasons=lists["train"], val_seasons=lists["val"],
-                      test_seasons=lists["test"], split_counts=counts, metrics=per_split,
+    res = TrainResult(models=fitted, scaler=prep.scaler, train_seasons=prep.seasons["train"], val_seasons=prep.seasons["val"],
+                      test_seasons=prep.seasons["test"], split_counts=prep.counts, metrics=evaluate(prep, fitted),
                       best_params={n: t[1] for n, t in trained.items()},
                       cv_scores={n: float(t[2]) for n, t in trained.items()})
     if out_dir:
