@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from matchspark.llm.common import materialize, parts_for, record_batch
 from matchspark.llm.words import slices
@@ -56,6 +55,7 @@ class _ChunkIds(dict):
     ends a word."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer   # needed where texts are tokenised, not where a query is registered
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)

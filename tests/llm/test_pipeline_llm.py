@@ -37,4 +37,4 @@ def test_stages_on_an_empty_table(spark):
 
 def test_every_operator_has_a_query():
     found = {int(n[2:].split("_")[0]) for n in queries.QUERIES}
-    assert found == set(range(1, 11)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert found == set(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
