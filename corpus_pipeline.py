@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchspark.llm import queries
+from matchspark.llm.common import written
 from matchspark.sources.tables import table
 
 STAGES = [
@@ -19,8 +20,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the whole ``documents`` table."""
+    """All stages in order over the whole ``documents`` table; each one's rows are written and
+    read again as the next one's input, so none is computed twice."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
