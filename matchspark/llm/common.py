@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from matchspark.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["BITS", "components", "counter_rows", "is_marked", "marked_keys", "materialize", "parts_for", "record_batch", "sum_counters", "uniform", "written"]
+__all__ = ["BITS", "components", "counter_rows", "is_marked", "marked_keys", "materialize", "parts_for", "record_batch", "remove_at_exit",
+           "sum_counters", "uniform", "written"]
 
 
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -89,11 +90,16 @@ def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     this run is removed when the driver ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
     df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_at_exit(spark, path: str) -> None:
+    """A folder of this run in the shared checkpoint folder goes when the driver ends."""
     if not _WRITTEN:
         atexit.register(_remove_written)
     _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
 
 
 _WRITTEN: list[tuple] = []

@@ -33,7 +33,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import materialize
+from matchspark.llm.common import materialize, remove_at_exit
 from matchspark.session import broadcast_if_small, ensure_checkpoint_dir, file_or_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -136,8 +136,10 @@ def verdicts(spark: SparkSession, path: str, store: str, id_col: str = "doc_id",
 def exact_duplicates(spark: SparkSession, path: str, store: str | None = None, id_col: str = "doc_id", text_col: str = "text",
                      digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """All three steps over the parquet file or folder ``path``.  Without a ``store`` (a folder that
-    the cluster shares, kept between calls) a new one is made under the session's checkpoint folder."""
-    store = store or f"{ensure_checkpoint_dir(spark)}/copies-{uuid.uuid4().hex}"
+    the cluster shares, kept between calls) a new one under the session's checkpoint folder serves this run."""
+    if store is None:
+        store = f"{ensure_checkpoint_dir(spark)}/copies-{uuid.uuid4().hex}"
+        remove_at_exit(spark, store)
     arrive(spark, path, store, id_col, text_col, digest)
     remember(spark, store)
     return verdicts(spark, path, store, id_col, text_col)
