@@ -48,9 +48,9 @@ HOT_DOCS = 4000
 HOT_SEEN = 4
 #: Grams that one task counts at once, about, and buckets of a task; both numbers of buckets and of tasks follow the word count.
 GRAM_BUCKET = 800_000
-TASK_BUCKETS = 16
+TASK_BUCKETS = 8
 #: Partial sums that a task adds up before it gives them.
-HELD_SUMS = 4_000_000
+HELD_SUMS = 1_000_000
 WORD_MARKS = 1 << 20
 GRAM_SLICE = 1 << 20
 ONE_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
