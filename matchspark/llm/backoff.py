@@ -52,7 +52,7 @@ TASK_BUCKETS = 8
 #: Partial sums that a task adds up before it gives them.
 HELD_SUMS = 1_000_000
 WORD_MARKS = 1 << 20
-GRAM_SLICE = 1 << 20
+GRAM_SLICE = 1 << 19
 ONE_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
 #: Stands for a null doc_id inside the job.
 NO_ID = -(1 << 63)
