@@ -1,9 +1,10 @@
 import os
 
 import pytest
+from conftest import SF_SMALL
 
 from matchspark.operators import joins, quality
-from matchspark.sources import seasons, sinks
+from matchspark.sources import seasons, sinks, standins
 
 
 def _write(d, name, text):
@@ -165,3 +166,13 @@ def test_season_is_scored_into_one_file(spark, season_dir):
     path = os.path.join(season_dir, "2023 Schedule_predictions.csv")
     assert spark.read.option("header", True).csv(path).count() == found.count() == 3 and rejects.count() == 1
     assert sorted(f for f in os.listdir(season_dir) if "predictions" in f and not f.startswith(".")) == ["2023 Schedule_predictions.csv"]
+
+
+def test_joins_by_order_have_tasks_that_follow_the_lines(spark, monkeypatch):
+    want = sorted(standins.defense(spark, SF_SMALL).collect())
+    monkeypatch.setattr(standins, "ORDER_BYTES", 4000)
+    parts = standins.order_parts(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"))
+    many = standins.defense(spark, SF_SMALL)
+    assert parts > 4 and f", {parts}), REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(many.collect()) == want
