@@ -47,12 +47,17 @@ HOT_GRAMS = 1 << 18
 HOT_DOCS = 4000
 HOT_SEEN = 4
 #: Grams that one task counts at once, about, and buckets of a task; both numbers of buckets and of tasks follow the word count.
-GRAM_BUCKET = 800_000
+GRAM_BUCKET = 600_000
 TASK_BUCKETS = 8
 #: Partial sums that a task adds up before it gives them.
 HELD_SUMS = 1_000_000
 WORD_MARKS = 1 << 20
 GRAM_SLICE = 1 << 19
+#: Grams that a task collects over its slices before it deals them to the buckets: rows per bucket, and what each costs, stay few.
+GROUP_GRAMS = 300_000
+GROUP_DOCS = 1 << 16
+#: Bytes of packed rows given at once.
+GIVEN_BYTES = 1 << 19
 ONE_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
 #: Stands for a null doc_id inside the job.
 NO_ID = -(1 << 63)
@@ -139,7 +144,34 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.binary()) for c in GRAMS.split(", ")])
 
     def explode(batches):
-        """Packed grams for each bucket, and one row of what each document scores here."""
+        """Packed grams for each bucket, and one row of what each document scores here, for groups of slices."""
+        held, docs, size = [], 0, 0
+
+        def deal():
+            ids, n_words, own, key, d, n, extra = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            number = int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=8).digest(), "little", signed=True)
+            out, given = {f.name: [] for f in schema}, 0
+
+            def put(**row):
+                for name in out:
+                    out[name].append(row.get(name))
+            put(bucket=number % buckets, slice=number, docs=ids.tobytes(), words=n_words.tobytes(), own=own.tobytes())
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            d, n, extra = d[order], n[order], extra[order]
+            bucket = _bucket(key, buckets)
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))[:len(key)])
+            bucket = bucket[cuts]
+            del order
+            for own_bucket, a, b in zip(bucket.tolist(), cuts, np.append(cuts[1:], len(key))):
+                put(bucket=own_bucket, slice=number,
+                    keys=_planes(np.diff(key[a:b], prepend=np.uint64(0))), doc=_planes(d[a:b]), n=_planes(n[a:b]), extra=_planes(extra[a:b]))
+                given += 20 * int(b - a)
+                if given > GIVEN_BYTES:
+                    yield record_batch(schema, **out)
+                    out, given = {f.name: [] for f in schema}, 0
+            yield record_batch(schema, **out)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi, w in batch_words(batch.column(1), lower=True, limit=GRAM_SLICE):
@@ -149,41 +181,34 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 own = np.where(n_words > 0, -np.log(max(1, total)), 0.0)
                 own += np.bincount(d[hot], _weight(key[hot], 1, extra[hot]) * hot_log.value[at[hot]], hi - lo)
                 d, key, extra = d[~hot], key[~hot], extra[~hot]
-                order = np.lexsort((d, key))
+                order = np.argsort(key, kind="stable")  # documents of a key are in order already
                 d, key, extra = d[order], key[order], extra[order]
                 del at, hot, order
-                number = int.from_bytes(hashlib.blake2b(ids[lo:hi].tobytes(), digest_size=8).digest(), "little", signed=True)
-                out = {f.name: [] for f in schema}
-
-                def put(**row):
-                    for name in out:
-                        out[name].append(row.get(name))
-                put(bucket=number % buckets, slice=number, docs=ids[lo:hi].tobytes(), words=n_words.astype(np.int64).tobytes(),
-                    own=own.tobytes())
-                if len(key):
-                    new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (d[1:] != d[:-1]))))
-                    n, extra = np.diff(np.append(new, len(key))), np.add.reduceat(extra, new, dtype=np.int64)
-                    key, d = key[new], d[new]
-                    bucket = _bucket(key, buckets)
-                    cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(key)]))
-                    for a, b in zip(cuts[:-1], cuts[1:]):
-                        put(bucket=int(bucket[a]), slice=number, keys=_planes(np.diff(key[a:b], prepend=np.uint64(0))),
-                            doc=_planes(d[a:b].astype(np.uint32)),
-                            n=_planes(n[a:b].astype(np.uint32)), extra=_planes(extra[a:b].astype(np.uint32)))
-                yield record_batch(schema, **out)
+                new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (d[1:] != d[:-1])))[:len(key)])
+                n = np.diff(np.append(new, len(key)))
+                extra = np.add.reduceat(extra, new, dtype=np.int64) if len(new) else extra
+                held.append((ids[lo:hi], n_words.astype(np.int64), own, key[new], (d[new] + docs).astype(np.uint32),
+                             n.astype(np.uint32), extra.astype(np.uint32)))
+                docs, size = docs + hi - lo, size + len(new)
+                if size >= GROUP_GRAMS or docs >= GROUP_DOCS:
+                    yield from deal()
+                    docs, size = 0, 0
+        if held:
+            yield from deal()
 
     def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, keys, counts = [], [], []
+        packed, keys, counts, out, given = [], [], [], [], 0
         for batch in batches:
             for r in zip(*(batch.column(c) for c in ("slice", "docs", "keys", "doc", "n", "extra", "words", "own"))):
                 number, ids, k, doc, n, extra, n_words, own = (x.as_py() for x in r)
                 if k is None:
-                    yield _sums(number, ids, n_words, own)
+                    out.append((number, ids, n_words, own))
                 else:
                     packed.append((number, doc, extra))
                     keys.append(np.cumsum(_unplanes(k, np.uint64), dtype=np.uint64))
                     counts.append(_unplanes(n, np.uint32))
         if not packed:
+            yield _sums(out)
             return
         sizes = [len(k) for k in keys]
         keys, counts = np.concatenate(keys), np.concatenate(counts)
@@ -201,10 +226,18 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             used, local = np.unique(_unplanes(doc, np.uint32), return_inverse=True)
             sums = np.bincount(local, value[of[here]] * weight, len(used))
             at += size
-            yield _sums(number, _planes(used), None, _planes(sums))
-
-    def _sums(number, ids, n_words, sums) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in (ids, n_words, sums))],
+            out.append((number, _planes(used), None, _planes(sums)))
+            given += 12 * len(used)
+            if given > GIVEN_BYTES:
+                yield _sums(out)
+                out, given = [], 0
+        if out:
+            yield _sums(out)
+
+    def _sums(rows: list[tuple]) -> pa.RecordBatch:
+        """One batch for many rows: a batch of its own costs more than a row's sums."""
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
                                           names=["slice", "docs", "words", "sums"])
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,16 +255,19 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             return total
 
         def give():
-            for number, [(used, sums)] in held.items():
-                yield _sums(number, _planes(used), None, _planes(sums))
+            if held:
+                yield _sums([(number, _planes(used), None, _planes(sums)) for number, [(used, sums)] in held.items()])
             held.clear()
         for batch in batches:
+            own = []
             for number, ids, n_words, sums in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 if n_words is not None:
-                    yield _sums(number, ids, n_words, sums)
+                    own.append((number, ids, n_words, sums))
                     continue
                 held.setdefault(number, []).append((_unplanes(ids, np.uint32), _unplanes(sums, np.float64)))
                 size += len(ids) // 4
+            if own:
+                yield _sums(own)
             if size > HELD_SUMS:
                 size = add_up()
                 if size > HELD_SUMS // 2:

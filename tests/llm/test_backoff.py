@@ -1,8 +1,10 @@
 import math
+import random
 from collections import Counter
 
 import pytest
 from llm_fixtures import docs, empty, rows, words
+from pyspark.sql import GroupedData
 
 from matchspark.llm import backoff
 
@@ -40,3 +42,23 @@ def test_whole_scores_of_empty_table_and_null_ids(spark):
     assert backoff.whole_scores(empty(spark)).count() == 0
     df = spark.createDataFrame([(None, "a b"), ((1 << 60) + 1, "a b c"), (2, None)], "doc_id long, text string")
     assert {r.doc_id: r.n_words for r in backoff.whole_scores(df).collect()} == {None: 2, (1 << 60) + 1: 3, 2: 0}
+
+
+def test_slices_of_a_task_share_their_rows(spark, monkeypatch):
+    """Rows for the buckets follow the grams, not slices x buckets."""
+    rnd = random.Random(3)
+    texts = [(i, " ".join(f"w{rnd.randrange(400)}" for _ in range(60))) for i in range(200)]
+    monkeypatch.setattr(backoff, "HOT_GRAMS", 0)
+    monkeypatch.setattr(backoff, "GRAM_SLICE", 300)        # a slice for each text
+    monkeypatch.setattr(backoff, "GRAM_BUCKET", 2000)      # 12 buckets
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    seen, real = [], GroupedData.applyInArrow
+
+    def counted(self, fn, schema):
+        if schema == backoff.SUMS:
+            seen.append(self._df.count())
+        return real(self, fn, schema)
+    monkeypatch.setattr(GroupedData, "applyInArrow", counted)
+    got = {r.doc_id: r.log_score for r in backoff.whole_scores(df).collect()}
+    assert got == pytest.approx({d: s for d, (_, s) in plain_whole(texts).items()}, abs=1e-8)
+    assert seen and seen[0] <= 13
