@@ -82,3 +82,21 @@ def test_negatives_come_from_the_whole_text(spark):
     df = spark.createDataFrame([(1, " ".join(f"ordinary{k}" for k in range(2000)))], "doc_id long, text string")
     found = [int(x[1][8:]) for x in secrets.labelled(df) if not x[3]]
     assert len(found) == secrets.PLAIN_WORDS and max(found) > 1000
+
+
+def test_every_document_is_learnt_from(spark):
+    df = spark.range(4000).selectExpr("id AS doc_id", "concat('see token = x', sha1(string(id)), ' in ordinary', id, ' text') AS text")
+    found = list(secrets.labelled(df))
+    assert sum(x[3] for x in found) == 4000 and {int(x[1][8:]) for x in found if x[1].startswith("ordinary")} == set(range(4000))
+    net = secrets.train(df, part_rows=2000)                # several parts and rounds
+    assert net.findings == {"fitted": sum(not secrets.half(x[1]) for x in found), "held_out": sum(secrets.half(x[1]) for x in found)}
+    assert net.findings["fitted"] > 2 * 2000 and net.held_out["recall"] >= 0.98 and net.held_out["precision"] > 0.9
+
+
+def test_counts_by_bin_keep_every_row_and_the_recall():
+    z = secrets.np.linspace(-9, 9, 5001).astype(secrets.np.float32)
+    y = (secrets.np.arange(5001) % 3 == 0).astype(secrets.np.float32)
+    bins, negative, positive = secrets.logit_bins(z, y)
+    assert negative.sum() + positive.sum() == 5001 and (secrets.np.diff(bins) > 0).all()
+    net = secrets.Network().calibrate_counts(bins, negative, positive, 0.98)
+    assert net.held_out["recall"] >= 0.98 and (net._probability(z)[y > 0] >= net.threshold).mean() == net.held_out["recall"]
