@@ -176,3 +176,10 @@ def test_joins_by_order_have_tasks_that_follow_the_lines(spark, monkeypatch):
     many = standins.defense(spark, SF_SMALL)
     assert parts > 4 and f", {parts}), REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
     assert sorted(many.collect()) == want
+
+
+def test_joins_by_order_have_no_fewer_tasks_than_a_plain_join(spark, monkeypatch):
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert standins.order_parts(lines) == 1
+    monkeypatch.setattr(standins, "ORDER_BYTES", standins.size_estimate(lines) - 1)   # two tasks by size alone
+    assert standins.order_parts(lines) == int(spark.conf.get("spark.sql.shuffle.partitions")) > 2
