@@ -28,9 +28,8 @@ from matchspark.llm.common import materialize, parts_for, record_batch
 from matchspark.llm.words import slices
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids binary"
-#: Chunks and plain words whose ids are kept per Python worker; a table starts anew beyond it.
-CHUNK_TABLE = 400_000
-WORD_TABLE = 600_000
+#: Chunks, and half as many again plain words, whose ids are kept per Python worker; a table starts anew beyond it.
+KEPT = 400_000
 #: A chunk longer than this is tokenised without being kept.
 CHUNK_CHARS = 64
 #: Plain words that one call of the tokenizer takes.
@@ -52,7 +51,9 @@ class _ChunkIds(dict):
     the ids of its chunks in order.  It splits letters from signs and lowers
     case first, so a plain chunk is its lower-cased word and its tail; the new
     words of a batch are tokenised as one text and cut after every token that
-    ends a word."""
+    ends a word.  ``kept`` bounds the tables, about 180 bytes an entry."""
+
+    kept = KEPT
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer   # needed where texts are tokenised, not where a query is registered
@@ -77,9 +78,9 @@ class _ChunkIds(dict):
 
     def fill(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of every given chunk (long ones are returned, not kept)."""
-        if len(self) > CHUNK_TABLE:
+        if len(self) > self.kept:
             self.clear()
-        if len(self.words) > WORD_TABLE:
+        if len(self.words) > self.kept * 3 // 2:
             self.words.clear()
         plain, other = [], []
         for c in chunks.difference(self):
@@ -105,10 +106,11 @@ class _ChunkIds(dict):
 _TABLES: dict[str, _ChunkIds] = {}
 
 
-def _chunk_ids(path: str) -> _ChunkIds:
+def _chunk_ids(path: str, kept: int = KEPT) -> _ChunkIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _TABLES:
         _TABLES[path] = _ChunkIds(path)
+    _TABLES[path].kept = kept
     return _TABLES[path]
 
 
@@ -120,13 +122,14 @@ def _split(text: str) -> list[str]:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_id: int = 1,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT) -> DataFrame:
     """Pieces of every document: ``doc_id, row, piece, start, length, ids``
-    (little-endian unsigned 32-bit ids).  ``row`` tells repeated doc_ids apart."""
+    (little-endian unsigned 32-bit ids).  ``row`` tells repeated doc_ids apart.
+    ``kept`` bounds what a Python worker remembers: it changes memory and time, never the ids."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        table = _chunk_ids(tokenizer_path)
+        table = _chunk_ids(tokenizer_path, kept)
         schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.int32()),
                             ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:

@@ -98,9 +98,9 @@ def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return clean
 
 
-def _packed_digests(docs: DataFrame) -> DataFrame:
+def _packed_digests(docs: DataFrame, kept: int = packing.KEPT) -> DataFrame:
     """Digest columns first, so that ids leave the tokenising task as one number."""
-    pieces = packing.token_pieces(docs, word_tokenizer(), max_len=4096, end_id=1)
+    pieces = packing.token_pieces(docs, word_tokenizer(), max_len=4096, end_id=1, kept=kept)
     pieces = packing.materialize(pieces.select(
         "doc_id", "row", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
     return packing.place(pieces, max_len=4096)
@@ -112,9 +112,13 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+#: Chunks kept by a tokenising worker of the pipeline, whose executors still hold what the stages before took.
+STAGE_KEPT = 60_000
+
+
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage of the pipeline: a place in a training sequence for every piece."""
-    return _packed_digests(docs.select("doc_id", "text")).select(
+    return _packed_digests(docs.select("doc_id", "text"), STAGE_KEPT).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

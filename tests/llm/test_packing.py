@@ -76,3 +76,22 @@ def test_plan_places_every_rank_once(histogram):
         assert at <= 50
     if histogram:
         assert len(used) <= 1.3 * sum(n * c for n, c in histogram.items()) / 50 + 1 or max(histogram) > 25
+
+
+def test_the_tables_of_a_tokenising_worker_are_bounded_and_do_not_change_the_ids():
+    from matchspark.llm import queries
+    words = [f"{a}{b}ing" for a in ("wander", "ponder", "number") for b in "abcdefghijklmnopqrst"]
+    path = queries.word_tokenizer()
+    ids = {}
+    for kept in (1000, 25):
+        packing._TABLES.clear()
+        table = packing._chunk_ids(path, kept)
+        found = []
+        for at in range(0, 60, 10):
+            table.fill(set(words[at:at + 10]))
+            found += [table[w] for w in words[at:at + 10]]
+            assert len(table) <= kept + 10 and len(table.words) <= kept * 3 // 2 + 10
+        ids[kept] = found
+    packing._TABLES.clear()
+    assert ids[1000] == ids[25]
+    assert queries.STAGE_KEPT < packing.KEPT
