@@ -17,9 +17,10 @@ backs off.  The sum telescopes to
   a large part of all documents holds are never shuffled.  The sample decides
   only which way a gram goes, not its count.
 * All other grams are partitioned by ranges of the key, with their documents and
-  counts.  A bucket holds every place of its grams, so the task that counts them
-  adds up a partial score for each document, one packed row per slice and bucket;
-  a slice's rows are then added.  The number of buckets follows the word count.
+  counts.  A bucket holds every place of its grams, so whoever counts them has a
+  partial score for each document; buckets are counted one after another, and their
+  scores added over a part of several, one packed row per slice and part; a slice's
+  rows are then added.  The number of buckets follows the word count.
 * Texts of one word are joined to exact word counts.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  Defined results: null
@@ -38,15 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import (COUNTER_CHUNK, COUNTERS, counter_rows, parts_for, record_batch, sum_counters, uniform,
-                                   written)
+from matchspark.llm.common import (COUNTER_CHUNK, COUNTERS, counter_rows, parts_for, record_batch, small_batches, sum_counters,
+                                   uniform, written)
 from matchspark.llm.words import Words, batch_words, grams, mix
 
 # Which grams are counted without a shuffle: at most so many, seen so often in a sample of about so many documents.
 HOT_GRAMS = 1 << 18
 HOT_DOCS = 4000
 HOT_SEEN = 4
-#: Grams that one task counts at once, about, and buckets of a task; both numbers of buckets and of tasks follow the word count.
+#: Grams that are counted at once, about, and buckets of a part, whose sums are added; both numbers follow the word count.
 GRAM_BUCKET = 600_000
 TASK_BUCKETS = 8
 #: Partial sums that a task adds up before it gives them.
@@ -111,13 +112,14 @@ def _hot_grams(texts: DataFrame) -> np.ndarray:
     return np.sort(top.column("key").to_numpy().astype(np.int64).view(np.uint64))
 
 
-GRAMS = "bucket long, slice long, docs binary, keys binary, doc binary, n binary, extra binary, words binary, own binary"
+GRAMS = "part long, bucket long, slice long, docs binary, keys binary, doc binary, n binary, extra binary, words binary, own binary"
 SUMS = "slice long, docs binary, words binary, sums binary"
 
 
 def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score`` of every document, order 3, all words."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
     hot_keys = spark.sparkContext.broadcast(_hot_grams(texts))
     size = HOT_GRAMS + COUNTER_CHUNK  # the last counter is the number of words
@@ -156,7 +158,7 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             def put(**row):
                 for name in out:
                     out[name].append(row.get(name))
-            put(bucket=number % buckets, slice=number, docs=ids.tobytes(), words=n_words.tobytes(), own=own.tobytes())
+            put(part=number % buckets // TASK_BUCKETS, bucket=number % buckets, slice=number, docs=ids.tobytes(), words=n_words.tobytes(), own=own.tobytes())
             order = np.argsort(key, kind="stable")
             key = key[order]
             d, n, extra = d[order], n[order], extra[order]
@@ -165,7 +167,7 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             bucket = bucket[cuts]
             del order
             for own_bucket, a, b in zip(bucket.tolist(), cuts, np.append(cuts[1:], len(key))):
-                put(bucket=own_bucket, slice=number,
+                put(part=own_bucket // TASK_BUCKETS, bucket=own_bucket, slice=number,
                     keys=_planes(np.diff(key[a:b], prepend=np.uint64(0))), doc=_planes(d[a:b]), n=_planes(n[a:b]), extra=_planes(extra[a:b]))
                 given += 20 * int(b - a)
                 if given > GIVEN_BYTES:
@@ -196,22 +198,11 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if held:
             yield from deal()
 
-    def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, keys, counts, out, given = [], [], [], [], 0
-        for batch in batches:
-            for r in zip(*(batch.column(c) for c in ("slice", "docs", "keys", "doc", "n", "extra", "words", "own"))):
-                number, ids, k, doc, n, extra, n_words, own = (x.as_py() for x in r)
-                if k is None:
-                    out.append((number, ids, n_words, own))
-                else:
-                    packed.append((number, doc, extra))
-                    keys.append(np.cumsum(_unplanes(k, np.uint64), dtype=np.uint64))
-                    counts.append(_unplanes(n, np.uint32))
-        if not packed:
-            yield _sums(out)
-            return
+    def count_bucket(packed: list[tuple]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Slice, places and sums of the documents that hold a bucket's grams; every place of these is in ``packed``."""
+        keys = [np.cumsum(_unplanes(k, np.uint64), dtype=np.uint64) for _, k, _, _, _ in packed]
         sizes = [len(k) for k in keys]
-        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        keys, counts = np.concatenate(keys), np.concatenate([_unplanes(n, np.uint32) for _, _, _, n, _ in packed])
         order = np.argsort(keys, kind="stable")
         new = keys[order]
         new = np.concatenate(([True], new[1:] != new[:-1]))
@@ -220,19 +211,12 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         of[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
         del order, new
         at = 0
-        for (number, doc, extra), size in zip(packed, sizes):
+        for (number, _, doc, _, extra), size in zip(packed, sizes):
             here = slice(at, at + size)
             weight = _weight(keys[here], counts[here].astype(np.int64), _unplanes(extra, np.uint32))
             used, local = np.unique(_unplanes(doc, np.uint32), return_inverse=True)
-            sums = np.bincount(local, value[of[here]] * weight, len(used))
+            yield number, used, np.bincount(local, value[of[here]] * weight, len(used))
             at += size
-            out.append((number, _planes(used), None, _planes(sums)))
-            given += 12 * len(used)
-            if given > GIVEN_BYTES:
-                yield _sums(out)
-                out, given = [], 0
-        if out:
-            yield _sums(out)
 
     def _sums(rows: list[tuple]) -> pa.RecordBatch:
         """One batch for many rows: a batch of its own costs more than a row's sums."""
@@ -240,10 +224,11 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
                                           names=["slice", "docs", "words", "sums"])
 
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of the task's buckets added by document: what is shuffled grows with the tasks, not with the buckets."""
+    def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of a part's buckets, whose rows come one bucket after another, added by document as soon as a bucket is
+        counted: what is shuffled grows with the parts, not with the buckets, and one worker does both."""
         held: dict[int, list] = {}
-        size = 0
+        packed, now, size, counted_buckets = [], None, 0, set()
 
         def add_up():
             total = 0
@@ -255,24 +240,44 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             return total
 
         def give():
-            if held:
-                yield _sums([(number, _planes(used), None, _planes(sums)) for number, [(used, sums)] in held.items()])
+            out, given = [], 0
+            for number, [(used, sums)] in held.items():
+                out.append((number, _planes(used), None, _planes(sums)))
+                given += 12 * len(used)
+                if given > GIVEN_BYTES:
+                    yield _sums(out)
+                    out, given = [], 0
+            if out:
+                yield _sums(out)
             held.clear()
-        for batch in batches:
-            own = []
-            for number, ids, n_words, sums in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                if n_words is not None:
-                    own.append((number, ids, n_words, sums))
-                    continue
-                held.setdefault(number, []).append((_unplanes(ids, np.uint32), _unplanes(sums, np.float64)))
-                size += len(ids) // 4
-            if own:
-                yield _sums(own)
+
+        def count():
+            nonlocal size
+            for number, used, sums in count_bucket(packed) if packed else ():
+                held.setdefault(number, []).append((used, sums))
+                size += len(used)
+            packed.clear()
             if size > HELD_SUMS:
                 size = add_up()
                 if size > HELD_SUMS // 2:
                     yield from give()
                     size = 0
+        for batch in batches:
+            own = []
+            for _, bucket, number, ids, k, doc, n, extra, n_words, sums in zip(*batch.columns):
+                if bucket.as_py() != now:
+                    yield from count()
+                    now = bucket.as_py()
+                    if now in counted_buckets:
+                        raise ValueError("the rows of a part are not in the order of their buckets")
+                    counted_buckets.add(now)
+                if k.is_valid:
+                    packed.append((number.as_py(), k.as_py(), doc.as_py(), n.as_py(), extra.as_py()))
+                else:
+                    own.append((number.as_py(), ids.as_py(), n_words.as_py(), sums.as_py()))
+            if own:
+                yield _sums(own)
+        yield from count()
         add_up()
         yield from give()
 
@@ -291,8 +296,9 @@ def whole_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     sums.append(np.frombuffer(x, np.float64))
         part = np.bincount(np.concatenate(places), np.concatenate(sums), len(ids))
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n_words), pa.array(part)], names=["doc_id", "n_words", "part"])
-    parts = (texts.mapInArrow(explode, GRAMS).repartition(parts_for(buckets, TASK_BUCKETS), "bucket")
-             .groupBy("bucket").applyInArrow(score, SUMS).mapInArrow(combine, SUMS)
+    # twice as many tasks as parts: few tasks get several; the rows are in the order of the groups already
+    parts = (texts.mapInArrow(explode, GRAMS).repartition(2 * parts_for(buckets, TASK_BUCKETS), "part")
+             .sortWithinPartitions("part", "bucket").groupBy("part").applyInArrow(score, SUMS)
              .groupBy("slice").applyInArrow(add, "doc_id long, n_words long, part double"))
     return (parts.unionByName(_single_words(texts)).groupBy(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"))
             .agg(F.sum("n_words").alias("n_words"), F.sum("part").alias("log_score"))
@@ -305,8 +311,8 @@ def _single_words(texts: DataFrame) -> DataFrame:
     Only words whose hash is marked (by a word of such a text, in an array of fixed size) are counted."""
     def mark(batches):
         table = np.zeros(WORD_MARKS, np.int64)
-        for batch in batches:
-            table[batch.column(0).to_numpy().view(np.uint64) % np.uint64(WORD_MARKS)] = 1
+        for batch in single(batches):
+            table[batch.column(1).to_numpy().view(np.uint64) % np.uint64(WORD_MARKS)] = 1
         yield counter_rows(table)
 
     def count(batches):
@@ -323,8 +329,9 @@ def _single_words(texts: DataFrame) -> DataFrame:
             for lo, hi, w in batch_words(batch.column(1), lower=True, limit=GRAM_SLICE):
                 one = np.flatnonzero(np.diff(w.first) == 1)
                 yield record_batch(schema, doc_id=ids[lo + one], word=w.hash[w.first[one]].view(np.int64))
-    singles = texts.filter(F.col("text").rlike(ONE_WORD)).mapInArrow(single, "doc_id long, word long")
+    short = texts.filter(F.col("text").rlike(ONE_WORD))
+    singles = short.mapInArrow(single, "doc_id long, word long")
     marked = texts.sparkSession.sparkContext.broadcast(
-        sum_counters(singles.select("word").mapInArrow(mark, COUNTERS), WORD_MARKS) > 0)
+        sum_counters(short.mapInArrow(mark, COUNTERS), WORD_MARKS) > 0)
     counts = written(texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     return singles.join(counts, "word").select("doc_id", F.lit(0).cast("long").alias("n_words"), F.log("n").alias("part"))

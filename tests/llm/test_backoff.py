@@ -62,3 +62,32 @@ def test_slices_of_a_task_share_their_rows(spark, monkeypatch):
     got = {r.doc_id: r.log_score for r in backoff.whole_scores(df).collect()}
     assert got == pytest.approx({d: s for d, (_, s) in plain_whole(texts).items()}, abs=1e-8)
     assert seen and seen[0] <= 13
+
+
+def test_a_task_has_one_python_worker_and_small_batches(spark, monkeypatch):
+    """What each worker and each batch takes of an executor adds up to its memory: sums leave the worker that counts added
+    over its buckets, marks come from the worker that reads, and Arrow batches have a lower limit than Spark's."""
+    rnd = random.Random(4)
+    texts = [(i, " ".join(f"w{rnd.randrange(400)}" for _ in range(60))) for i in range(100)] + [(100, "single")]
+    monkeypatch.setattr(backoff, "HOT_GRAMS", 0)
+    monkeypatch.setattr(backoff, "GRAM_BUCKET", 1000)      # 13 buckets, two parts
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    workers, sums = [], []
+    real_sum, real_apply = backoff.sum_counters, GroupedData.applyInArrow
+
+    def summed(frame, size):
+        workers.append(frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        return real_sum(frame, size)
+
+    def applied(self, fn, schema):
+        out = real_apply(self, fn, schema)
+        if schema == backoff.SUMS:
+            sums.append(out.filter("words is null").count())
+        return out
+    monkeypatch.setattr(backoff, "sum_counters", summed)
+    monkeypatch.setattr(GroupedData, "applyInArrow", applied)
+    got = {r.doc_id: r.log_score for r in backoff.whole_scores(df).collect()}
+    assert got == pytest.approx({d: s for d, (_, s) in plain_whole(texts).items()}, abs=1e-8)
+    assert workers == [1, 1] and sums == [2]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
