@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchspark.llm.common import materialize, parts_for, record_batch
-from matchspark.llm.words import slices
+from matchspark.llm.words import mix, slices
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids binary"
-#: Chunks, and half as many again plain words, whose ids are kept per Python worker; a table starts anew beyond it.
+#: Chunks tokenised as a whole, and half as many again words of them, whose ids are kept per Python worker (a table starts
+#: anew beyond it); the table of plain pieces has four to eight places for each.
 KEPT = 400_000
 #: A chunk longer than this is tokenised without being kept.
 CHUNK_CHARS = 64
@@ -36,6 +37,8 @@ CHUNK_CHARS = 64
 JOINED = 2000
 #: A chunk that is a word of ASCII and Latin-1 letters and a tail of ASCII signs (no apostrophe).
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+#: Bytes and ids of a plain piece that its table can hold.
+PIECE_BYTES, PIECE_IDS = 16, 8
 #: Bytes of text tokenised together (a longer text by itself).
 SLICE = 1 << 20
 #: Pieces that one window over (length, bucket) ranks, about.
@@ -103,7 +106,146 @@ class _ChunkIds(dict):
         return long
 
 
+#: Classes of bytes: white space between chunks, letters, digits, signs, all else (whose chunk is tokenised as a whole).
+GAP, LETTER, DIGIT, SIGN, ODD = range(5)
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+class _PieceIds:
+    """Ids of the texts of an Arrow slice, by array operations over its bytes.
+
+    The tokenizer lowers case and splits chunks into runs of letters, single digits and
+    runs of signs, each tokenised by itself.  Where a chunk has only ASCII (no apostrophe, no
+    first sign of a special token) and Latin-1 letters, these pieces follow from the classes of
+    its bytes; a piece's bytes are its exact key in a table of fixed size, in which a new
+    piece takes the place of an old one.  Other chunks and long pieces go through ``_ChunkIds``."""
+
+    def __init__(self, chunks: _ChunkIds):
+        self.chunks, self.kept = chunks, 0
+        kind = np.full(256, ODD, np.uint8)
+        kind[0x21:0x7F] = SIGN
+        kind[[0x20, 9, 10, 13]] = GAP
+        kind[[*range(65, 91), *range(97, 123)]] = LETTER
+        kind[0x30:0x3A] = DIGIT
+        kind[[ord("'"), *(t.content.encode()[0] for t in chunks.tokenizer.get_added_tokens_decoder().values())]] = ODD
+        self.kind = kind
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[65:91] += 32
+
+    def keep(self, kept: int) -> None:
+        """A table of four to eight places for each of ``kept`` entries (33 bytes a place)."""
+        if kept == self.kept:
+            return
+        bits = (4 * kept).bit_length()
+        self.kept, self.shift = kept, np.uint64(64 - bits)
+        self.key = np.zeros((1 << bits, 2), np.uint64)
+        self.size = np.zeros(1 << bits, np.uint8)
+        self.ids = np.zeros((1 << bits, PIECE_IDS), "<u2" if len(self.chunks.ends) <= 1 << 16 else "<u4")
+
+    def _bytes(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and lower case of every byte (both bytes of a Latin-1 letter are a letter's)."""
+        kind, low = self.kind[raw], np.zeros(len(raw) + PIECE_BYTES, np.uint8)
+        low[:len(raw)] = self.lower[raw]
+        at = np.flatnonzero(raw == 0xC3) + 1
+        v = raw[at]
+        letter = (v != 0x97) & (v != 0xB7)
+        kind[at[letter]] = kind[at[letter] - 1] = LETTER
+        low[at[letter & (v < 0x9F)]] += 32
+        return kind, low
+
+    def _odd_chunks(self, kind: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First byte and end of every chunk with an odd byte; its bytes become a gap."""
+        odd = np.flatnonzero(kind == ODD)
+        if not len(odd):
+            return odd, odd
+        cuts = np.union1d(np.flatnonzero(kind == GAP), offs)   # a gap's byte, or a text's end, that is the next one's first byte
+        first = cuts[np.searchsorted(cuts, odd, "right") - 1]
+        first = np.unique(first + (kind[first] == GAP))
+        end = cuts[np.searchsorted(cuts, first, "right")]
+        step = np.zeros(len(kind) + 1, np.int8)
+        step[first] += 1
+        step[end] -= 1
+        kind[np.cumsum(step[:-1], dtype=np.int8).astype(bool)] = GAP
+        return first, end
+
+    def _learn(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for distinct pieces."""
+        words = np.ascontiguousarray(key).view(f"S{PIECE_BYTES}").ravel().tolist()
+        ids, sizes = [], []
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            found = self.chunks._encode([b" ".join(part).decode()])[0]
+            ends = np.flatnonzero(self.chunks.ends[found])
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not mark word ends")
+            ids.append(found)
+            sizes.append(np.diff(ends, prepend=-1))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _plain(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+        """Ids of pieces in rows, their number, and the ids of those that need more than a row (number 0)."""
+        place = (mix(key[:, 0] + mix(key[:, 1])) >> self.shift).astype(np.int64)
+        rows, size = self.ids[place], self.size[place].astype(np.int64)
+        miss = np.flatnonzero((self.key[place] != key).any(1))
+        if not len(miss):
+            return rows, size, {}
+        order = miss[np.lexsort((key[miss, 1], key[miss, 0]))]
+        new = np.concatenate(([True], (key[order[1:]] != key[order[:-1]]).any(1)))
+        first, of = order[new], np.cumsum(new) - 1
+        ids, n = self._learn(key[first])
+        start = np.cumsum(n) - n
+        short = n <= PIECE_IDS
+        some = np.repeat(short, n)
+        learnt = np.zeros((len(n), PIECE_IDS), rows.dtype)
+        learnt[np.repeat(np.arange(len(n)), n)[some], (np.arange(len(ids)) - np.repeat(start, n))[some]] = ids[some]
+        rows[order], size[order] = learnt[of], np.where(short, n, 0)[of]
+        put = first[short]
+        # of several new pieces with one place, the last one stays, with its key
+        place, last = np.unique(place[put][::-1], return_index=True)
+        last = len(put) - 1 - last
+        self.key[place], self.ids[place], self.size[place] = key[put[last]], learnt[short][last], n[short][last]
+        return rows, size, {int(i): ids[start[k]:start[k] + n[k]] for i, k in zip(order, of) if not short[k]}
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[bytes, np.ndarray]:
+        """Little-endian ids of consecutive texts, each with ``end_id`` behind it, and the number of ids to each text's end."""
+        offs = (offsets - offsets[0]).astype(np.int64)
+        raw = buf[int(offsets[0]):int(offsets[-1])]
+        kind, low = self._bytes(raw)
+        first, end = self._odd_chunks(kind, offs)
+        change = np.ones(len(raw) + 1, bool)
+        change[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        change[offs] = True
+        cuts = np.flatnonzero(change)
+        real = np.flatnonzero(kind[cuts[:-1]] != GAP)
+        start, size = cuts[real], cuts[real + 1] - cuts[real]
+        eight = np.ndarray(len(raw) + PIECE_BYTES - 7, "<u8", low, strides=(1,))
+        key = np.empty((len(start), 2), np.uint64)
+        key[:, 0] = eight[start] & _MASK[np.minimum(size, 8)]
+        key[:, 1] = eight[start + 8] & _MASK[np.clip(size - 8, 0, 8)]
+        fits = size <= PIECE_BYTES
+        long = start[~fits]
+        others = [raw[a:b].tobytes().decode() for a, b in zip([*first, *long], [*end, *(long + size[~fits])])]
+        start = start[fits]
+        rows, size, wide = self._plain(key[fits])
+        ids = rows[np.arange(PIECE_IDS) < size[:, None]].astype("<u4")
+        far = self.chunks.fill(set(others)) if others else {}
+        known = self.chunks
+        others = [np.frombuffer(known[c] if c in known else far[c], "<u4") for c in others] + list(wide.values())
+        # what stands between the plain pieces, in order: of one place, the ends of texts come first
+        at = np.concatenate((offs[1:], first, long, start[list(wide)]))
+        n = np.array([1] * (len(offs) - 1) + [len(x) for x in others], np.int64)
+        order = np.lexsort((np.arange(len(at)) >= len(offs) - 1, at))
+        ends = [np.array([end_id], "<u4")] * (len(offs) - 1)
+        extra = [*ends, *others]
+        before = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(start, at[order])]
+        values = np.concatenate([extra[i] for i in order])
+        out = np.insert(ids, np.repeat(before, n[order]), values)
+        upto = before + np.cumsum(n[order])
+        return out.tobytes(), upto[order < len(offs) - 1]
+
+
 _TABLES: dict[str, _ChunkIds] = {}
+_PIECES: dict[str, _PieceIds] = {}
 
 
 def _chunk_ids(path: str, kept: int = KEPT) -> _ChunkIds:
@@ -114,6 +256,14 @@ def _chunk_ids(path: str, kept: int = KEPT) -> _ChunkIds:
     return _TABLES[path]
 
 
+def _piece_ids(path: str, kept: int = KEPT) -> _PieceIds:
+    chunks = _chunk_ids(path, kept)
+    if path not in _PIECES or _PIECES[path].chunks is not chunks:
+        _PIECES[path] = _PieceIds(chunks)
+    _PIECES[path].keep(kept)
+    return _PIECES[path]
+
+
 def _split(text: str) -> list[str]:
     """Chunks between blanks, tabs and line ends (white space to the tokenizer too)."""
     if "\n" in text or "\t" in text or "\r" in text:
@@ -126,23 +276,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_
     """Pieces of every document: ``doc_id, row, piece, start, length, ids``
     (little-endian unsigned 32-bit ids).  ``row`` tells repeated doc_ids apart.
     ``kept`` bounds what a Python worker remembers: it changes memory and time, never the ids."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
-        table = _chunk_ids(tokenizer_path, kept)
+        table = _piece_ids(tokenizer_path, kept)
         schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.int32()),
                             ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
-            for lo, hi, _, _ in slices(batch.column(2), SLICE):
+            for lo, hi, buf, offsets in slices(batch.column(2), SLICE):
                 part = batch.slice(lo, hi - lo)
-                texts = [_split(t) if t else [] for t in part.column(2).to_pylist()]
-                table_long = table.fill(set().union(*texts))
+                data, upto = table.encode(buf, offsets, end_id)
+                ends = (4 * upto).tolist()
                 out = {f.name: [] for f in schema}
-                for doc, row, chunks in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
-                    if table_long:
-                        ids = b"".join([table[c] if c in table else table_long[c] for c in chunks]) + end
-                    else:
-                        ids = b"".join([table[c] for c in chunks]) + end
+                for doc, row, a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), [0, *ends], ends):
+                    ids = data[a:b]
                     for k, at in enumerate(range(0, len(ids), 4 * max_len)):
                         cut = ids[at:at + 4 * max_len]
                         for name, v in zip(out, (doc, row, k, at // 4, len(cut) // 4, cut)):

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -9,6 +10,7 @@ from llm_fixtures import docs, empty, rows
 from tokenizers import Tokenizer
 
 from matchspark.llm import packing
+from matchspark.llm.words import slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
@@ -95,3 +97,30 @@ def test_the_tables_of_a_tokenising_worker_are_bounded_and_do_not_change_the_ids
     packing._TABLES.clear()
     assert ids[1000] == ids[25]
     assert queries.STAGE_KEPT < packing.KEPT
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="aBcé' .,!?<|endoftx>0½ßŸÉ×÷́\t\n\r\x0b\x00  日", max_size=60)
+                | st.sampled_from(["zqxj" * 4, "zqxj" * 9 + "!", "=" * 40, "a <|endoftext|>b", "ÀÉÎ=õü 2024"]), min_size=1, max_size=8),
+       st.sampled_from([1, 30, 400_000]))
+def test_slices_have_the_ids_of_every_text(texts, kept):
+    col = pa.array(texts, pa.string())
+    table = packing._piece_ids(PATH, kept)
+    for limit in (40, packing.SLICE):
+        got = []
+        for _, _, buf, offsets in slices(col, limit):
+            data, upto = table.encode(buf, offsets, 1)
+            data = np.frombuffer(data, "<u4")
+            got += [data[a:b].tolist() for a, b in zip([0, *upto], upto)]
+        assert got == [ids(t) for t in texts]
+
+
+def test_plain_words_take_no_python_object_each():
+    """Plain text is looked up by arrays; only chunks with other characters go one by one."""
+    packing._TABLES.clear()
+    table = packing._piece_ids(PATH)
+    text = " ".join(f"Word{a}{b}, {a}É." for a in "abcdefghij" for b in "klmnopqrst") + " don't 日本"
+    data, upto = table.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), 1)
+    assert np.frombuffer(data, "<u4").tolist() == ids(text) and upto.tolist() == [len(ids(text))]
+    assert len(table.chunks) == 2
+    packing._TABLES.clear()
