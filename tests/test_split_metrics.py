@@ -78,3 +78,13 @@ def test_vote_tie_rules(spark):
     assert zero == [0, 0, 1] and first == [1, 0, 1]
     c = [r[0] for r in df.select(vote.confidence(F.col("p1"), F.lit(0.8))).collect()]
     assert c == pytest.approx([0.8, 0.2, 0.8])
+
+
+def test_split_assignment_never_deals_rows_by_season(spark):
+    from matchspark.operators import split as S
+    df = spark.createDataFrame([(i, str(2019 + i % 4)) for i in range(40)], "game_id long, season string")
+    out = S.split_data(df, ["2019", "2020"], ["2021"], ["2022"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    got = {r.game_id: r.split for r in out.collect()}
+    assert got == {i: ("train", "train", "val", "test")[i % 4] for i in range(40)}
