@@ -54,3 +54,34 @@ def test_default_lookup_tables(spark):
     assert conf.count() == 32 and {r["count"] for r in conf.groupBy("conference").count().collect()} == {16}
     odds = lookups.stadium_odds(spark).groupBy("home_team").agg({"p": "sum"}).collect()
     assert len(odds) == 32
+
+
+def test_games_are_derived_once(spark, monkeypatch):
+    """Split policy and features read the stored ratio frame, and the scaled frame is a projection of stored features."""
+    from matchspark.operators import split as S
+    seen, real = [], S.split_policy
+    monkeypatch.setattr(S, "split_policy", lambda df, *a: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a))
+    prep = pipeline.prepare_training(common.game_rows(spark, SF_SMALL))
+    assert len(seen) == 1 and "Join" not in seen[0] and "Relation" not in seen[0]
+    assert prep.ratios.count() == prep.scaled.count() == prep.counts["total"]
+    plan = prep.scaled._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_adhoc_derives_games_and_statistics_once(spark, monkeypatch):
+    import __spark_entry__ as E
+    from matchspark.functions.constants import FEATURE_NAMES
+    from matchspark.operators import search
+    from matchspark.plans import catalog
+    from matchspark.sources import standins
+    calls = []
+    games, stats = standins.games, common.team_stats
+    monkeypatch.setattr(standins, "games", lambda *a: calls.append("games") or games(*a))
+    monkeypatch.setattr(common, "team_stats", lambda *a: calls.append("stats") or stats(*a))
+    small = {"logistic_regression": {"C": [1], "penalty": ["l2"], "max_iter": [3]}}
+    monkeypatch.setattr(catalog, "_fitted", lambda prep: search.fit_points(prep.train, FEATURE_NAMES, small, names=list(small)))
+    got = E.queries()["adhoc_matchups"](spark, SF_SMALL)
+    known = {(r.season, r.Name) for r in stats(spark, SF_SMALL).select("season", "Name").collect()}
+    met = {(r.season, r.team1, r.team2) for r in games(spark, SF_SMALL).select("season", "team1", "team2").distinct().collect()}
+    assert got.count() == sum((s, a) in known and (s, b) in known for s, a, b in met)
+    assert sorted(calls) == ["games", "stats"]
